@@ -59,9 +59,22 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def _key(id_col: Column, text: Column) -> Column:
+    return F.sha2(F.to_json(F.struct(id_col.cast("string").alias("a"), F.xxhash64(text).alias("b"), F.length(text).alias("c"))), 256)
+
+
 def row_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Add ``_k``, equal for rows that are equal in id and text, never null."""
-    return df.withColumn("_k", F.sha2(F.to_json(F.struct(F.col(id_col).cast("string").alias("a"), F.xxhash64(text_col).alias("b"), F.length(text_col).alias("c"))), 256))
+    """``(_id, _text, _k)``: ``_k`` is never null, and equal for rows equal in id and text."""
+    return df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), _key(F.col(id_col), F.col(text_col)).alias("_k"))
+
+
+def packed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """As :func:`row_key`, with the whole row as ``_row``, so that no column of it can clash."""
+    return df.select(F.struct(*df.columns).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), _key(F.col(id_col), F.col(text_col)).alias("_k"))
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*(F.col("_row").getField(c).alias(c) for c in columns))
 
 
 def _checksum(edges: DataFrame) -> tuple:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, row_key, written
+from .common import ascii_lower, packed, row_key, unpacked, written
 
 SIZE, BLOCK = 10, 200_000
 #: All ASCII characters but digits and lower-case letters.
@@ -84,13 +84,13 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", s
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """One row per row of ``docs``: word counts, items found and whether any was."""
-    keyed = row_key(docs.select(id_col, text_col), id_col, text_col)
-    places = occurrences(keyed, benchmark, text_col, size)
+    keyed = row_key(docs, id_col, text_col)
+    places = occurrences(keyed, benchmark, "_text", size)
     spans = places.groupBy("_k", "start").agg(F.max("len").alias("len"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     hit = spans.select("_k", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("len") - 1)).alias("p")).distinct().groupBy("_k").agg(F.count("*").alias("n_hit"))
     named = spans.select("_k", F.explode("items").alias("item")).distinct().groupBy("_k").agg(F.array_sort(F.collect_set("item")).alias("items"))
     found = hit.join(named, "_k", "left").select(F.col("_k").alias("_f"), "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-    return keyed.select(id_col, "_k", F.size(words(F.col(text_col))).cast("long").alias("n_words")).join(found, F.col("_k") == F.col("_f"), "left").select(
+    return keyed.select(F.col("_id").alias(id_col), "_k", F.size(words(F.col("_text"))).cast("long").alias("n_words")).join(found, F.col("_k") == F.col("_f"), "left").select(
         id_col,
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
@@ -102,6 +102,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """``docs`` without the rows in which a window of the benchmark occurs."""
-    keyed = row_key(docs, id_col, text_col)
-    places = occurrences(keyed.select("_k", text_col), benchmark, text_col, size)
-    return keyed.join(places.select("_k"), "_k", "left_anti").select(*docs.columns)
+    keyed = packed(docs, id_col, text_col)
+    places = occurrences(keyed, benchmark, "_text", size)
+    return unpacked(keyed.join(places.select("_k"), "_k", "left_anti"), docs.columns)

@@ -124,8 +124,8 @@ def bootstrap(found: DataFrame, support: int = SUPPORT, trust: float = TRUST, tu
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, trust: float = TRUST) -> DataFrame:
     """Counts, digest of the base spans, and all spans of each row."""
-    keyed = row_key(docs.select(id_col, text_col), id_col, text_col)
-    every = written(matches(keyed, text_col), "matches")
+    keyed = row_key(docs, id_col, text_col)
+    every = written(matches(keyed, "_text"), "matches")
     base = every.where("kind <> 'token'")
     free = _free_tokens(every)
     unseen = bootstrap(base.unionByName(free), support, trust)
@@ -136,7 +136,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", suppor
     count_of = lambda kind: F.size(F.filter("s", lambda s: s["kind"] == kind)).cast("long")
     said = lambda arr: F.array_join(F.transform(arr, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     per_row = spans.select(F.col("_k").alias("_f"), *(count_of(k).alias(f"n_{k}") for k in KINDS), said(base_of).alias("base"), said(F.col("s")).alias("spans"))
-    return keyed.select(id_col, "_k").join(per_row, F.col("_k") == F.col("_f"), "left").select(
+    return keyed.select(F.col("_id").alias(id_col), "_k").join(per_row, F.col("_k") == F.col("_f"), "left").select(
         id_col,
         *(F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS),
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, packed, unpacked, written
 
 #: The contract's fingerprint: 64 bits over four words.
 WORDS, RADIUS = 4, 4
@@ -213,5 +213,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """
     found = near_duplicates(docs, id_col, text_col, words, radius, bits)
     kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept"))
-    named = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return named.join(kept, F.col(id_col) == F.col("_kept"), "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
+    rows = packed(docs, id_col, text_col)
+    named = rows.where(F.col("_id").isNotNull()).dropDuplicates(["_id"]).join(kept, F.col("_id") == F.col("_kept"), "left_semi")
+    return unpacked(named.unionByName(rows.where(F.col("_id").isNull())), docs.columns)
