@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, lines, packing, pii, secrets, simhash
+from . import decontaminate, lines, neighbours, packing, pii, quality, secrets, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,10 +16,19 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -35,7 +45,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op6_best_fit_packing, op7_simhash_near_dedup, op8_secret_scan, op9_pii, op10_decontamination)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality,
+        op3_line_dedup,
+        op5_nearest_neighbours,
+        op6_best_fit_packing,
+        op7_simhash_near_dedup,
+        op8_secret_scan,
+        op9_pii,
+        op10_decontamination,
+    )
+}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
