@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, neighbours, packing, pii, quality, secrets, simhash
+from . import decontaminate, lines, neighbours, packing, pii, quality, secrets, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
@@ -50,6 +54,7 @@ QUERIES = {
     for f in (
         op1_quality,
         op3_line_dedup,
+        op4_warc,
         op5_nearest_neighbours,
         op6_best_fit_packing,
         op7_simhash_near_dedup,
