@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lines, neighbours, packing, pii, quality, secrets, simhash, warc
+from . import decontaminate, extraction, lines, neighbours, packing, pii, quality, secrets, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality,
+        op2_html_extraction,
         op3_line_dedup,
         op4_warc,
         op5_nearest_neighbours,
