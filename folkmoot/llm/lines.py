@@ -2,12 +2,15 @@
 
 Lines are the texts' parts between newlines. A line's MinHash signature over its
 shingles of ``k`` characters is cut into bands; lines that share a band are
-candidates. In a band of at most ``SMALL`` lines all pairs are compared; in a
-larger one each line is compared with the least, and only lines that this does
-not connect meet all others of the band. So the work stays linear in groups of
-copies, and no link that banding offers is lost. Pairs of an exact Jaccard
-similarity of ``threshold`` or more are links; a distributed union-find makes
-components; of each the first line, by document id and place, stays.
+candidates. Pairs of an exact Jaccard similarity of ``threshold`` or more are
+links; a distributed union-find makes components; of each the first line, by
+document id and place, stays.
+
+In a band of at most ``SMALL`` lines all pairs are compared; in a larger one each
+line is compared with the least. A large band that this leaves in several
+components is dealt as pairs of chunks of ``chunk`` lines, and each task compares
+what its chunks hold in different components, merging as it goes. It emits an
+edge for each line at most, so no pairs of a group are made, nor a link lost.
 
 Banding recall is 1 - (1 - s ** ROWS) ** BANDS: 0.991 at 0.8, 0.999 at 0.85.
 Lines are known by their 64-bit hash.
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import components, packed, written
 
-K, THRESHOLD, ROWS, BANDS, SMALL = 8, 0.8, 5, 12, 16
+K, THRESHOLD, ROWS, BANDS, SMALL, CHUNK = 8, 0.8, 5, 12, 2, 512
 #: Characters hashed at once; their signatures stay in the cache.
 BLOCK = 1 << 16
 
@@ -132,10 +135,27 @@ def _candidates(small: int):
     return run
 
 
+def _packed(line: str, k: int) -> np.ndarray | None:
+    """The sorted set of the line's shingles as integers, if its characters fit."""
+    if k != 8 or len(line) < k:
+        return None
+    try:
+        data = line.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    return np.unique(np.ndarray((len(data) - k + 1,), np.uint64, data, 0, (1,)))
+
+
 def jaccard(a: str, b: str, k: int = K) -> float:
     """Of the sets of ``k``-character shingles; a shorter line is its own only one."""
-    x, y = ({s[i : i + k] for i in range(max(1, len(s) - k + 1))} for s in (a, b))
-    return len(x & y) / len(x | y)
+    x, y = _packed(a, k), _packed(b, k)
+    if x is not None and y is not None:
+        both = np.concatenate([x, y])
+        both.sort()
+        shared = int((both[1:] == both[:-1]).sum())
+        return shared / (len(both) - shared)
+    p, q = ({s[i : i + k] for i in range(max(1, len(s) - k + 1))} for s in (a, b))
+    return len(p & q) / len(p | q)
 
 
 def _verify(threshold: float, k: int):
@@ -147,6 +167,50 @@ def _verify(threshold: float, k: int):
     return run
 
 
+def merge_block(texts: list[str], labels: list[int], threshold: float, k: int) -> list[tuple[int, int]]:
+    """Links that connect what the lines' exact similarities connect beyond their labels: one for each line at most."""
+    number: dict[str, int] = {}
+    sets = [np.array(sorted({number.setdefault(t[i : i + k], len(number)) for i in range(max(1, len(t) - k + 1))})) for t in texts]
+    sizes, group = np.array([len(x) for x in sets]), np.array(labels)
+    mark, out = np.zeros(len(number), bool), []
+    for i in range(len(texts)):
+        others = np.nonzero(group != group[i])[0]
+        # the smaller set is at most the intersection, the larger at least the union
+        others = others[np.minimum(sizes[others], sizes[i]) >= threshold * np.maximum(sizes[others], sizes[i])]
+        if not len(others):
+            continue
+        mark[sets[i]] = True
+        starts = np.cumsum(sizes[others]) - sizes[others]
+        shared = np.add.reduceat(mark[np.concatenate([sets[j] for j in others])], starts, dtype=np.int64)
+        mark[sets[i]] = False
+        for j in others[shared >= threshold * (sizes[others] + sizes[i] - shared)]:
+            if group[j] != group[i]:
+                group[group == group[j]] = group[i]
+                out.append((i, int(j)))
+    return out
+
+
+def _merge(threshold: float, k: int):
+    """Rows sorted by (key, i, j) -> links; a task's rows may span batches."""
+
+    def solve(rows: list[tuple]) -> pa.RecordBatch:
+        found = merge_block([r[5] for r in rows], [r[4] for r in rows], threshold, k) if len(rows) > 1 else []
+        return pa.RecordBatch.from_arrays([pa.array([rows[i][3] for i, _ in found], pa.int64()), pa.array([rows[j][3] for _, j in found], pa.int64())], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                if held and held[0][:3] != row[:3]:
+                    yield solve(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield solve(held)
+
+    return run
+
+
 def _lines(docs: DataFrame, text_col: str, *keys: str) -> DataFrame:
     return (
         docs.select(*keys, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "_line"))
@@ -155,26 +219,33 @@ def _lines(docs: DataFrame, text_col: str, *keys: str) -> DataFrame:
     )
 
 
-def links(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, k: int = K) -> DataFrame:
+def links(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, k: int = K, small: int = SMALL, chunk: int = CHUNK) -> DataFrame:
     """Verified links ``(u, v)`` between hashes of lines."""
     bands = docs.select(text_col).mapInArrow(_banded(k), "key long, line long")
-    found = written(bands.repartition("key").mapInArrow(_candidates(SMALL), "a long, b long, key long"), "candidates")
-    first = found.where("a <> b").select("a", "b").distinct()
-    wanted = first.select(F.explode(F.array("a", "b")).alias("w")).union(found.where("key is not null").select("a")).distinct()
+    found = written(bands.repartition("key").mapInArrow(_candidates(small), "a long, b long, key long"), "candidates")
+    pairs = found.where("a <> b").select("a", "b").distinct()
+    wanted = found.select(F.explode(F.array("a", "b")).alias("w")).distinct()
     texts = written(_lines(docs, text_col).select("line", "_line").join(wanted, F.col("line") == F.col("w"), "left_semi").groupBy("line").agg(F.min("_line").alias("t")), "texts")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        left = texts.select(F.col("line").alias("la"), F.col("t").alias("ta"))
-        right = texts.select(F.col("line").alias("lb"), F.col("t").alias("tb"))
-        both = pairs.join(left, F.col("a") == F.col("la")).join(right, F.col("b") == F.col("lb")).select("a", "b", "ta", "tb")
-        return written(both.mapInArrow(_verify(threshold, k), "a long, b long, ok boolean"), name)
-
-    near = verified(first, "verified")
-    large = found.where("key is not null").select("a", "b", "key")
-    astray = large.where("a <> b").join(near.where("not ok").select(F.col("a").alias("na"), F.col("b").alias("nb")), (F.col("a") == F.col("na")) & (F.col("b") == F.col("nb"))).select(F.col("a").alias("x"), F.col("key").alias("xk"))
-    rest = astray.join(large.select(F.col("a").alias("y"), "key"), (F.col("xk") == F.col("key")) & (F.col("x") != F.col("y"))).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-    rest = verified(rest.join(first, ["a", "b"], "left_anti"), "verified")
-    return near.unionByName(rest).where("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    left = texts.select(F.col("line").alias("la"), F.col("t").alias("ta"))
+    right = texts.select(F.col("line").alias("lb"), F.col("t").alias("tb"))
+    both = pairs.join(left, F.col("a") == F.col("la")).join(right, F.col("b") == F.col("lb")).select("a", "b", "ta", "tb")
+    near = written(both.mapInArrow(_verify(threshold, k), "a long, b long, ok boolean").where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")), "verified")
+
+    large = found.where("key is not null").select("key", F.col("a").alias("line"))
+    if large.isEmpty():
+        return near
+    roots = components(near, "bands").select(F.col("u").alias("n"), F.col("v").alias("root"))
+    labelled = written(large.join(roots, F.col("line") == F.col("n"), "left").select("key", "line", F.coalesce("root", "line").alias("label")), "labelled")
+    split = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select(F.col("key").alias("sk"), F.ceil(F.col("n") / chunk).cast("int").alias("k"))
+    own = F.pmod(F.xxhash64("line"), F.col("k")).cast("int")
+    dealt = (
+        labelled.join(split, F.col("key") == F.col("sk"))
+        .select("key", "line", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+        .join(texts.select(F.col("line").alias("tl"), "t"), F.col("line") == F.col("tl"))
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "line", "label", "t")
+    )
+    merged = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_merge(threshold, k), "u long, v long")
+    return near.unionByName(merged)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, k: int = K) -> DataFrame:

@@ -51,3 +51,47 @@ def test_null_ids_and_empty(spark):
     table = spark.createDataFrame([(None, "same line here"), (3, "same line here\nown words stay"), (3, "same line here\nown words stay")], "doc_id long, text string")
     assert sorted((r.doc_id or 0, r.text) for r in lines.dedup_lines(table).collect()) == [(0, "same line here"), (3, "own words stay"), (3, "own words stay")]
     assert lines.dedup_lines(table.limit(0)).count() == 0
+
+
+def test_a_large_band_whose_lines_differ_from_the_least(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    base = [word() for _ in range(60)]
+    texts = []
+    for _ in range(70):
+        w = list(base)
+        for at in rng.sample(range(60), 3):
+            w[at] = word()
+        texts.append(" ".join(w))
+    for t in texts[1:]:
+        assert 0.6 < lines.jaccard(texts[0], t) < 0.9
+    table = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, " ".join(base)])], "doc_id long, text string").repartition(4)
+    pairs = {frozenset((r.u, r.v)) for r in lines.links(table, small=4, chunk=16).collect()}
+    assert len({x for p in pairs for x in p}) == 71
+    assert sum(r.text != "" for r in lines.dedup_lines(table).collect()) == 1
+
+
+def test_merged_blocks_equal_all_pairs():
+    rng = random.Random(2)
+    base = ["".join(rng.choice("abcdef ") for _ in range(80)) for _ in range(5)]
+    texts = [x[: (c := rng.randint(0, 75))] + rng.choice("xyz") + x[c + 1 :] for x in base for _ in range(12)]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if lines.jaccard(texts[a], texts[b]) >= 0.8:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    mine = list(range(len(texts)))
+    for a, b in lines.merge_block(texts, list(range(len(texts))), 0.8, lines.K):
+        low, high = sorted((mine[a], mine[b]))
+        mine = [low if r == high else r for r in mine]
+    assert mine == root
+
+
+def test_jaccard_of_packed_shingles_is_that_of_sets():
+    rng = random.Random(3)
+    for letters in ("ab", "abé ", "ab日"):
+        for _ in range(200):
+            a, b = ("".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(2))
+            x, y = ({s[i : i + 8] for i in range(max(1, len(s) - 7))} for s in (a, b))
+            assert lines.jaccard(a, b) == len(x & y) / len(x | y)
