@@ -23,7 +23,7 @@ def directories(environment: dict[str, str] | None = None) -> tuple[str, str]:
 def pages(spark: SparkSession, path: str, pattern: str = "*.html", legacy: bool = False) -> DataFrame:
     """``(path, stem, html)`` of the files below ``path`` (S04, S07, S12, S14); ``legacy`` decodes Windows-1252."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    html = legacy_text_udf("content") if legacy else F.decode("content", "UTF-8")
+    html = legacy_text_udf("content") if legacy else F.try_validate_utf8(F.col("content").cast("string"))
     return files.select("path", F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1).alias("stem"), html.alias("html"))
 
 

@@ -17,7 +17,7 @@ FILES = "path string, modificationTime timestamp, length long, content binary"
 def new_pages(spark: SparkSession, folder: str, pattern: str = "*.html") -> DataFrame:
     """A stream of the files that arrive below ``folder``."""
     files = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", pattern).load(folder)
-    return files.select("path", F.col("modificationTime").alias("arrived"), F.decode("content", "UTF-8").alias("html"))
+    return files.select("path", F.col("modificationTime").alias("arrived"), F.try_validate_utf8(F.col("content").cast("string")).alias("html"))
 
 
 def upsert_stream(stream: DataFrame, table: str, key: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df, order: str = "arrived") -> StreamingQuery:
