@@ -17,6 +17,7 @@ from .operators import relational as R
 from .operators import windows as W
 from .operators.dom import elements
 from .plans import dossiers, meetings, pages, pdf, summaries
+from .schemas import raw, typed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -560,3 +561,29 @@ def j09_redirects(spark, d):
     url = F.concat(F.lit("https://b/56/"), F.col("s_suppkey").cast("string"), F.lit("/56K"), F.col("s_suppkey").cast("string"), F.lit("004.pdf"))
     text = F.concat(F.lit("De tekst aangenomen door de plenaire vergadering\nis dezelfde als de tekst aangenomen door de commissie (DOC 56 "), nxt, F.lit("/004)."))
     return pdf.follow_redirects(s.select(url.alias("url"), text.alias("text")), "https://b")
+
+
+# Typed views.
+
+
+@query(f"SELECT s_suppkey::BIGINT AS meeting_id, 2024 AS year, 2 * (s_suppkey % 90 + 3)::BIGINT AS cast_votes, 2 AS yes_names, 1 AS abstain_names {_OK}")
+def typed_votes(spark, d):
+    votes = typed(raw(meetings.plenary_tables(_plenary(spark, d))["votes"], "plenary_votes"), "plenary_votes")
+    total = F.sum(F.col("yes") + F.col("no") + F.col("abstain"))
+    return votes.groupBy("meeting_id", F.year("date").alias("year")).agg(total.alias("cast_votes"), F.max(F.size("members_yes")).alias("yes_names"), F.max(F.size("members_abstain")).alias("abstain_names"))
+
+
+@query(f"SELECT '02.0' || n AS mark, speaker, count(*) AS turns FROM supplier, (VALUES (1, 'Jan Peeters'), (2, 'An De Smet')) AS t(n, speaker) WHERE s_suppkey % 7 <> 0 GROUP BY 1, 2")
+def typed_turns(spark, d):
+    questions = typed(raw(meetings.plenary_tables(_plenary(spark, d))["questions"], "plenary_questions"), "plenary_questions")
+    turns = questions.select(F.posexplode("discussion").alias("k", "t"))
+    return turns.groupBy(F.concat(F.lit("02.0"), (F.col("k") + 1).cast("string")).alias("mark"), F.col("t.speaker").alias("speaker")).agg(F.count("*").alias("turns"))
+
+
+@query("SELECT conv_id, count(*) AS turns, string_agg(role || ': ' || trim(replace(text, chr(10), ' ')), chr(10) ORDER BY turn) AS said FROM conversations GROUP BY 1")
+def w08_conversation_turns(spark, d):
+    """Each conversation written as a report, and read back as speaker turns."""
+    c = table(spark, d, "conversations").select("conv_id", F.struct("turn", F.concat(F.lit("NEWPARAGRAPH01.01 "), F.col("role"), F.lit(": "), F.translate("text", "\n", " ")).alias("p")).alias("x"))
+    report = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["p"]), "").alias("report"))
+    turns = G.turns_udf(F.col("report"))
+    return report.select("conv_id", turns.alias("t")).select("conv_id", F.size("t").cast("long").alias("turns"), F.array_join(F.transform("t", lambda x: F.concat(x["speaker"], F.lit(": "), x["text"])), "\n").alias("said"))
