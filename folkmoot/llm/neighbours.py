@@ -7,9 +7,11 @@ distance to the slot's lower or upper border is the cost of moving by one, and
 sets of moves are drawn in order of their summed costs from a heap. Candidates
 of all tables are ranked by exact distance in double precision.
 
-The slot width is fitted to at most ``sample`` vectors (the least id hashes): ``WIDTH`` times
-their median distance. Every row is indexed. ``m`` is half the binary logarithm of the
-number of rows, so buckets hold about the square root of it or more. Buckets of over
+The index is fitted to at most ``SAMPLE`` vectors (those of the least id hashes): slots are
+``WIDTH`` times their median distance wide, and the ``k`` / n quantile of their distances
+stands for that of a k-th neighbour among n rows. ``m`` is the greatest number, up to half the
+binary logarithm of n, for which a simulation at that distance finds a neighbour with a chance of ``AIM``
+or more. Every row is indexed. Buckets of over
 ``chunk`` rows are dealt as chunks, each of which meets all probes of the
 bucket; within a bucket only each query's ``k`` best go on. A query for which the tables
 hold fewer than ``k`` candidates is answered by an exact scan of all rows, in
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-NEAREST, TABLES, PROBES_A_PROJECTION, WIDTH = 10, 8, 8, 1.42
+NEAREST, TABLES, PROBES_A_PROJECTION, WIDTH, AIM = 10, 10, 8, 1.42, 0.96
 SAMPLE, CHUNK, BLOCK, FLUSH = 1000, 4096, 500, 200_000
 
 
@@ -64,6 +66,31 @@ def probe_order(fraction: np.ndarray, most: int) -> list[np.ndarray]:
     return out
 
 
+def chance(m: int, spread: float, probes: int, tables: int, trials: int = 200) -> float:
+    """Simulated chance that one of the tables' probes meets a vector whose projections differ by ``spread`` slots."""
+    rng, hits = np.random.default_rng(3), 0
+    for _ in range(trials):
+        place = rng.random(m)
+        moved = np.floor(place + rng.normal(0, spread, m))
+        hits += any((v == moved).all() for v in probe_order(place, probes))
+    return 1 - (1 - hits / trials) ** tables
+
+
+def fit(sample: np.ndarray, n: int, k: int, tables: int) -> tuple[int, float]:
+    """Number of projections and width of the slots for ``n`` rows like the sample."""
+    if len(sample) < 2:
+        return 2, 1.0
+    squares = (sample**2).sum(axis=1)
+    apart = squares[:, None] + squares[None] - 2 * sample @ sample.T
+    gaps = np.sqrt(np.maximum(apart[np.triu_indices(len(sample), 1)], 0))
+    width = WIDTH * float(np.median(gaps)) or 1.0
+    near = float(np.quantile(gaps, min(1.0, k / n)))
+    m = max(2, round(math.log2(n + 1) / 2))
+    while m > 2 and chance(m, near / width, PROBES_A_PROJECTION * m, tables) < AIM:
+        m -= 1
+    return m, width
+
+
 class Index:
     """The projections of all tables; fitted by width and dimension alone."""
 
@@ -215,8 +242,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     rows = written(rows.where(F.size("v") == dimension).dropDuplicates(["id"]).mapInArrow(as_bytes, "id long, v binary"), "vectors")
     n = rows.count()
     sample = _vectors(rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()["v"])  # at most SAMPLE rows
-    gaps = np.sqrt(((sample[: len(sample) // 2] - sample[len(sample) // 2 : len(sample) // 2 * 2]) ** 2).sum(axis=1))
-    index = Index(dimension, max(2, round(math.log2(n + 1) / 2)), WIDTH * (float(np.median(gaps)) if len(gaps) and np.median(gaps) > 0 else 1.0), tables)
+    index = Index(dimension, *fit(sample, n, k, tables), tables)
 
     hashed = rows.mapInArrow(_hashed(index), "bucket long, id long, v binary")
     large = hashed.groupBy("bucket").agg(F.count("*").alias("c")).where(F.col("c") > chunk).select(F.col("bucket").alias("lb"), F.ceil(F.col("c") / chunk).cast("long").alias("chunks"))
