@@ -70,7 +70,7 @@ def row_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def packed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """As :func:`row_key`, with the whole row as ``_row``, so that no column of it can clash."""
-    return df.select(F.struct(*df.columns).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), _key(F.col(id_col), F.col(text_col)).alias("_k"))
+    return df.select(F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns)).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), _key(F.col(id_col), F.col(text_col)).alias("_k"))
 
 
 def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -18,7 +18,8 @@ Lines are known by their 64-bit hash.
 Edge cases: null texts stay null; blank lines are never duplicates and stay
 where they are; lines shorter than a shingle are duplicates only if equal; of
 rows equal in id and text each keeps the same lines; rows with a null id come
-first; a row whose lines all go keeps the empty text; other columns pass through.
+first; a row whose lines all go keeps the empty text; other columns pass through, but
+those named as the counts, which are replaced.
 """
 
 from __future__ import annotations
@@ -261,7 +262,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = F.coalesce("_gone", F.array().cast("array<int>"))
     text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(gone, i)), "\n"))
     return keyed.join(removed, F.col("_k") == F.col("_r"), "left").select(
-        *((text if c == text_col else F.col("_row").getField(c)).alias(c) for c in docs.columns),
+        *((text if c == text_col else F.col("_row").getField(c)).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")),
         F.when(F.col("_text").isNull(), 0).otherwise(full).cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_removed"),
     )
