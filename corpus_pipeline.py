@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from folkmoot.llm import decontaminate, lines, packing, quality, simhash
 from folkmoot.llm.common import written
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
@@ -20,17 +18,17 @@ def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the lines that no earlier document has; ``n_chars`` counts what is left."""
     kept = lines.dedup_lines(docs)
     changed = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return kept.withColumn("n_chars", changed).select(*COLUMNS)
+    return kept.withColumn("n_chars", changed).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return simhash.keep_one(docs).select(*COLUMNS)
+    return simhash.keep_one(docs).select(*docs.columns)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
-    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
