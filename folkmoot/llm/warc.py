@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import new_path, written
 
-LEAST, SPLIT, CHUNK, LEVEL = 100, 16 << 20, 1 << 18, 1
+LEAST, SPLIT, CHUNK, LEVEL, MOST_TASKS = 100, 16 << 20, 1 << 18, 1, 20_000
 #: The records' time: the tables have none.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -193,7 +193,9 @@ def read(manifest: DataFrame, split: int = SPLIT, with_payload: bool = True) ->
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW.types)], schema=_ARROW)
 
-    return ranges.repartition("file", "lo").mapInArrow(run, SCHEMA)
+    # Ranges are tiny rows with much work behind each: adaptive plans must not put them together.
+    tasks = manifest.agg(F.sum(F.ceil(F.col("size") / split))).first()[0] or 1
+    return ranges.repartition(min(int(tasks), MOST_TASKS)).mapInArrow(run, SCHEMA)
 
 
 def round_trip(pages: DataFrame, split: int = SPLIT) -> DataFrame:
