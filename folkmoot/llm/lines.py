@@ -35,6 +35,10 @@ from pyspark.sql import functions as F
 from .common import components, packed, written
 
 K, THRESHOLD, ROWS, BANDS, SMALL, CHUNK = 8, 0.8, 5, 12, 2, 512
+#: Hashes of lines that may be broadcast to find their texts; more of them are joined by hash.
+BROADCAST_ROWS = 1_000_000
+#: Smaller blocks are compared without asking which other bands their lines share.
+ALONE = 24
 #: Characters hashed at once; their signatures stay in the cache.
 BLOCK = 1 << 16
 
@@ -147,14 +151,18 @@ def _packed(line: str, k: int) -> np.ndarray | None:
     return np.unique(np.ndarray((len(data) - k + 1,), np.uint64, data, 0, (1,)))
 
 
+def _shared(x: np.ndarray, y: np.ndarray) -> float:
+    both = np.concatenate([x, y])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared / (len(both) - shared)
+
+
 def jaccard(a: str, b: str, k: int = K) -> float:
     """Of the sets of ``k``-character shingles; a shorter line is its own only one."""
     x, y = _packed(a, k), _packed(b, k)
     if x is not None and y is not None:
-        both = np.concatenate([x, y])
-        both.sort()
-        shared = int((both[1:] == both[:-1]).sum())
-        return shared / (len(both) - shared)
+        return _shared(x, y)
     p, q = ({s[i : i + k] for i in range(max(1, len(s) - k + 1))} for s in (a, b))
     return len(p & q) / len(p | q)
 
@@ -168,14 +176,31 @@ def _verify(threshold: float, k: int):
     return run
 
 
-def merge_block(texts: list[str], labels: list[int], threshold: float, k: int) -> list[tuple[int, int]]:
-    """Links that connect what the lines' exact similarities connect beyond their labels: one for each line at most."""
+def _numbered(texts: list[str], k: int) -> tuple[list[np.ndarray], int]:
+    """Each text's set of shingles, as numbers below the count of all."""
+    packed = [_packed(t, k) for t in texts]
+    if all(x is not None for x in packed):
+        known, flat = np.unique(np.concatenate(packed), return_inverse=True)
+        return np.split(flat, np.cumsum([len(x) for x in packed])[:-1]), len(known)
     number: dict[str, int] = {}
     sets = [np.array(sorted({number.setdefault(t[i : i + k], len(number)) for i in range(max(1, len(t) - k + 1))})) for t in texts]
+    return sets, len(number)
+
+
+def merge_block(texts: list[str], labels: list[int], threshold: float, k: int, key: int | None = None) -> list[tuple[int, int]]:
+    """Links that connect what the lines' exact similarities connect beyond their labels: one for each line at most.
+
+    With ``key``, a band that all lines share, lines that share an earlier band too are left to that one's block.
+    """
+    sets, n = _numbered(texts, k)
+    keys = band_keys(texts, k) if key is not None and len(texts) > ALONE else None
+    own = int((keys[0] == key).argmax()) if keys is not None else 0
     sizes, group = np.array([len(x) for x in sets]), np.array(labels)
-    mark, out = np.zeros(len(number), bool), []
+    mark, out = np.zeros(n, bool), []
     for i in range(len(texts)):
         others = np.nonzero(group != group[i])[0]
+        if keys is not None:
+            others = others[(keys[others] == keys[i]).argmax(axis=1) == own]
         # the smaller set is at most the intersection, the larger at least the union
         others = others[np.minimum(sizes[others], sizes[i]) >= threshold * np.maximum(sizes[others], sizes[i])]
         if not len(others):
@@ -195,7 +220,7 @@ def _merge(threshold: float, k: int):
     """Rows sorted by (key, i, j) -> links; a task's rows may span batches."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        found = merge_block([r[5] for r in rows], [r[4] for r in rows], threshold, k) if len(rows) > 1 else []
+        found = merge_block([r[5] for r in rows], [r[4] for r in rows], threshold, k, rows[0][0]) if len(rows) > 1 else []
         return pa.RecordBatch.from_arrays([pa.array([rows[i][3] for i, _ in found], pa.int64()), pa.array([rows[j][3] for _, j in found], pa.int64())], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +250,9 @@ def links(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
     bands = docs.select(text_col).mapInArrow(_banded(k), "key long, line long")
     found = written(bands.repartition("key").mapInArrow(_candidates(small), "a long, b long, key long"), "candidates")
     pairs = found.where("a <> b").select("a", "b").distinct()
-    wanted = found.select(F.explode(F.array("a", "b")).alias("w")).distinct()
+    wanted = written(found.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "wanted")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     texts = written(_lines(docs, text_col).select("line", "_line").join(wanted, F.col("line") == F.col("w"), "left_semi").groupBy("line").agg(F.min("_line").alias("t")), "texts")
     left = texts.select(F.col("line").alias("la"), F.col("t").alias("ta"))
     right = texts.select(F.col("line").alias("lb"), F.col("t").alias("tb"))
