@@ -60,7 +60,7 @@ def ascii_lower(text: Column) -> Column:
 
 
 def _key(id_col: Column, text: Column) -> Column:
-    return F.sha2(F.to_json(F.struct(id_col.cast("string").alias("a"), F.xxhash64(text).alias("b"), F.length(text).alias("c"))), 256)
+    return F.unhex(F.md5(F.to_json(F.struct(id_col.cast("string").alias("a"), F.xxhash64(text).alias("b"), F.length(text).alias("c")))))
 
 
 def row_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

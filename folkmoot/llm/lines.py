@@ -37,6 +37,10 @@ from .common import components, packed, written
 K, THRESHOLD, ROWS, BANDS, SMALL, CHUNK = 8, 0.8, 5, 12, 2, 512
 #: Hashes of lines that may be broadcast to find their texts; more of them are joined by hash.
 BROADCAST_ROWS = 1_000_000
+#: Band keys are dealt to parts: one for so many bytes of input, so that each fits in memory, and as many at least.
+PART_BYTES, LEAST_PARTS = 32 << 20, 1024
+#: Pairs that a task gathers before it hands them on.
+PAIRS = 1 << 20
 #: Smaller blocks are compared without asking which other bands their lines share.
 ALONE = 24
 #: Characters hashed at once; their signatures stay in the cache.
@@ -79,16 +83,27 @@ def band_keys(lines: list[str], k: int = K, rows: int = ROWS, bands: int = BANDS
     return out.view(np.int64)
 
 
-def _banded(k: int):
-    def flush(lines: list[str], ids: list[int]) -> pa.RecordBatch:
+def _banded(k: int, parts: int):
+    """Texts -> ``(part, pairs)``: packed (band key, line) pairs whose keys belong to the part."""
+
+    def keyed(lines: list[str], ids: list[int]) -> np.ndarray:
         keys = band_keys(lines, k)
-        return pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(np.array(ids, np.int64), keys.shape[1]))], names=["key", "line"])
+        return np.column_stack([keys.ravel(), np.repeat(np.array(ids, np.int64), keys.shape[1])])
+
+    def dealt(blocks: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.concatenate(blocks)
+        part = (pairs[:, 0].view(np.uint64) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        pairs, part = pairs[order], part[order]
+        start = np.nonzero(np.append(True, part[1:] != part[:-1]))[0]
+        data = [x.tobytes() for x in np.split(pairs, start[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(part[start]), pa.array(data, pa.binary())], names=["part", "pairs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # a copy within the task adds nothing
         lines: list[str] = []
         ids: list[int] = []
-        size = 0
+        size, blocks, held = 0, [], 0
         for b in batches:
             for x in b.column(0):
                 for line in (x.as_py() or "").split("\n"):
@@ -102,22 +117,25 @@ def _banded(k: int):
                     ids.append(h - (h >> 63 << 64))
                     size += len(line)
                     if size >= BLOCK:
-                        yield flush(lines, ids)
+                        blocks.append(keyed(lines, ids))
+                        held += len(blocks[-1])
                         lines, ids, size = [], [], 0
+                        if held >= PAIRS:
+                            yield dealt(blocks)
+                            blocks, held = [], 0
         if lines:
-            yield flush(lines, ids)
+            blocks.append(keyed(lines, ids))
+        if blocks:
+            yield dealt(blocks)
 
     return run
 
 
 def _candidates(small: int):
-    """A partition of (key, line) -> rows (a, b, key): pairs, and members of large bands with a null ``b``."""
+    """Parts, sorted, -> rows (a, b, key): pairs, and for large bands each member with the least and the key."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-        if not held:
-            return
-        key, line = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
+    def solve(pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
+        key, line = pairs[:, 0], pairs[:, 1]
         order = np.lexsort((line, key))
         key, line = key[order], line[order]
         new = np.ones(len(key), bool)
@@ -137,6 +155,18 @@ def _candidates(small: int):
             group = line[s : s + n]
             yield pa.RecordBatch.from_arrays([pa.array(group), pa.array(np.full(n, group[0])), pa.array(np.full(n, key[s]))], names=["a", "b", "key"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for b in batches:
+            for part, data in zip(b.column(0).to_pylist(), b.column(1)):
+                if part != now:
+                    if held:
+                        yield from solve(np.concatenate(held))
+                    now, held = part, []
+                held.append(np.frombuffer(data.as_py(), np.int64).reshape(-1, 2))
+        if held:
+            yield from solve(np.concatenate(held))
+
     return run
 
 
@@ -247,8 +277,9 @@ def _lines(docs: DataFrame, text_col: str, *keys: str) -> DataFrame:
 
 def links(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, k: int = K, small: int = SMALL, chunk: int = CHUNK) -> DataFrame:
     """Verified links ``(u, v)`` between hashes of lines."""
-    bands = docs.select(text_col).mapInArrow(_banded(k), "key long, line long")
-    found = written(bands.repartition("key").mapInArrow(_candidates(small), "a long, b long, key long"), "candidates")
+    size = int(str(docs.select(text_col)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    bands = docs.select(text_col).mapInArrow(_banded(k, max(LEAST_PARTS, size // PART_BYTES if size < 1 << 60 else 0)), "part long, pairs binary")
+    found = written(bands.repartition("part").sortWithinPartitions("part").mapInArrow(_candidates(small), "a long, b long, key long"), "candidates")
     pairs = found.where("a <> b").select("a", "b").distinct()
     wanted = written(found.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "wanted")
     if wanted.count() <= BROADCAST_ROWS:
@@ -281,9 +312,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = components(links(docs, text_col, threshold, k), "line-components").select(F.col("u").alias("_u"), F.col("v").alias("_v"))
     keyed = packed(docs, id_col, text_col)
     lines = _lines(keyed, "_text", "_k", "_id").select("_k", "_id", "pos", "line")
-    classed = lines.join(roots, F.col("line") == F.col("_u"), "left").select("_k", "pos", F.struct("_id", "_k", "pos").alias("place"), F.coalesce("_v", "line").alias("class"))
+    classed = written(lines.join(roots, F.col("line") == F.col("_u"), "left").select(F.struct("_id", "_k", "pos").alias("place"), F.coalesce("_v", "line").alias("class")), "classes")
     kept = classed.groupBy("class").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last").select(F.col("class").alias("_c"), "first")
-    removed = classed.join(kept, F.col("class") == F.col("_c")).where("place <> first").groupBy(F.col("_k").alias("_r")).agg(F.collect_set("pos").alias("_gone"))
+    removed = classed.join(kept, F.col("class") == F.col("_c")).where("place <> first").groupBy(F.col("place._k").alias("_r")).agg(F.collect_set("place.pos").alias("_gone"))
     parts = F.split("_text", "\n")
     full = F.size(F.filter(parts, lambda x: x.rlike(r"(?U)\S")))
     gone = F.coalesce("_gone", F.array().cast("array<int>"))
