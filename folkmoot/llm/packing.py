@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 CAPACITY, END_ID, ROUNDS, RATE = 1024, 2, 4, 4.0
 #: Rows that are ranked together; a length has at most MOST_GROUPS groups.
-GROUP, MOST_GROUPS = 2000, 4096
+GROUP, MOST_GROUPS = 500, 4096
 #: A worker's cache of encoded words is emptied at this size.
 CACHE = 600_000
 
