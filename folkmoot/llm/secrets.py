@@ -84,12 +84,20 @@ class _Layer:
 
     def part(self, text: str, lows: np.ndarray, highs: np.ndarray) -> _Layer:
         """A layer whose characters came from ``[low, high)`` of this one."""
+        if self.starts.strides == (0,) and len(text):
+            return _Layer(text, np.broadcast_to(self.starts[0], len(text)), np.broadcast_to(self.ends[0], len(text)))
         return _Layer(text, self.starts[lows], self.ends[np.maximum(highs, lows + 1) - 1])
 
+    def key(self) -> tuple[str, bytes]:
+        """Equal for layers of equal text and places."""
+        places = (self.starts[:1], self.ends[:1]) if self.starts.strides == (0,) else (self.starts, self.ends)
+        return self.text, hashlib.blake2b(b"".join(p.tobytes() for p in places), digest_size=16).digest()
+
 
 def _whole(layer: _Layer, text: str, lo: int, hi: int) -> _Layer:
+    """A layer all of whose characters came from ``[lo, hi)``, held as one place."""
     n = len(text)
-    return layer.part(text, np.full(n, lo), np.full(n, hi))
+    return _Layer(text, np.broadcast_to(layer.starts[lo], n), np.broadcast_to(layer.ends[hi - 1], n))
 
 
 def _from_bytes(layer: _Layer, data: bytes, lows: np.ndarray, highs: np.ndarray) -> _Layer | None:
@@ -176,16 +184,21 @@ def scan(text: str | None) -> tuple[list[Found], list[Found]]:
     if not _HINT.search(text):
         return base, []
     n = len(text)
-    seen, todo, added = {text}, [_Layer(text, np.arange(n), np.arange(n) + 1)], set()
+    top = _Layer(text, np.arange(n), np.arange(n) + 1)
+    seen, todo, added = {top.key()}, [top], set()
+    spans_of: dict[str, list[Found]] = {}
     while todo:
         layer = todo.pop()
         for unwrap in (_percent, _escapes, _base64, _hexed):
             for new in unwrap(layer):
-                if new.text in seen:
+                key = new.key()
+                if key in seen:
                     continue
-                seen.add(new.text)
+                seen.add(key)
                 todo.append(new)
-                added |= {(int(new.starts[s]), int(new.ends[e - 1]), kind) for s, e, kind in base_spans(new.text)}
+                if new.text not in spans_of:
+                    spans_of[new.text] = base_spans(new.text)
+                added |= {(int(new.starts[s]), int(new.ends[e - 1]), kind) for s, e, kind in spans_of[new.text]}
     return base, sorted(added - set(base), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

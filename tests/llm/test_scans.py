@@ -69,6 +69,22 @@ def test_hidden_secrets():
     assert secrets.scan("%41" * 50_000)[1] == []
 
 
+def test_each_copy_of_a_hidden_secret_is_reported():
+    plain = "password=abcdefghijklmnop"
+    coded, quoted = base64.b64encode(plain.encode()).decode(), plain.replace("=", "%3D")
+    zipped = base64.b64encode(gzip.compress(plain.encode() * 2, mtime=0)).decode()
+    for parts in ((coded, coded, coded), (quoted, quoted), (plain.encode().hex(),) * 2, (coded, plain.encode().hex(), quoted), (zipped, zipped)):
+        text, want = "", []
+        for part in parts:
+            want.append((len(text) + 2, len(text) + 2 + len(part)))
+            text += f"( {part} )"
+        added = [(s, e) for s, e, k in secrets.scan(text)[1] if k == "assign"]
+        assert len(added) == len(parts) and all(lo <= s < e <= hi for (s, e), (lo, hi) in zip(added, want)), text
+    twice = base64.b64encode(f"{coded} {coded}".encode()).decode()
+    assert len(secrets.scan(f"{twice} ; {twice}")[1]) == 4
+    assert len(secrets.scan(f"{coded} " * 2000)[1]) == 2000
+
+
 def luhn(s):
     d = [int(c) for c in reversed(s)]
     return sum(d[::2] + [x * 2 - 9 * (x > 4) for x in d[1::2]]) % 10 == 0
