@@ -13,6 +13,10 @@ gathered whole. Two ways of dealing:
   each value a shard. Recall is ``1 - (1 - (1 - d / bits) ** sampled) ** tables``
   at ``d`` differing bits (0.98 for the defaults at a Jaccard similarity of 0.8).
 
+The filtering stage takes the components of the sampled way as candidates only:
+within each, texts are compared by the exact Jaccard similarity of their word
+shingles (as 64-bit hashes). Large components are dealt as pairs of blocks.
+
 Edge cases: null, empty or blank text has fingerprint zero and links like any
 other; texts of fewer words than a shingle are one shingle; null ids are
 ignored for the component id (null if a component has no other); repeated rows
@@ -37,6 +41,10 @@ WORDS, RADIUS = 4, 4
 #: The filtering stage's: 256 bits over five words. A Jaccard similarity of 0.8 is an angle of 0.475, 39 bits of 256; 50 is two deviations more.
 WIDE_BITS, WIDE_WORDS, WIDE_RADIUS = 256, 5, 50
 CHUNK, LEAF, TABLES, SAMPLED = 1024, 32, 40, 12
+#: The similarity of the filtering stage's duplicates. Candidates that are compared together: texts, and bytes of their shingles.
+SIMILAR, MEMBERS, BLOCK_BYTES = 0.8, 512, 16 << 20
+#: Contents that are broadcast at most, of 16 bytes each.
+BROADCAST_ROWS = 200_000
 
 
 def _digests(bits: int):
@@ -205,14 +213,123 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(label, F.col("_fp") == F.col("_f")).select(F.col("_id").alias(id_col), F.lower(F.hex("_fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WIDE_WORDS, radius: int = WIDE_RADIUS, bits: int = WIDE_BITS) -> DataFrame:
+def _shingles(text: str | None, words: int) -> bytes:
+    """The distinct 64-bit hashes of the word shingles, packed."""
+    parts = (text or "").encode("utf-8", "replace").lower().split()
+    if not parts:
+        return b""
+    shingles = map(b" ".join, zip(*(parts[i:] for i in range(words)))) if len(parts) >= words else iter([b" ".join(parts)])
+    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, shingles), np.uint64)).tobytes()
+
+
+def _named(words: int, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            prints = pa.array([fingerprint(t, words, bits) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), prints, pa.array(map(_content, texts), pa.binary())], names=["_id", "_fp", "_h"])
+
+    return run
+
+
+def _content(text: str | None) -> bytes:
+    """Equal for texts of the same words."""
+    return xxhash.xxh3_128_digest(b" ".join((text or "").encode("utf-8", "replace").lower().split()))
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(map(_content, b.column(0).to_pylist()), pa.binary()), b.column(0)], names=["_h", "_text"])
+
+
+def _sets(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array((_shingles(t, words) for t in b.column(1).to_pylist()), pa.binary())], names=["h", "shingles"])
+
+    return run
+
+
+def similar(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
+    """Links that connect what Jaccard similarities of at least ``threshold`` connect."""
+    sizes, group = np.array([len(x) for x in sets]), np.arange(len(sets))
+    known, number = np.unique(np.concatenate(sets), return_inverse=True)
+    cuts = np.cumsum(sizes)[:-1]
+    sets, mark, out = np.split(number, cuts), np.zeros(len(known), bool), []
+    for i in range(len(sets)):
+        others = np.nonzero((group != group[i]) & (sizes > 0))[0]
+        # the smaller set is at most the intersection, the larger at least the union
+        others = others[np.minimum(sizes[others], sizes[i]) >= threshold * np.maximum(sizes[others], sizes[i])]
+        if not len(others):
+            continue
+        mark[sets[i]] = True
+        starts = np.cumsum(sizes[others]) - sizes[others]
+        shared = np.add.reduceat(mark[np.concatenate([sets[j] for j in others])], starts, dtype=np.int64)
+        mark[sets[i]] = False
+        for j in others[shared >= threshold * (sizes[others] + sizes[i] - shared)]:
+            if group[j] != group[i]:
+                group[group == group[j]] = group[i]
+                out.append((i, int(j)))
+    return out
+
+
+def _verified(threshold: float):
+    """Rows sorted by (root, i, j) -> links; a block's rows may span batches."""
+
+    def solve(rows: list[tuple]) -> pa.RecordBatch:
+        found = similar([np.frombuffer(r[4], np.uint64) for r in rows], threshold) if len(rows) > 1 else []
+        return pa.RecordBatch.from_arrays([pa.array([rows[i][3] for i, _ in found], pa.binary()), pa.array([rows[j][3] for _, j in found], pa.binary())], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                if held and held[0][:3] != row[:3]:
+                    yield solve(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield solve(held)
+
+    return run
+
+
+def verified_links(docs: DataFrame, nodes: DataFrame, text_col: str, words: int, threshold: float, members: int = MEMBERS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Links ``(u, v)`` of contents, within each ``root`` of ``nodes(_h, root)``, that connect what exact similarities connect."""
+    several = nodes.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select(F.col("root").alias("r"))
+    asked = written(nodes.join(several, F.col("root") == F.col("r"), "left_semi").select(F.col("_h").alias("w"), "root"), "asked")
+    wanted = asked.select("w")
+    texts = docs.select(F.col(text_col).alias("_text")).mapInArrow(_contents, "_h binary, _text string")
+    texts = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, F.col("_h") == F.col("w"), "left_semi").groupBy("_h").agg(F.min("_text").alias("t"))
+    sets = written(texts.mapInArrow(_sets(words), "h binary, shingles binary"), "shingles")
+    held = written(asked.join(sets, F.col("w") == F.col("h")).select("root", "h", "shingles"), "members")
+    blocks = F.ceil(F.greatest(F.col("n") / members, F.col("size") / block_bytes)).cast("int")
+    split = held.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.octet_length("shingles")).alias("size")).select(F.col("root").alias("sr"), blocks.alias("k"))
+    dealt = (
+        held.join(split, F.col("root") == F.col("sr"))
+        .withColumn("own", F.pmod(F.xxhash64("h"), F.col("k")).cast("int"))
+        .select("root", "h", "shingles", "own", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+        .select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "h", "shingles")
+    )
+    return dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(_verified(threshold), "u binary, v binary").distinct()
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WIDE_WORDS, radius: int = WIDE_RADIUS, bits: int = WIDE_BITS, threshold: float = SIMILAR) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: that of the least id.
 
+    Fingerprints only give groups of candidates; what groups in the end are
+    Jaccard similarities of at least ``threshold`` of the word shingles.
     Rows with a null id stay (they cannot be told apart); of rows that repeat an
     id one stays.
     """
-    found = near_duplicates(docs, id_col, text_col, words, radius, bits)
-    kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    prints = written(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(_named(words, bits), f"_id {kind}, _fp binary, _h binary"), "prints")
+    least = written(prints.groupBy("_h", "_fp").agg(F.min("_id").alias("first")), "contents")
+    near = components(links(least.select("_fp").distinct(), radius, bits))
+    nodes = written(least.join(near, F.col("_fp") == F.col("u"), "left").select("_h", "first", F.coalesce("v", "_fp").alias("root")), "candidates")
+    roots = components(verified_links(docs, nodes, text_col, words, threshold), "similar")
+    member = nodes.select("_h", "first").join(roots, F.col("_h") == F.col("u"), "left").select("first", F.coalesce("v", "_h").alias("root"))
+    kept = member.groupBy("root").agg(F.min("first").alias("_kept")).where("_kept is not null").select("_kept").distinct()
     rows = packed(docs, id_col, text_col)
     named = rows.where(F.col("_id").isNotNull()).dropDuplicates(["_id"]).join(kept, F.col("_id") == F.col("_kept"), "left_semi")
     return unpacked(named.unionByName(rows.where(F.col("_id").isNull())), docs.columns)

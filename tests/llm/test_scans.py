@@ -149,6 +149,43 @@ def test_keep_one(docs):
     assert kept.count(None) == 1 and 7 in kept and not {8, 9, 12} & set(kept) and kept.count(5) == 1
 
 
+def test_keep_one_goes_by_exact_similarity(spark):
+    rng = np.random.default_rng(11)
+    texts = []
+    for size in (8, 14, 60, 200):
+        for g in range(30):
+            word = [f"w{size}x{g}x{i}" for i in range(size)]
+            texts.append(" ".join(word))
+            for _ in range(3):
+                changed = list(word)
+                for at in rng.choice(size, max(1, size // 30), replace=False):
+                    changed[at] = f"new{rng.integers(10**9)}"
+                texts.append(" ".join(changed))
+    texts += [f"{texts[-1]} tail{i}" for i in range(40)]
+
+    def sets(t):
+        w = t.lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    held = [sets(t) for t in texts]
+    near = np.array([[5 * len(a & b) >= 4 * len(a | b) for b in held] for a in held])
+    label = np.arange(len(texts))
+    for _ in range(20):
+        label = np.array([label[n].min() for n in near])
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.keep_one(table).collect()}
+    want = set(label.tolist())
+    assert want <= kept and len(kept - want) <= 0.02 * len(texts)
+
+
+def test_similar_in_blocks(spark):
+    texts = [" ".join(f"v{i}" for i in range(100)) + f" end{k}" for k in range(30)] + [f"a{k} b c d e f" for k in range(5)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = spark.createDataFrame([(bytearray(simhash._content(t)), bytearray(b"r")) for t in texts], "_h binary, root binary")
+    links = simhash.components(simhash.verified_links(table, nodes, "text", 5, 0.8, members=4)).collect()
+    assert len(links) == 29 and len({bytes(r.v) for r in links}) == 1
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 
