@@ -10,6 +10,9 @@ dynamic program over those that still lack coverage. The fractional solution is
 rounded down and the rest packed best-fit. Pieces find their place by their rank
 among equal lengths; hot lengths are ranked in groups.
 
+The tokenizer file's added tokens (``<|endoftext|>``) are one id each where their
+content stands in a text, as in the tokenizer as loaded.
+
 Edge cases: null and empty texts are one piece, the end token alone; null ids and
 repeated rows are packed like any other; an empty table gives no rows; other
 columns are never read.
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -95,6 +99,28 @@ def encoder(tokenizer_file: str) -> Callable[[str], bytes]:
     return encode
 
 
+def whole_encoder(tokenizer_file: str) -> Callable[[str], bytes]:
+    """As :func:`encoder`, with the file's added tokens read as such wherever they stand, like the tokenizer as loaded."""
+    plain, added = encoder(tokenizer_file), json.loads(Path(tokenizer_file).read_text()).get("added_tokens") or []
+    if not added:
+        return plain
+    contents = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
+    # the longest of those that start at the same place
+    places = re.compile("(" + "|".join(map(re.escape, sorted(contents, key=len, reverse=True))) + ")")
+    if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        from tokenizers import Tokenizer
+
+        loaded = Tokenizer.from_file(tokenizer_file)
+        return lambda text: np.array(loaded.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def encode(text: str) -> bytes:
+        if not places.search(text):
+            return plain(text)
+        return b"".join(contents[x] if k % 2 else plain(x) for k, x in enumerate(places.split(text)))
+
+    return encode
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces; only the first may be shorter than the capacity."""
     first = n if n <= capacity else n % capacity or capacity
@@ -106,7 +132,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_file: str | No
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_file or default_tokenizer())
+        encode = whole_encoder(tokenizer_file or default_tokenizer())
         for b in batches:
             at, rows = [], []
             for i, x in enumerate(b.column(1)):

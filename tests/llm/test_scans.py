@@ -222,6 +222,16 @@ def test_packing_encodes_like_the_tokenizer():
         assert encode(text) == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
+def test_packing_reads_added_tokens_like_the_tokenizer_as_loaded(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    texts = ["a <|endoftext|> b", "q<|endoftext|>z", "<|endoftext|>", "x  <|endoftext|>  y\n", "a<|endoftext|><|endoftext|> ", "<|endoftext", "no such token", "é<|endoftext|>'s \n\n<|endoftext|>日本"]
+    for r in packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        ids = [*tok.encode(texts[r.doc_id], add_special_tokens=False).ids, 2]
+        assert (r.start, r.length, r.ids_crc32) == (0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), texts[r.doc_id]
+
+
 def test_plan_covers_the_histogram():
     rng = np.random.default_rng(3)
     for size in (1, 30, 3000):
