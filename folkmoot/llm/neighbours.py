@@ -7,14 +7,15 @@ distance to the slot's lower or upper border is the cost of moving by one, and
 sets of moves are drawn in order of their summed costs from a heap. Candidates
 of all tables are ranked by exact distance in double precision.
 
-The index is fitted to at most ``SAMPLE`` vectors (those of the least id hashes): slots are
-``WIDTH`` times their median distance wide, and the ``k`` / n quantile of their distances
-stands for that of a k-th neighbour among n rows. ``m`` is the greatest number, up to half the
+Slots are ``WIDTH`` times the median distance of at most ``SAMPLE`` vectors (those of the least
+id hashes, without copies) wide. The k-th distance above zero of ``ASKED`` of these among all rows
+is measured, and its quantile ``HIGH`` taken. ``m`` is the greatest number, up to half the
 binary logarithm of n, for which a simulation at that distance finds a neighbour with a chance of ``AIM``
 or more. Every row is indexed. Buckets of over
 ``chunk`` rows are dealt as chunks, each of which meets all probes of the
 bucket; within a bucket only each query's ``k`` best go on. A query for which the tables
-hold fewer than ``k`` candidates is answered by an exact scan of all rows, in
+hold fewer than ``k`` candidates, or whose ``k``-th lies beyond the distance up to which
+that chance is ``AIM``, is answered by an exact scan of all rows, in
 blocks of ``block`` queries.
 
 Edge cases: rows with a null id, a null, zero or empty vector, null or
@@ -38,6 +39,7 @@ from .common import written
 
 NEAREST, TABLES, PROBES_A_PROJECTION, WIDTH, AIM = 10, 10, 8, 1.42, 0.96
 SAMPLE, CHUNK, BLOCK, FLUSH = 1000, 4096, 500, 200_000
+ASKED, HIGH = 64, 0.95
 
 
 def valid(vector: Column) -> Column:
@@ -76,19 +78,23 @@ def chance(m: int, spread: float, probes: int, tables: int, trials: int = 200) -
     return 1 - (1 - hits / trials) ** tables
 
 
-def fit(sample: np.ndarray, n: int, k: int, tables: int) -> tuple[int, float]:
-    """Number of projections and width of the slots for ``n`` rows like the sample."""
+def fit(sample: np.ndarray, near: float, n: int, tables: int) -> tuple[int, float, float]:
+    """Number of projections and width of the slots for ``n`` rows like the (distinct) sample, and the distance up to which neighbours are found with a chance of ``AIM``."""
     if len(sample) < 2:
-        return 2, 1.0
+        return 2, 1.0, 0.0
     squares = (sample**2).sum(axis=1)
     apart = squares[:, None] + squares[None] - 2 * sample @ sample.T
     gaps = np.sqrt(np.maximum(apart[np.triu_indices(len(sample), 1)], 0))
     width = WIDTH * float(np.median(gaps)) or 1.0
-    near = float(np.quantile(gaps, min(1.0, k / n)))
+    found = lambda m, far: chance(m, far / width, PROBES_A_PROJECTION * m, tables) >= AIM
     m = max(2, round(math.log2(n + 1) / 2))
-    while m > 2 and chance(m, near / width, PROBES_A_PROJECTION * m, tables) < AIM:
+    while m > 2 and not found(m, near):
         m -= 1
-    return m, width
+    low, high = (near, 4 * near + width) if found(m, near) else (0.0, near)
+    for _ in range(6):
+        middle = (low + high) / 2
+        low, high = (middle, high) if found(m, middle) else (low, middle)
+    return m, width, low
 
 
 class Index:
@@ -221,6 +227,31 @@ def _scan(queries: np.ndarray, q: np.ndarray, k: int):
     return run
 
 
+def _kth(q: np.ndarray, k: int):
+    """Rows -> each query's ``k`` least distances above zero, equal ones (copies) once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0)] * len(q)
+        for b in batches:
+            v = _vectors(b.column(1))
+            for lo in range(0, len(b), 1024):
+                for j in range(len(q)):
+                    gap = v[lo : lo + 1024] - q[j]
+                    far = np.unique(np.concatenate([held[j], np.sqrt((gap * gap).sum(axis=-1))]))
+                    held[j] = far[far > 0][:k]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(q)), [len(x) for x in held])), pa.array(np.concatenate(held) if held else np.zeros(0))], names=["q", "far"])
+
+    return run
+
+
+def neighbour_distance(rows: DataFrame, q: np.ndarray, k: int) -> float:
+    """A high quantile of the distances from the vectors ``q`` to their k-th neighbours among all rows."""
+    own = Window.partitionBy("q").orderBy("far")
+    least = rows.mapInArrow(_kth(q, k), "q long, far double").distinct().withColumn("r", F.row_number().over(own)).where(F.col("r") <= k)
+    far = [r["far"] for r in least.groupBy("q").agg(F.max("far").alias("far")).collect()]  # at most ASKED rows
+    return float(np.quantile(far, HIGH)) if far else 0.0
+
+
 def _top(found: DataFrame, k: int) -> DataFrame:
     own = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(own)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
@@ -242,7 +273,9 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     rows = written(rows.where(F.size("v") == dimension).dropDuplicates(["id"]).mapInArrow(as_bytes, "id long, v binary"), "vectors")
     n = rows.count()
     sample = _vectors(rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()["v"])  # at most SAMPLE rows
-    index = Index(dimension, *fit(sample, n, k, tables), tables)
+    sample = sample[np.sort(np.unique(sample, axis=0, return_index=True)[1])]
+    m, width, sure = fit(sample, neighbour_distance(rows, sample[:ASKED], k), n, tables)
+    index = Index(dimension, m, width, tables)
 
     hashed = rows.mapInArrow(_hashed(index), "bucket long, id long, v binary")
     large = hashed.groupBy("bucket").agg(F.count("*").alias("c")).where(F.col("c") > chunk).select(F.col("bucket").alias("lb"), F.ceil(F.col("c") / chunk).cast("long").alias("chunks"))
@@ -254,9 +287,10 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     met = probed.unionByName(held).repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk", "side")
     found = written(_top(met.mapInArrow(_ranked(k), "query_id long, vec_id long, score double"), k), "neighbours")
 
-    counts = found.groupBy("query_id").agg(F.count("*").alias("c")).where(F.col("c") >= min(k, n - 1)).select(F.col("query_id").alias("done"))
+    counts = found.groupBy("query_id").agg(F.count("*").alias("c"), F.max("score").alias("far")).where((F.col("c") >= min(k, n - 1)) & (F.col("far") <= sure)).select(F.col("query_id").alias("done"))
     open_ = written(asked.join(counts, F.col("id") == F.col("done"), "left_anti"), "open")
-    left, out, after = open_.count(), found, None
+    left, after = open_.count(), None
+    out = found.join(open_.select(F.col("id").alias("asked")), F.col("query_id") == F.col("asked"), "left_anti") if left else found
     while left > 0:  # blocks of bounded size, in order of the ids
         part = open_.where(F.col("id") > after) if after is not None else open_
         some = part.orderBy("id").limit(block).toArrow()

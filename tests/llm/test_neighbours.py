@@ -30,6 +30,24 @@ def test_recall_ties_and_invalid_rows(spark):
     assert hit / total >= 0.9
 
 
+def test_copies_do_not_narrow_the_search(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(4000)]
+    rows += [(4000 + i, rows[1][1]) for i in range(400)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    packed = table.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")).mapInArrow(neighbours.as_bytes, "id long, v binary")
+    q = np.array([v for _, v in rows[2:42]])
+    true = [exact(rows[:4000], i)[-1][0] for i in range(2, 42)]
+    near = neighbours.neighbour_distance(packed, q, 10)
+    assert abs(near - np.quantile(true, neighbours.HIGH)) < 1e-9
+    m, width, sure = neighbours.fit(q, near, len(rows), neighbours.TABLES)
+    assert m == 2 or neighbours.chance(m, near / width, neighbours.PROBES_A_PROJECTION * m, neighbours.TABLES) >= neighbours.AIM
+    assert neighbours.chance(m, sure / width, neighbours.PROBES_A_PROJECTION * m, neighbours.TABLES) >= neighbours.AIM
+    found = neighbours.search(table, F.col("id") % 100 == 50).where("query_id < 4000").collect()
+    hit = sum(len({r.vec_id for r in found if r.query_id == i} & {j for _, j in exact(rows, i)}) for i in range(50, 4000, 100))
+    assert hit / 400 >= 0.9
+
+
 def test_few_rows(spark):
     rows = [(i, [float(i + 1), 1.0]) for i in range(0, 400, 100)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
