@@ -1,15 +1,20 @@
 """Secret scans with a recursive decoding worklist.
 
-Each text is a layer; runs that decode as URL escapes, Unicode or character
-escapes, base64, hexadecimal or (within decoded bytes) gzip, zlib or bzip2 data give new
-layers, until nothing new appears. Layers already seen in the text are not
-opened again, so cycles end. Every layer carries a map from its characters to
-the spans of the original text that they came from, and what is found in it is
-reported there.
+Each text is a layer. Runs that decode as URL escapes, Unicode or character
+escapes, base64 (also wrapped over lines) or hexadecimal give layers of bytes;
+these are read as text, without their NULs (UTF-16 and UTF-32), and inflated where
+they start like gzip, zlib, bzip2 or xz data, member after member. All new layers
+go on the worklist until nothing new appears. A layer of the same content from the
+same place is not opened again, so cycles end, of inflating layers too. Every
+layer carries a map from its characters to the spans of the original text that
+they came from, and what is found in it is reported there.
 
 Edge cases: null is the empty text; a very long text is one row, scanned whole;
-a decompressed layer may be ``most_bytes`` long at most (bombs are cut there,
-nothing else is); repeated rows are each reported; other columns are never read.
+inflated data beyond ``PIECE`` bytes are read in pieces that overlap by ``OVERLAP``
+(all that comes from one compressed run has that run's span, so no place is lost);
+bytes that are no UTF-8 are kept as they are, one character each; a cut or broken
+compressed run counts up to where it breaks; repeated rows are each reported; other
+columns are never read.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ import base64
 import binascii
 import bz2
 import hashlib
+import lzma
 import re
 import zlib
 from collections.abc import Iterator
@@ -34,11 +40,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 
 PERCENT = re.compile(r"(?<![A-Za-z0-9_.~+/=:&?-])(?:[A-Za-z0-9_.~+/=:&?-]*+%[0-9A-Fa-f]{2})++[A-Za-z0-9_.~+/=:&?-]*+")
+BYTE = re.compile("%([0-9A-Fa-f]{2})")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/]{16,}|[A-Za-z0-9_-]{16,})={0,2}(?![A-Za-z0-9+/_-])")
+#: Lines of one width, a multiple of four, and a last one that may be shorter.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])([A-Za-z0-9+/]{16,})(?:\r?\n[ \t]*[A-Za-z0-9+/]+)+={0,2}(?![A-Za-z0-9+/=])")
 HEXED = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){12,}(?![0-9A-Fa-f])")
-MAGIC = ((b"\x1f\x8b\x08", lambda: zlib.decompressobj(31)), (b"\x78\x01", zlib.decompressobj), (b"\x78\x5e", zlib.decompressobj), (b"\x78\x9c", zlib.decompressobj), (b"\x78\xda", zlib.decompressobj), (b"BZh", bz2.BZ2Decompressor))
-MOST_BYTES = 1 << 26
+PIECE, OVERLAP = 1 << 25, 1 << 20
 
 Found = tuple[int, int, str]
 
@@ -54,129 +62,183 @@ def base_spans(text: str) -> list[Found]:
     return out
 
 
-def _readable(data: bytes) -> str | None:
-    """The text of ``data``, if it is one: UTF-8 nearly without control characters."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    odd = sum(c < " " and c not in "\t\n\r" or c == "\x7f" for c in text)
-    return text if text and odd * 50 <= len(text) else None
-
-
-def _inflated(data: bytes) -> bytes | None:
-    for magic, opener in MAGIC:
-        if data.startswith(magic):
-            try:
-                return opener().decompress(data, MOST_BYTES) or None
-            except (zlib.error, OSError, ValueError, EOFError):
-                continue
-    return None
+def _opener(data: bytes):
+    """The decompressor of what ``data`` starts like, if of anything, and whether the start leaves no doubt."""
+    if data.startswith(b"\x1f\x8b\x08"):
+        return zlib.decompressobj(31), True
+    if data.startswith(b"BZh"):
+        return bz2.BZ2Decompressor(), True
+    if data.startswith(b"\xfd7zXZ\x00"):
+        return lzma.LZMADecompressor(lzma.FORMAT_XZ), True
+    if len(data) > 2 and data[0] & 15 == 8 and data[0] >> 4 < 8 and not data[1] & 32 and (data[0] << 8 | data[1]) % 31 == 0:
+        return zlib.decompressobj(), False
+    return None, False
+
+
+def _members(data: bytes) -> Iterator[bytes]:
+    """What the members of ``data``, one after the other, inflate to, in parts of bounded size; what follows them as it is."""
+    while data:
+        unpack, sure = _opener(data)
+        if unpack is None:
+            yield data
+            return
+        rest = data
+        try:
+            while not unpack.eof:
+                part = unpack.decompress(rest, PIECE)
+                rest = getattr(unpack, "unconsumed_tail", b"")
+                if not part and not rest:
+                    return
+                yield part
+        except (zlib.error, lzma.LZMAError, OSError, ValueError, EOFError):
+            return
+        data = unpack.unused_data
+
+
+def _inflated(data: bytes) -> Iterator[bytes]:
+    """The inflated data in pieces that overlap; none if ``data`` are not compressed."""
+    if _opener(data)[0] is None:
+        return
+    held = b""
+    for part in _members(data):
+        held += part
+        if len(held) > PIECE:
+            yield held
+            held = held[-OVERLAP:]
+    if held:
+        yield held
 
 
 class _Layer:
-    """A text with, for each character, where in the original it starts and ends."""
+    """A text or bytes with, for each character, where in the original it starts and ends.
 
-    __slots__ = ("ends", "starts", "text")
+    The places of what was inflated are one for all (arrays of stride 0).
+    """
 
-    def __init__(self, text: str, starts: np.ndarray, ends: np.ndarray):
-        self.text, self.starts, self.ends = text, starts, ends
+    __slots__ = ("content", "ends", "starts")
 
-    def part(self, text: str, lows: np.ndarray, highs: np.ndarray) -> _Layer:
-        """A layer whose characters came from ``[low, high)`` of this one."""
-        if self.starts.strides == (0,) and len(text):
-            return _Layer(text, np.broadcast_to(self.starts[0], len(text)), np.broadcast_to(self.ends[0], len(text)))
-        return _Layer(text, self.starts[lows], self.ends[np.maximum(highs, lows + 1) - 1])
+    def __init__(self, content: str | bytes, starts: np.ndarray, ends: np.ndarray):
+        self.content, self.starts, self.ends = content, starts, ends
 
-    def key(self) -> tuple[str, bytes]:
-        """Equal for layers of equal text and places."""
+    def part(self, content: str | bytes, lows: np.ndarray, highs: np.ndarray) -> _Layer:
+        """A layer whose characters came from ``[low, high)`` of this one."""
+        if self.starts.strides == (0,) and len(content):
+            return self.whole(content, 0, len(self.starts))
+        return _Layer(content, self.starts[lows], self.ends[np.maximum(highs, lows + 1) - 1])
+
+    def whole(self, content: str | bytes, lo: int, hi: int) -> _Layer:
+        """A layer all of whose characters came from ``[lo, hi)``, held as one place."""
+        n = len(content)
+        return _Layer(content, np.broadcast_to(self.starts[lo], n), np.broadcast_to(self.ends[hi - 1], n))
+
+    def digest(self) -> bytes:
+        text = isinstance(self.content, str)
+        data = self.content.encode("utf-8", "surrogatepass") if text else self.content
+        return hashlib.blake2b(data, digest_size=16, salt=b"t" if text else b"b").digest()
+
+    def key(self) -> tuple[bytes, bytes]:
+        """Equal for layers of equal content and places."""
         places = (self.starts[:1], self.ends[:1]) if self.starts.strides == (0,) else (self.starts, self.ends)
-        return self.text, hashlib.blake2b(b"".join(p.tobytes() for p in places), digest_size=16).digest()
+        return self.digest(), hashlib.blake2b(b"".join(p.tobytes() for p in places), digest_size=16).digest()
 
 
-def _whole(layer: _Layer, text: str, lo: int, hi: int) -> _Layer:
-    """A layer all of whose characters came from ``[lo, hi)``, held as one place."""
-    n = len(text)
-    return _Layer(text, np.broadcast_to(layer.starts[lo], n), np.broadcast_to(layer.ends[hi - 1], n))
-
-
-def _from_bytes(layer: _Layer, data: bytes, lows: np.ndarray, highs: np.ndarray) -> _Layer | None:
-    """The layer of bytes that came one by one from ``[low, high)``."""
-    if (plain := _inflated(data)) is not None:
-        while (more := _inflated(plain)) is not None:
-            plain = more
-        text = _readable(plain)
-        return _whole(layer, text, int(lows[0]), int(highs[-1])) if text else None
-    text = _readable(data)
-    if text is None:
-        return None
-    sizes = np.fromiter((len(c.encode()) for c in text), np.int64, len(text)) if not text.isascii() else np.ones(len(text), np.int64)
-    at = np.cumsum(sizes) - sizes
-    return layer.part(text, lows[at], highs[at + sizes - 1])
+def _opened(layer: _Layer) -> Iterator[_Layer]:
+    """The layers of bytes: what they inflate to, their text, and it without NULs."""
+    data = layer.content
+    for piece in _inflated(data):
+        yield layer.whole(piece, 0, len(data))
+    if _opener(data)[1]:
+        return
+    text = data.decode("utf-8", "surrogateescape")
+    if len(text) == len(data):
+        at = np.arange(len(data))
+        yield layer.part(text, at, at + 1)
+    else:
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        sizes = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF) - 2 * ((code >= 0xDC80) & (code <= 0xDCFF))
+        at = np.cumsum(sizes) - sizes
+        yield layer.part(text, at, at + sizes)
+    if 0 in data:
+        at = np.nonzero(np.frombuffer(data, np.uint8))[0]
+        yield layer.part(data.replace(b"\0", b""), at, at + 1)
 
 
 def _percent(layer: _Layer) -> Iterator[_Layer]:
-    if "%" not in layer.text:
+    if "%" not in layer.content:
         return
-    for m in PERCENT.finditer(layer.text):
-        data, lows, highs, k = bytearray(), [], [], m.start()
-        while k < m.end():
-            step = 3 if layer.text[k] == "%" and re.match("[0-9A-Fa-f]{2}", layer.text[k + 1 : k + 3]) else 1
-            data.append(int(layer.text[k + 1 : k + 3], 16) if step == 3 else ord(layer.text[k]))
-            lows.append(k)
-            highs.append(k + step)
-            k += step
-        if (found := _from_bytes(layer, bytes(data), np.array(lows), np.array(highs))) is not None:
-            yield found
+    for m in PERCENT.finditer(layer.content):
+        coded = np.frombuffer(m[0].encode(), np.uint8)
+        at = np.array([c.start() for c in BYTE.finditer(m[0])])
+        head = np.ones(len(coded), bool)
+        head[at + 1] = head[at + 2] = False
+        value, size = coded.copy(), np.ones(len(coded), np.int64)
+        value[at], size[at] = np.frombuffer(bytes.fromhex("".join(BYTE.findall(m[0]))), np.uint8), 3
+        lows = m.start() + np.nonzero(head)[0]
+        yield layer.part(value[head].tobytes(), lows, lows + size[head])
 
 
 def _escapes(layer: _Layer) -> Iterator[_Layer]:
-    if "\\" not in layer.text and "&#" not in layer.text:
+    if "\\" not in layer.content and "&#" not in layer.content:
         return
     pieces, lows, highs, at, some = [], [], [], 0, False
-    for m in ESCAPE.finditer(layer.text):
+    for m in ESCAPE.finditer(layer.content):
         code = int(m[5]) if m[5] else int(m[1] or m[2] or m[3] or m[4], 16)
         if code > 0x10FFFF or 0xD800 <= code < 0xE000:
             continue
         some = True
-        pieces += [layer.text[at : m.start()], chr(code)]
+        pieces += [layer.content[at : m.start()], chr(code)]
         lows += [np.arange(at, m.start()), [m.start()]]
         highs += [np.arange(at, m.start()) + 1, [m.end()]]
         at = m.end()
     if some:
-        n = len(layer.text)
-        pieces.append(layer.text[at:])
+        n = len(layer.content)
+        pieces.append(layer.content[at:])
         yield layer.part("".join(pieces), np.concatenate([*lows, np.arange(at, n)]).astype(np.int64), np.concatenate([*highs, np.arange(at, n) + 1]).astype(np.int64))
 
 
+def _decoded(layer: _Layer, run: str, places: np.ndarray) -> _Layer | None:
+    """The layer of a base64 run whose characters stand at ``places``."""
+    run = run.rstrip("=")
+    if len(run) % 4 == 1 or run.isdigit() or run.islower() or run.isupper():
+        return None
+    try:
+        data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
+    except (binascii.Error, ValueError):
+        return None
+    bits = np.arange(len(data)) * 8
+    return layer.part(data, places[bits // 6], places[(bits + 7) // 6] + 1) if data else None
+
+
 def _base64(layer: _Layer) -> Iterator[_Layer]:
-    for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1 or run.isdigit() or run.islower() or run.isupper():
-            continue
-        try:
-            data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        k = np.arange(len(data))
-        lows = m.start() + k * 8 // 6
-        highs = np.minimum(m.start() + (k * 8 + 7) // 6 + 1, m.end())
-        if len(data) and (found := _from_bytes(layer, data, lows, highs)) is not None:
+    for m in WRAPPED.finditer(layer.content) if "\n" in layer.content else ():
+        rows = [r.strip(" \t\r") for r in m[0].split("\n")]
+        if len(m[1]) % 4 == 0 and all(len(r) == len(m[1]) for r in rows[:-1]) and len(rows[-1]) <= len(m[1]):
+            at = m.start() + np.array([k for k, c in enumerate(m[0]) if c not in " \t\r\n"])
+            if (found := _decoded(layer, "".join(rows), at)) is not None:
+                yield found
+    for m in BASE64.finditer(layer.content):
+        if (found := _decoded(layer, m[0], np.arange(m.start(), m.end()))) is not None:
             yield found
 
 
 def _hexed(layer: _Layer) -> Iterator[_Layer]:
-    for m in HEXED.finditer(layer.text):
-        if m[0].isdigit():
-            continue
-        k = np.arange(len(m[0]) // 2)
-        if (found := _from_bytes(layer, bytes.fromhex(m[0]), m.start() + 2 * k, m.start() + 2 * k + 2)) is not None:
-            yield found
+    for m in HEXED.finditer(layer.content):
+        if not m[0].isdigit():
+            k = m.start() + 2 * np.arange(len(m[0]) // 2)
+            yield layer.part(bytes.fromhex(m[0]), k, k + 2)
 
 
 _HINT = re.compile(r"[A-Za-z0-9+/_-]{16}|%[0-9A-Fa-f]{2}|\\[ux]|&#")
 
 
+def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
+    if isinstance(layer.content, bytes):
+        yield from _opened(layer)
+    elif _HINT.search(layer.content):
+        for unwrap in (_percent, _escapes, _base64, _hexed):
+            yield from unwrap(layer)
+
+
 def scan(text: str | None) -> tuple[list[Found], list[Found]]:
     """The base spans of a text, and the spans that hidden layers add, both in its code points."""
     text = text or ""
@@ -186,19 +248,18 @@ def scan(text: str | None) -> tuple[list[Found], list[Found]]:
     n = len(text)
     top = _Layer(text, np.arange(n), np.arange(n) + 1)
     seen, todo, added = {top.key()}, [top], set()
-    spans_of: dict[str, list[Found]] = {}
+    spans_of: dict[bytes, list[Found]] = {}
     while todo:
-        layer = todo.pop()
-        for unwrap in (_percent, _escapes, _base64, _hexed):
-            for new in unwrap(layer):
-                key = new.key()
-                if key in seen:
-                    continue
-                seen.add(key)
-                todo.append(new)
-                if new.text not in spans_of:
-                    spans_of[new.text] = base_spans(new.text)
-                added |= {(int(new.starts[s]), int(new.ends[e - 1]), kind) for s, e, kind in spans_of[new.text]}
+        for new in _unwrapped(todo.pop()):
+            key = new.key()
+            if key in seen:
+                continue
+            seen.add(key)
+            todo.append(new)
+            if isinstance(new.content, str):
+                if key[0] not in spans_of:
+                    spans_of[key[0]] = base_spans(new.content)
+                added |= {(int(new.starts[s]), int(new.ends[e - 1]), kind) for s, e, kind in spans_of[key[0]]}
     return base, sorted(added - set(base), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
