@@ -6,12 +6,13 @@ length up to the capacity) is all that reaches the driver. There the
 configuration program (fewest bins whose patterns cover each length's count) is
 solved by multiplicative weights: a length's price falls exponentially with its
 coverage, and the pattern to use next is priced by the unbounded-knapsack
-dynamic program over those that still lack coverage. The fractional solution is
-rounded down and the rest packed best-fit. Pieces find their place by their rank
+dynamic program over those that still lack coverage. The prices also prove a lower
+bound by weak duality; steps are made finer until the cover is within ``GAP`` of it.
+The fractional solution is rounded down and the rest packed best-fit. Pieces find their place by their rank
 among equal lengths; hot lengths are ranked in groups.
 
-The tokenizer file's added tokens (``<|endoftext|>``) are one id each where their
-content stands in a text, as in the tokenizer as loaded.
+Ids are those of the tokenizer as loaded: its added tokens (``<|endoftext|>``) are
+one id each where their content stands in a text.
 
 Edge cases: null and empty texts are one piece, the end token alone; null ids and
 repeated rows are packed like any other; an empty table gives no rows; other
@@ -22,7 +23,6 @@ from __future__ import annotations
 
 import json
 import math
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -34,7 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CAPACITY, END_ID, ROUNDS, RATE = 1024, 2, 4, 4.0
+CAPACITY, END_ID, RATE = 1024, 2, 4.0
+#: The duality gap to reach, and the most rounds to try for it.
+GAP, ROUNDS = 0.001, 4
 #: Rows that are ranked together; a length has at most MOST_GROUPS groups.
 GROUP, MOST_GROUPS = 500, 4096
 #: A worker's cache of encoded words is emptied at this size.
@@ -47,29 +49,24 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _byte_level(tokenizer_file: str):
-    """The byte-level BPE of a tokenizer file, run by the faster of the two libraries that give the same ids."""
-    import tiktoken
-
-    model = json.loads(Path(tokenizer_file).read_text())
-    special = {t["content"] for t in model.get("added_tokens", ())}
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-    ranks = {bytes(map(byte_of.__getitem__, t)): i for t, i in model["model"]["vocab"].items() if t not in special}
-    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    return tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-
-
 def encoder(tokenizer_file: str) -> Callable[[str], bytes]:
-    """Text to its ids as little-endian uint32 bytes, remembering words.
+    """Text to its ids (the tokenizer as loaded, no special tokens added) as little-endian uint32 bytes, remembering words.
 
-    No token reaches from a non-space into a space. So a single space between
-    non-spaces opens a part that encodes alone, and texts with other runs of
-    spaces at such a place are encoded whole.
+    Where the file has neither a normalizer nor added tokens with a space or that
+    reach beyond their content, and splits texts like byte-level BPE, no token
+    reaches from a non-space into a space. So a single space between non-spaces
+    opens a part that encodes alone. Texts with other runs of spaces at such a
+    place, and all texts of other tokenizers, are encoded whole.
     """
-    ids = _byte_level(tokenizer_file).encode_ordinary
-    raw = lambda s: np.array(ids(s), "<u4").tobytes()
+    from tokenizers import Tokenizer
+
+    loaded = Tokenizer.from_file(tokenizer_file)
+    raw = lambda s: np.array(loaded.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+    told = json.loads(Path(tokenizer_file).read_text())
+    split = told.get("pre_tokenizer") or {}
+    reaching = any(" " in t["content"] or any(t.get(flag) for flag in ("single_word", "lstrip", "rstrip", "normalized")) for t in told.get("added_tokens") or ())
+    if reaching or told.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+        return raw
 
     class Irregular(Exception):
         pass
@@ -99,28 +96,6 @@ def encoder(tokenizer_file: str) -> Callable[[str], bytes]:
     return encode
 
 
-def whole_encoder(tokenizer_file: str) -> Callable[[str], bytes]:
-    """As :func:`encoder`, with the file's added tokens read as such wherever they stand, like the tokenizer as loaded."""
-    plain, added = encoder(tokenizer_file), json.loads(Path(tokenizer_file).read_text()).get("added_tokens") or []
-    if not added:
-        return plain
-    contents = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
-    # the longest of those that start at the same place
-    places = re.compile("(" + "|".join(map(re.escape, sorted(contents, key=len, reverse=True))) + ")")
-    if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
-        from tokenizers import Tokenizer
-
-        loaded = Tokenizer.from_file(tokenizer_file)
-        return lambda text: np.array(loaded.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(text: str) -> bytes:
-        if not places.search(text):
-            return plain(text)
-        return b"".join(contents[x] if k % 2 else plain(x) for k, x in enumerate(places.split(text)))
-
-    return encode
-
-
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces; only the first may be shorter than the capacity."""
     first = n if n <= capacity else n % capacity or capacity
@@ -132,7 +107,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_file: str | No
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = whole_encoder(tokenizer_file or default_tokenizer())
+        encode = encoder(tokenizer_file or default_tokenizer())
         for b in batches:
             at, rows = [], []
             for i, x in enumerate(b.column(1)):
@@ -172,17 +147,17 @@ def _pattern(seed: int, take: np.ndarray, lengths: np.ndarray, capacity: int) ->
     return out
 
 
-def fractional(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS, rate: float = RATE) -> list[tuple[dict[int, int], float]]:
-    """Patterns (length -> copies) and how often to use each, covering the histogram."""
-    lengths = np.array(sorted(histogram))
-    need = np.array([histogram[int(n)] for n in lengths], float)
-    covered, use = np.zeros(len(lengths)), Counter()
+def _covered(lengths: np.ndarray, need: np.ndarray, capacity: int, rounds: int, rate: float) -> tuple[Counter, float]:
+    """A fractional cover in ``rounds`` equal steps, and the greatest lower bound that its prices prove."""
+    covered, use, bound = np.zeros(len(lengths)), Counter(), 0.0
     for r in range(1, rounds + 1):
         target = r / rounds
         while (lacking := covered < target - 1e-9).any():
             prices = np.where(lacking, lengths / capacity * np.exp(rate * (target - covered)), 0.0)
             open_ = np.nonzero(lacking)[0]
-            _, take = knapsack(lengths[open_], prices[open_], capacity)
+            best, take = knapsack(lengths[open_], prices[open_], capacity)
+            # weak duality: no pattern is worth more than the knapsack's best
+            bound = max(bound, float(prices @ need) / float(best[-1]))
             for seed in range(len(open_) - 1, -1, -1):
                 pattern = Counter({int(open_[k]): c for k, c in _pattern(seed, take, lengths[open_], capacity).items()})
                 step = min((target - covered[k]) * need[k] / c for k, c in pattern.items())
@@ -191,7 +166,27 @@ def fractional(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS, r
                 for k, c in pattern.items():
                     covered[k] += step * c / need[k]
                 use[tuple(sorted((int(lengths[k]), c) for k, c in pattern.items()))] += step
-    return [(dict(p), x) for p, x in use.items()]
+    return use, bound
+
+
+def fractional(histogram: dict[int, int], capacity: int, gap: float = GAP, rounds: int = ROUNDS, rate: float = RATE) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """Patterns (length -> copies) and how often to use each, covering the histogram; and a lower bound on the bins of any cover.
+
+    Rounds are doubled until the cover is within ``gap`` of the bound, or there
+    are ``rounds`` of them; the best cover found is given.
+    """
+    lengths = np.array(sorted(histogram))
+    need = np.array([histogram[int(n)] for n in lengths], float)
+    # the prices of plain room, and of halves, are worth one at most for any pattern
+    bound = max(float(need @ lengths) / capacity, float(need[2 * lengths > capacity].sum() + need[2 * lengths == capacity].sum() / 2))
+    best, tried = None, 1
+    while best is None or (tried <= rounds and sum(best.values()) > (1 + gap) * bound):
+        use, proved = _covered(lengths, need, capacity, tried, rate)
+        bound = max(bound, proved)
+        if best is None or sum(use.values()) < sum(best.values()):
+            best = use
+        tried *= 2
+    return [(dict(p), x) for p, x in best.items()], bound
 
 
 def best_fit(histogram: Counter, capacity: int) -> Counter:
@@ -221,7 +216,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     left = Counter(histogram)
     chosen: Counter = Counter()
     chosen[((capacity, 1),)] = left.pop(capacity, 0)
-    for pattern, x in sorted(fractional(left, capacity), key=lambda p: -p[1]):
+    for pattern, x in sorted(fractional(left, capacity)[0] if left else [], key=lambda p: -p[1]):
         times = min(math.floor(x + 1e-6), *(left[n] // c for n, c in pattern.items()))
         if times > 0:
             chosen[tuple(sorted(pattern.items()))] += times

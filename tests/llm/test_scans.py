@@ -1,8 +1,11 @@
 """Secrets, personal data, SimHash, packing and contamination against brute force on small tables."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -190,7 +193,6 @@ def test_packing(docs):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(packing.default_tokenizer())
-    tok.encode_special_tokens = True
     held, ids_of = defaultdict(list), defaultdict(dict)
     rows = packing.pack(docs).collect()
     for r in rows:
@@ -216,9 +218,8 @@ def test_packing_encodes_like_the_tokenizer():
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(packing.default_tokenizer())
-    tok.encode_special_tokens = True
     encode = packing.encoder(packing.default_tokenizer())
-    for text in ("a  b\n\n c's d  ", " lead", "tail  ", "x y\x85z", "it's 'll  ’s 12 3½²\t\tq<|endoftext|>z", "a\x1c b", "\n \n", "日本 語", "a b", *filter(None, TEXTS)):
+    for text in ("a  b\n\n c's d  ", " lead", "tail  ", "x y\x85z", "it's 'll  ’s 12 3½²\t\tq<|endoftext|>z", "a\x1c b", "\n \n", "日本 語", "a b", " <|endoftext|> x", "<|endoftext|>\n y", "x <|endoftext|>  ", *filter(None, TEXTS)):
         assert encode(text) == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
@@ -232,6 +233,37 @@ def test_packing_reads_added_tokens_like_the_tokenizer_as_loaded(spark):
         assert (r.start, r.length, r.ids_crc32) == (0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), texts[r.doc_id]
 
 
+def test_packing_takes_very_long_runs(spark):
+    texts = ["\n" * 1_000_000, " " * 1_000_000, "!" * 1_000_000, "a " * 300_000]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {i: sum(r.length for r in rows if r.doc_id == i) for i in range(4)} == {0: 500_001, 1: 1_000_001, 2: 125_001, 3: 300_002}
+
+
+def test_all_documents_encode_like_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    tok, encode = Tokenizer.from_file(packing.default_tokenizer()), packing.encoder(packing.default_tokenizer())
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
+        assert encode(r.text or "") == np.array(tok.encode(r.text or "", add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_the_cover_is_within_the_gap_of_a_proved_bound():
+    rng = np.random.default_rng(5)
+    for lo, hi in ((1, 1025), (300, 700), (513, 1025)):
+        h = Counter(int(n) for n in rng.integers(lo, hi, 2000))
+        cover, bound = packing.fractional(dict(h), 1024)
+        held = Counter()
+        for pattern, x in cover:
+            assert sum(n * c for n, c in pattern.items()) <= 1024
+            for n, c in pattern.items():
+                held[n] += c * x
+        assert all(held[n] >= h[n] - 1e-6 for n in h)
+        assert bound <= sum(x for _, x in cover) + 1e-6 and sum(x for _, x in cover) <= 1.03 * bound, (lo, hi)
+    # three of each pair fill a bin, so the optimum is known
+    cover, bound = packing.fractional({512: 10, 256: 20, 341: 30}, 1024)
+    assert abs(bound - 20) < 1.0 and sum(x for _, x in cover) >= 20 - 1e-6
+
+
 def test_plan_covers_the_histogram():
     rng = np.random.default_rng(3)
     for size in (1, 30, 3000):
@@ -273,3 +305,75 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     for out in (secrets.scan_documents(empty), pii.find(empty), simhash.near_duplicates(empty), packing.pack(empty), decontaminate.contamination(empty, bench)):
         assert out.count() == 0
+
+
+def test_layers_that_inflate_to_themselves_end(monkeypatch):
+    class Same:
+        eof, unused_data = False, b""
+
+        def decompress(self, data, most):
+            self.eof = True
+            return data
+
+    quine = b"\x1f\x8b\x08 token=abcdefghijklmnop"
+    monkeypatch.setattr(secrets, "_opener", lambda data: (Same(), True) if data.startswith(b"\x1f\x8b\x08") else (None, False))
+    assert secrets.scan(base64.b64encode(quine).decode())[1] == []
+
+
+def test_all_members_and_forms_of_compressed_layers():
+    plain = b"x token=abcdefghijklmnop y"
+    for data in (
+        gzip.compress(b"first", mtime=0) + gzip.compress(plain, mtime=0),
+        gzip.compress(b"x token=abcd", mtime=0) + gzip.compress(b"efghijklmnop", mtime=0),
+        *(zlib.compress(plain, wbits=w) for w in range(9, 16)),
+        bz2.compress(plain),
+        lzma.compress(plain),
+        zlib.compress(bz2.compress(gzip.compress(plain, mtime=0))),
+        gzip.compress(plain * 40, mtime=0)[:-9],
+        gzip.compress(b"\xff\xfe binary \x00" + plain, mtime=0),
+        plain.decode().encode("utf-16"),
+        plain.decode().encode("utf-32-be"),
+        b"\xe9\x80 " + plain,
+    ):
+        coded = base64.b64encode(data).decode()
+        wrapped = "\r\n".join(coded[i : i + 64] for i in range(0, len(coded), 64))
+        for form in (coded, data.hex(), "".join(f"%{c:02X}" for c in data), wrapped, "\n  ".join(coded[i : i + 76] for i in range(0, len(coded), 76))):
+            text = f"é: {form} ;"
+            spans = secrets.scan(text)[1]
+            assert [k for _, _, k in spans if k == "assign"] and all(3 <= s < e <= len(text) - 2 for s, e, _ in spans), (data, form)
+
+
+def test_a_long_inflated_layer_is_read_to_its_end():
+    data = gzip.compress(b"a b " * (70 << 18) + b" token=abcdefghijklmnop", 1, mtime=0)
+    coded = base64.b64encode(data).decode()
+    assert secrets.scan(f"< {coded} >")[1] == [(2, 2 + len(coded.rstrip("=")), "assign")]
+
+
+def test_a_nest_of_ten_layers_and_undecodable_bytes():
+    text = "password=abcdefghijklmnop " + "filler " * 3
+    for k in range(10):
+        text = base64.b64encode(text.encode() if k % 2 else gzip.compress(text.encode(), mtime=0)).decode()
+    assert secrets.scan(text)[1] == [(0, len(text.rstrip("=")), "assign")]
+    assert [k for _, _, k in secrets.scan("q=%E9&token%3Dabcdefghijklmnop")[1]] == ["assign"]
+
+
+def test_planted_hidden_secrets_by_brute_force():
+    rng = random.Random(6)
+    say = lambda: " ".join("".join(rng.choice("ghijklmnopq") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(1, 30)))
+    for _ in range(200):
+        text, want = "", set()
+        for _ in range(rng.randint(1, 6)):
+            text += say() + " "
+            secret = f"{rng.choice(['token', 'passwd', 'api_key'])}={''.join(rng.choice('ghijkLMNOP') for _ in range(rng.randint(12, 30)))}"
+            form = rng.randint(0, 4)
+            coded = [
+                secret.replace("=", "%3D"),
+                secret.encode().hex(),
+                base64.b64encode(gzip.compress(secret.encode(), mtime=0)).decode(),
+                "".join(f"&#{ord(c)};" for c in secret),
+                "".join(f"\\u{ord(c):04x}" for c in secret),
+            ][form]
+            want.add((len(text), len(text) + len(coded.rstrip("=")), "assign"))
+            text += coded + " "
+        got = {x for x in secrets.scan(text)[1] if x[2] == "assign"}
+        assert got == want, text
