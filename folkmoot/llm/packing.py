@@ -23,10 +23,13 @@ from __future__ import annotations
 
 import json
 import math
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -39,8 +42,13 @@ CAPACITY, END_ID, RATE = 1024, 2, 4.0
 GAP, ROUNDS = 0.001, 4
 #: Rows that are ranked together; a length has at most MOST_GROUPS groups.
 GROUP, MOST_GROUPS = 500, 4096
-#: A worker's cache of encoded words is emptied at this size.
-CACHE = 600_000
+#: A worker's caches of encoded words are emptied at so many characters.
+CACHE = 6_000_000
+#: Characters of the texts that are encoded together.
+TOGETHER = 1 << 20
+#: White space as the split knows it: a run of it, a word; at the end of a text a run alone.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE, PART = re.compile(f"[{SPACES}]"), re.compile(f"([{SPACES}]*+)([^{SPACES}]++)|([{SPACES}]++)")
 
 
 def default_tokenizer() -> str:
@@ -49,51 +57,142 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(tokenizer_file: str) -> Callable[[str], bytes]:
-    """Text to its ids (the tokenizer as loaded, no special tokens added) as little-endian uint32 bytes, remembering words.
+class Encoder:
+    """Texts to their ids (the tokenizer as loaded, no special tokens added) as little-endian uint32 bytes, remembering words.
 
-    Where the file has neither a normalizer nor added tokens with a space or that
-    reach beyond their content, and splits texts like byte-level BPE, no token
-    reaches from a non-space into a space. So a single space between non-spaces
-    opens a part that encodes alone. Texts with other runs of spaces at such a
-    place, and all texts of other tokenizers, are encoded whole.
+    The byte-level split, which a file names with ``use_regex`` alone, never joins a
+    non-space with white space after it, and of white space before a non-space only a
+    last U+0020 goes with it; the rest of the run is one part but for a last character
+    that is no U+0020. Such parts encode alone, and are encoded many at a time: each
+    word after a space begins with the only id whose token has one. Texts that hold an
+    added token, and all texts of other tokenizers, are encoded whole.
     """
-    from tokenizers import Tokenizer
 
-    loaded = Tokenizer.from_file(tokenizer_file)
-    raw = lambda s: np.array(loaded.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
-    told = json.loads(Path(tokenizer_file).read_text())
-    split = told.get("pre_tokenizer") or {}
-    reaching = any(" " in t["content"] or any(t.get(flag) for flag in ("single_word", "lstrip", "rstrip", "normalized")) for t in told.get("added_tokens") or ())
-    if reaching or told.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
-        return raw
-
-    class Irregular(Exception):
-        pass
+    def __init__(self, tokenizer_file: str):
+        from tokenizers import Tokenizer
+
+        self.loaded = Tokenizer.from_file(tokenizer_file)
+        told = json.loads(Path(tokenizer_file).read_text())
+        split = told.get("pre_tokenizer") or {}
+        self.whole = bool(told.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True))
+        self.added = [t["content"] for t in told.get("added_tokens") or ()]
+        vocabulary = self.loaded.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # how byte-level vocabularies write the space
+        self.after_space: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
+        self.held, self.newline = 0, self.ids("\n")[0]
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.loaded.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, known: dict[str, bytes], unknown: set[str], glue: str) -> None:
+        """Put the ids of words without white space into ``known``: after a space, or bare."""
+        rest = list(unknown)
+        for lo in range(0, len(rest), 1000):
+            group = rest[lo : lo + 1000]
+            ids = self.ids(" " + " ".join(group) if glue == " " else "\n".join(group))
+            if glue == " ":
+                lows = np.nonzero(self.spaced[ids])[0]
+                highs = np.append(lows[1:], len(ids))
+            else:
+                breaks = np.nonzero(ids == self.newline)[0]
+                lows, highs = np.append(0, breaks + 1), np.append(breaks, len(ids))
+            if len(lows) == len(group):
+                data = ids.tobytes()
+                known.update(zip(group, [data[4 * a : 4 * b] for a, b in zip(lows.tolist(), highs.tolist())]))
+            else:
+                known.update((w, self.ids(glue.strip("\n") + w).tobytes()) for w in group)
+            self.held += sum(map(len, group))
+
+    def _parts(self, text: str, spaced: set[str], bare: set[str]) -> list[tuple[str, str, str]]:
+        """``(white space, word, white space at the end)`` of a text; words not known yet go into the sets."""
+        found = [(m[1] or "", m[2] or "", m[3]) for m in PART.finditer(text)]
+        for space, word, _ in found:
+            if space[-1:] == " ":
+                if word not in self.after_space:
+                    spaced.add(word)
+            elif word and word not in self.bare:
+                bare.add(word)
+        return found
+
+    def _joined(self, found: list[tuple[str, str, str]]) -> bytes:
+        out = []
+        for space, word, tail in found:
+            if not word:
+                out.append(self._space(tail))
+                continue
+            if len(space) > 1:
+                out.append(self._space(space[:-1]))
+            if space[-1:] == " ":
+                out.append(self.after_space[word])
+            else:
+                out += [self._space(space[-1]), self.bare[word]] if space else [self.bare[word]]
+        return b"".join(out)
+
+    def _space(self, run: str) -> bytes:
+        if run not in self.bare:
+            self.bare[run] = self.ids(run).tobytes()
+            self.held += len(run)
+        return self.bare[run]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; their unknown words are learned together."""
+        if self.held > CACHE:
+            self.after_space.clear()
+            self.bare.clear()
+            self.held = 0
+        plans: list[tuple | None] = []
+        spaced, bare = set(), set()
+        for text in texts:
+            if self.whole or any(x in text for x in self.added):
+                plans.append(None)
+                continue
+            first, *rest = text.split(" ")
+            unknown = set(rest).difference(self.after_space)
+            inner = {w for w in unknown if SPACE.search(w)}
+            if first[-1:] in SPACES or "" in unknown or any(w[0] in SPACES or w[-1] in SPACES for w in inner):  # white space beside a single space
+                plans.append((self._parts(text, spaced, bare), {}, []))
+            else:
+                spaced |= unknown - inner
+                plans.append((self._parts(first, spaced, bare), {w: self._parts(" " + w, spaced, bare) for w in inner}, rest))
+        self._learn(self.after_space, spaced, " ")
+        self._learn(self.bare, bare, "\n")
+        out = []
+        for text, plan_ in zip(texts, plans):
+            if plan_ is None:
+                out.append(self.ids(text).tobytes())
+                continue
+            head, inner, rest = plan_
+            if inner:
+                within = {w: self._joined(found) for w, found in inner.items()}
+                tail = b"".join([within[w] if w in within else self.after_space[w] for w in rest])
+            else:
+                tail = b"".join(map(self.after_space.__getitem__, rest))
+            out.append(self._joined(head) + tail)
+        return out
 
-    class Words(dict):
-        """Ids of a word after a space."""
+    def __call__(self, text: str) -> bytes:
+        return self.many([text])[0]
 
-        def __missing__(self, word: str) -> bytes:
-            if not word or word[0].isspace() or word[-1].isspace():
-                raise Irregular
-            self[word] = out = raw(" " + word)
-            return out
 
-    known = Words()
+@lru_cache(2)
+def _encoder(tokenizer_file: str) -> Encoder:
+    """A worker keeps what it has learned from task to task."""
+    return Encoder(tokenizer_file)
 
-    def encode(text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if not first or first[-1].isspace():
-            return raw(text)
-        if len(known) > CACHE:
-            known.clear()
-        try:
-            return raw(first) + b"".join(map(known.__getitem__, rest))
-        except Irregular:
-            return raw(text)
 
-    return encode
+def _in_turn(texts: Iterator[str], most: int = TOGETHER) -> Iterator[list[str]]:
+    """Lists of texts of some ``most`` characters."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size > most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -107,11 +206,12 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_file: str | No
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_file or default_tokenizer())
+        encode = _encoder(tokenizer_file or default_tokenizer())
         for b in batches:
             at, rows = [], []
-            for i, x in enumerate(b.column(1)):
-                ids = encode(x.as_py() or "") + end
+            texts = _in_turn(x.as_py() or "" for x in b.column(1))
+            for i, found in enumerate(chain.from_iterable(map(encode.many, texts))):
+                ids = found + end
                 for k, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
                     at.append(i)
                     rows.append((k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))

@@ -95,7 +95,7 @@ def test_contamination(spark, tables, stages):
 
 def test_packing(stages):
     before, after = stages[4]
-    encode = packing.encoder(packing.default_tokenizer())
+    encode = packing.Encoder(packing.default_tokenizer())
     total = sum(len(encode(r.text or "")) // 4 + 1 for r in before)
     assert sum(r.length for r in after) == total and {r.doc_id for r in after} == {r.doc_id for r in before}
     assert len({r.sequence_id for r in after}) <= -(-total // 1024) + 1
