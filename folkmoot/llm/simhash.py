@@ -1,17 +1,23 @@
 """SimHash near-duplicates: fingerprints linked through BK-trees.
 
-Fingerprints are dealt to shards and a BK-tree (children keyed by the integer
-Hamming distance to the parent) is grown and searched in each; only edges within
-the radius are followed. Broadcasting the trees would send the fingerprints of
-all documents through the driver, so the shards travel by shuffle instead. A
-shard of over ``chunk`` fingerprints is dealt as pairs of chunks; none is
-gathered whole. Two ways of dealing:
-
-* exact, for a small radius: fingerprints that differ in at most ``radius`` bits
-  agree on one of ``radius + 1`` blocks of bits, so each block value is a shard;
-* sampled, for a wide radius: ``tables`` fixed random sets of ``sampled`` bits,
-  each value a shard. Recall is ``1 - (1 - (1 - d / bits) ** sampled) ** tables``
-  at ``d`` differing bits (0.98 for the defaults at a Jaccard similarity of 0.8).
+Fingerprints are dealt to shards; in each a BK-tree (children keyed by the integer
+Hamming distance to the parent) is grown and searched by all fingerprints of the
+shard, and only edges within the radius of a query's distance are followed. All
+trees of a task grow and are searched level by level together. Broadcasting the
+trees would send the fingerprints of all documents through the driver, so the shards
+travel by shuffle instead. A shard of over ``chunk`` fingerprints is dealt as pairs of
+chunks, the tree of one being searched by the other; none is gathered whole. Two
+ways of dealing:
+
+* exact, for a small radius: of ``radius + agree`` blocks of bits, fingerprints that
+  differ in at most ``radius`` bits agree on ``agree`` blocks, so the values of each
+  choice of ``agree`` blocks are shards;
+* sampled, for a wide radius: fixed random sets of bits, each value a shard; as many
+  sets as give ``RECALL`` at the distance ``NEAR``, ``1 - (1 - (1 - d / bits) ** width) ** tables``
+  at ``d`` differing bits.
+
+``agree`` and the width grow with the number of fingerprints, so that the mean shard
+stays within ``chunk``.
 
 The filtering stage takes the components of the sampled way as candidates only:
 within each, texts are compared by the exact Jaccard similarity of their word
@@ -25,8 +31,9 @@ and equal texts are one node; other columns are never read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import islice
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +47,12 @@ from .common import components, packed, unpacked, written
 WORDS, RADIUS = 4, 4
 #: The filtering stage's: 256 bits over five words. A Jaccard similarity of 0.8 is an angle of 0.475, 39 bits of 256; 50 is two deviations more.
 WIDE_BITS, WIDE_WORDS, WIDE_RADIUS = 256, 5, 50
-CHUNK, LEAF, TABLES, SAMPLED = 1024, 32, 40, 12
+CHUNK, SAMPLED, NEAR, RECALL = 1024, 12, 39, 0.997
+#: Queries that are searched together.
+ASKED = 4096
 #: The similarity of the filtering stage's duplicates. Candidates that are compared together: texts, and bytes of their shingles.
 SIMILAR, MEMBERS, BLOCK_BYTES = 0.8, 512, 16 << 20
-#: Contents that are broadcast at most, of 16 bytes each.
+#: Contents or shards that are broadcast at most, of 16 bytes each.
 BROADCAST_ROWS = 200_000
 
 
@@ -85,28 +94,61 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int16)
 
 
-def bk_links(tree: np.ndarray, asked: np.ndarray, radius: int, leaf: int = LEAF) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions in ``tree`` and ``asked`` (rows of uint64) within ``radius`` of each other.
+class Forest:
+    """BK-trees over rows of uint64, grown a level at a time; ``tree`` numbers each row's tree.
 
-    The BK-tree is grown as it is searched, a node at a time with all queries
-    that reach it. Subtrees of at most ``leaf`` fingerprints are compared directly.
+    The first row of a tree is its root; a node's children differ in their distance to
+    it, and each heads the rows at that distance, in their order. So all nodes below a
+    node are later rows.
     """
-    todo = [(np.arange(len(tree)), np.arange(len(asked)))]
-    while todo:
-        s, q = todo.pop()
-        if len(s) <= leaf:
-            i, j = np.nonzero(_distance(tree[s][:, None], asked[q][None, :]) <= radius)
-            yield s[i], q[j]
-            continue
-        root, rest = s[0], s[1:]
-        dq = _distance(asked[q], tree[root])
-        hit = q[dq <= radius]
-        yield np.full(len(hit), root), hit
-        ds = _distance(tree[rest], tree[root])
-        for edge in np.unique(ds):
-            near = q[np.abs(dq - edge) <= radius]
-            if len(near):
-                todo.append((rest[ds == edge], near))
+
+    def __init__(self, fp: np.ndarray, tree: np.ndarray):
+        self.fp, self.keys = fp, 64 * fp.shape[1] + 1
+        members = np.argsort(tree, kind="stable")
+        group = tree[members]
+        nodes, edges, first = [], [], np.ones(len(members), bool)
+        first[1:] = group[1:] != group[:-1]
+        self.names, self.roots = group[first], members[first]
+        while not first.all():
+            heads = members[first][np.cumsum(first) - 1][~first]
+            members = members[~first]
+            far = _distance(fp[members], fp[heads]).astype(np.int64)
+            order = np.lexsort((far, heads))  # stable: rows stay in their order
+            members, heads, far = members[order], heads[order], far[order]
+            first = np.ones(len(members), bool)
+            first[1:] = (heads[1:] != heads[:-1]) | (far[1:] != far[:-1])
+            nodes.append(members[first])
+            edges.append(heads[first] * self.keys + far[first])
+        edge, node = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (edges, nodes))
+        order = np.argsort(edge)
+        #: By parent and distance: the edges, and the children they lead to.
+        self.edge, self.node = edge[order], node[order]
+        self.followed = self.skipped = 0
+
+    def search(self, asked: np.ndarray, tree: np.ndarray, radius: int, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows of the trees and positions in ``asked`` within ``radius`` of each other, each asked in its ``tree``.
+
+        Where ``own`` is not negative it is the query's row here, and only earlier rows are looked for.
+        """
+        at = np.minimum(np.searchsorted(self.names, tree), max(len(self.names) - 1, 0))
+        known = np.nonzero(self.names[at] == tree)[0] if len(self.names) else np.zeros(0, np.int64)
+        for low in range(0, len(known), ASKED):
+            q = known[low : low + ASKED]
+            v = self.roots[at[q]]
+            while len(q):
+                keep = (own[q] < 0) | (v < own[q])
+                q, v = q[keep], v[keep]
+                far = _distance(asked[q], self.fp[v]).astype(np.int64)
+                hit = far <= radius
+                yield v[hit], q[hit]
+                lo = np.searchsorted(self.edge, v * self.keys + np.maximum(far - radius, 0))
+                hi = np.searchsorted(self.edge, v * self.keys + np.minimum(far + radius, self.keys - 1), "right")
+                several = hi - lo
+                every = np.searchsorted(self.edge, (v + 1) * self.keys) - np.searchsorted(self.edge, v * self.keys)
+                self.followed += int(several.sum())
+                self.skipped += int((every - several).sum())
+                q, lo = np.repeat(q, several), np.repeat(lo - np.cumsum(several) + several, several)
+                v = self.node[lo + np.arange(len(lo))]
 
 
 def _labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -124,27 +166,6 @@ def _labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def _search(radius: int, bits: int):
     """Batches sorted by task -> star edges; a task may span batches."""
 
-    def solve(fp: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        a = np.nonzero(side == 0)[0]
-        b = np.nonzero(side == 1)[0] if side.any() else a
-        pairs = [(a[i], b[j]) for i, j in bk_links(fp[a], fp[b], radius)]
-        left, right = np.concatenate([x for x, _ in pairs]), np.concatenate([x for _, x in pairs])
-        label = _labels(len(fp), left, right)
-        moved = np.nonzero(label != np.arange(len(fp)))[0]
-        return moved, label[moved]
-
-    def solved(task: np.ndarray, side: np.ndarray, fp: np.ndarray, raw: pa.Array) -> pa.RecordBatch:
-        us, vs = [], []
-        cuts = np.nonzero((task[1:] != task[:-1]).any(axis=1))[0] + 1
-        for lo, hi in zip([0, *cuts], [*cuts, len(task)]):
-            own = task[lo, 1] == task[lo, 2]
-            if hi - lo > 1 and (own or side[lo:hi].min() != side[lo:hi].max()):
-                u, v = solve(fp[lo:hi], side[lo:hi] * (not own))
-                us.append(u + lo)
-                vs.append(v + lo)
-        flat = lambda x: raw.take(pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)))
-        return pa.RecordBatch.from_arrays([flat(us), flat(vs)], names=["u", "v"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
         for b in batches:
@@ -159,20 +180,36 @@ def _search(radius: int, bits: int):
             yield _solve_table(rest, np.column_stack([rest[n].to_numpy() for n in ("task", "i", "j")]))
 
     def _solve_table(t: pa.Table, task: np.ndarray) -> pa.RecordBatch:
-        raw = t["_fp"].combine_chunks()
-        return solved(task, t["side"].to_numpy(), _as_words(raw, bits), raw)
+        raw, side = t["_fp"].combine_chunks(), t["side"].to_numpy()
+        fp, own = _as_words(raw, bits), task[:, 1] == task[:, 2]
+        number = np.cumsum(np.append(0, (task[1:] != task[:-1]).any(axis=1)))
+        grown, asked = np.nonzero(own | (side == 0))[0], np.nonzero(own | (side == 1))[0]
+        forest = Forest(fp[grown], number[grown])
+        row = np.where(own[asked], np.searchsorted(grown, asked), -1)
+        pairs = [(grown[i], asked[j]) for i, j in forest.search(fp[asked], number[asked], radius, row)]
+        label = _labels(len(fp), *(np.concatenate(x) for x in zip(*pairs))) if pairs else np.arange(len(fp))
+        moved = np.nonzero(label != np.arange(len(fp)))[0]
+        return pa.RecordBatch.from_arrays([raw.take(pa.array(moved)), raw.take(pa.array(label[moved]))], names=["u", "v"])
 
     return run
 
 
-def _deal(radius: int, bits: int, exact: bool):
-    """Each fingerprint with the number of each shard that it belongs to."""
+def takes(n: int, radius: int, bits: int, chunk: int) -> list[np.ndarray]:
+    """The sets of bits whose values are the shards of ``n`` fingerprints."""
+    need = math.log2(max(n, 1) / chunk) if n > chunk else 0.0
+    if radius < 8:
+        agree = next(k for k in range(1, 99) if bits * k // (radius + k) >= need)
+        cuts = np.linspace(0, bits, radius + agree + 1).astype(int)
+        blocks = [np.arange(a, b) for a, b in zip(cuts, cuts[1:])]
+        return [np.concatenate(c) for c in combinations(blocks, agree)]
+    width = max(SAMPLED, math.ceil(need))
+    tables = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - NEAR / bits) ** width))
     draw = np.random.default_rng(7)
-    if exact:
-        cuts = np.linspace(0, bits, radius + 2).astype(int)
-        takes = [np.arange(a, b) for a, b in zip(cuts, cuts[1:])]
-    else:
-        takes = [np.sort(draw.choice(bits, SAMPLED, replace=False)) for _ in range(TABLES)]
+    return [np.sort(draw.choice(bits, width, replace=False)) for _ in range(tables)]
+
+
+def _deal(takes: list[np.ndarray], bits: int):
+    """Each fingerprint with the number of each shard that it belongs to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -187,11 +224,10 @@ def _deal(radius: int, bits: int, exact: bool):
 
 def links(distinct: DataFrame, radius: int = RADIUS, bits: int = 64, chunk: int = CHUNK) -> DataFrame:
     """Star edges ``(u, v)`` of distinct ``_fp`` that connect what links connect."""
-    exact = radius < 8
-    dealt = distinct.mapInArrow(_deal(radius, bits, exact), "_fp binary, shard long")
-    # At most (radius + 1) * 2 ** ceil(bits / (radius + 1)) rows (40,960) or TABLES * 2 ** SAMPLED (163,840), whatever the input.
+    chosen = takes(distinct.count(), radius, bits, chunk)
+    dealt = distinct.mapInArrow(_deal(chosen, bits), "_fp binary, shard long")
     sizes = dealt.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1").select(F.col("shard").alias("s"), F.ceil(F.col("n") / chunk).cast("int").alias("k"))
-    if not exact or bits // (radius + 1) < 16:
+    if len(chosen) << max(map(len, chosen)) <= BROADCAST_ROWS:  # there are no more shards
         sizes = F.broadcast(sizes)
     tasks = (
         dealt.join(sizes, F.col("shard") == F.col("s"))
@@ -205,7 +241,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, bits: int = 64, chunk: int
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, radius: int = RADIUS, bits: int = 64, chunk: int = CHUNK) -> DataFrame:
     """``(id, fingerprint, component_id)`` for each row; component: least id reachable."""
     prints = written(fingerprints(docs, id_col, text_col, words, bits), "prints")
-    least = prints.groupBy("_fp").agg(F.min("_id").alias("first"))
+    least = written(prints.groupBy("_fp").agg(F.min("_id").alias("first")), "fingerprints")
     roots = components(links(least.select("_fp"), radius, bits, chunk))
     member = least.join(roots, F.col("_fp") == F.col("u"), "left").select("_fp", "first", F.coalesce("v", "_fp").alias("root"))
     top = member.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -325,7 +361,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     kind = docs.schema[id_col].dataType.simpleString()
     prints = written(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(_named(words, bits), f"_id {kind}, _fp binary, _h binary"), "prints")
     least = written(prints.groupBy("_h", "_fp").agg(F.min("_id").alias("first")), "contents")
-    near = components(links(least.select("_fp").distinct(), radius, bits))
+    near = components(links(written(least.select("_fp").distinct(), "fingerprints"), radius, bits))
     nodes = written(least.join(near, F.col("_fp") == F.col("u"), "left").select("_h", "first", F.coalesce("v", "_fp").alias("root")), "candidates")
     roots = components(verified_links(docs, nodes, text_col, words, threshold), "similar")
     member = nodes.select("_h", "first").join(roots, F.col("_h") == F.col("u"), "left").select("first", F.coalesce("v", "_h").alias("root"))
