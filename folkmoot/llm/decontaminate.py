@@ -1,14 +1,16 @@
 """Benchmark decontamination as a prefix-filtered set join; SQL functions only.
 
 A window is ``size`` consecutive words of an item (all words of a shorter item).
-All words of a window must stand in a document for it to occur there, so the
-one rarest word is a necessary prefix: rarity is counted over all documents and
-items. Documents' words join the prefix words, the place of the word in the
-window gives the one possible start, the bounds of the document discard starts
-that leave it, and the window is then compared word for word.
+Its tokens are its shingles of ``SHINGLE`` words (a shorter window is one shingle).
+All of them must stand in a document for the window to occur there, so the rarest
+one is a necessary prefix: rarity is counted over all documents. One pass over the
+documents finds the places of all shingles that the benchmark has; the prefix
+shingles' places give the possible starts, the document's bounds discard those that
+leave it, and in the documents left each window is compared word for word with the
+words there.
 
-The windows are broadcast only in blocks of at most ``block`` rows (about 300
-bytes each); a larger benchmark is searched block after block.
+Hashes of shingles, prefixes, windows and candidates are broadcast only where they
+take at most ``BROADCAST_BYTES``; beyond that the same joins are shuffled.
 
 Edge cases: null and word-less texts have no words and no hits; word-less items
 are no items; repeated documents are each reported; repeated items count once by
@@ -18,12 +20,14 @@ never read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, packed, row_key, unpacked, written
 
-SIZE, BLOCK = 10, 200_000
+SIZE, SHINGLE, BROADCAST_BYTES = 10, 5, 32 << 20
 #: All ASCII characters but digits and lower-case letters.
 SEPARATORS = r"[\x00-/:-`{-\x7F]+"
 
@@ -33,66 +37,95 @@ def words(text: Column) -> Column:
     return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), lambda w: w != "")
 
 
-def windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
-    """``(win, items)``: the distinct windows with the ids of their items, as strings."""
-    w = benchmark.select(F.col(id_col).cast("string").alias("item"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
-    starts = F.sequence(F.lit(1), F.greatest(F.size("w") - size + 1, F.lit(1)))
-    each = w.select("item", F.explode(F.transform(starts, lambda s: F.slice(F.col("w"), s, size))).alias("win"))
-    return each.groupBy("win").agg(F.collect_set("item").alias("items"))
-
-
-def prefixes(wins: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Each window with its rarest word ``rare`` and that word's place ``at`` (from 0)."""
-    said = wins.select(F.explode(F.array_distinct("win")).alias("word"))
-    vocabulary = said.groupBy("word").agg(F.count("*").alias("own"))
-    if wins.count() <= BLOCK:  # at most SIZE words a window
-        vocabulary = F.broadcast(vocabulary)
-    counted = (
-        docs.select(F.explode(words(F.col(text_col))).alias("said"))
-        .join(vocabulary, F.col("said") == F.col("word"))
-        .groupBy("word")
-        .agg(F.count("*").alias("n"))
-    )
-    ranked = wins.select("win", F.explode(F.array_distinct("win")).alias("w")).join(counted, F.col("w") == F.col("word"), "left")
-    # a window with a word that no document has cannot occur: inner rows only if all its words were seen
-    rare = ranked.groupBy("win").agg(F.min_by("w", F.struct(F.coalesce("n", F.lit(0)), "w")).alias("rare"), F.min(F.coalesce("n", F.lit(0))).alias("seen")).where("seen > 0")
-    return rare.select(F.monotonically_increasing_id().alias("win_id"), "win", "rare", (F.array_position("win", F.col("rare")) - 1).cast("int").alias("at"))
-
-
-def occurrences(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", size: int = SIZE, keys: tuple[str, ...] = ("_k",), block: int = BLOCK) -> DataFrame:
-    """``(*keys, start, len, items)`` for each place where a window stands, start from 0."""
-    wins = written(windows(benchmark, size=size), "windows")
-    table = written(prefixes(wins, docs, text_col), "prefixes")
-    n = table.count()
-    out = None
-    for k in range(max(1, -(-n // block))):
-        part = table.where(F.pmod(F.xxhash64("win"), F.lit(max(1, -(-n // block)))) == k) if n > block else table
-        found = (
-            docs.select(*keys, words(F.col(text_col)).alias("w"))
-            .select(*keys, "w", F.posexplode("w").alias("pos", "word"))
-            .join(F.broadcast(part), F.col("word") == F.col("rare"))
-            .where((F.col("pos") >= F.col("at")) & (F.col("pos") - F.col("at") + F.size("win") <= F.size("w")))
-            .where(F.slice("w", F.col("pos") - F.col("at") + 1, F.size("win")) == F.col("win"))
-            .select(*keys, (F.col("pos") - F.col("at")).alias("start"), F.size("win").alias("len"), "win")
-        )
-        out = found if out is None else out.unionByName(found)
-    held = wins.select(F.col("win").alias("_w"), "items")
-    if n <= block:
-        held = F.broadcast(held)
-    return out.join(held, F.col("win") == F.col("_w")).select(*keys, "start", "len", "items")
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once a row however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def shingles(w: Column, n: int) -> Column:
+    """The 64-bit hashes of ``n`` consecutive words, in order."""
+    hashed = F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.xxhash64(*(F.get(w, i + j) for j in range(n))))
+    return F.when(F.size(w) >= n, hashed).otherwise(F.array().cast("array<bigint>"))
+
+
+def small(df: DataFrame, size: Column) -> DataFrame:
+    """``df`` marked for broadcast, if ``size`` summed over its rows is at most ``BROADCAST_BYTES``."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
+
+
+def windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = SIZE) -> tuple[DataFrame, DataFrame]:
+    """``(win_id, win, len)``, the distinct windows as text, and ``(win_id, item)``, ids as strings."""
+
+    def cut(w: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1)))
+        return F.when(F.size(w) > 0, F.transform(starts, lambda s: F.array_join(F.slice(w, s, size), " ")))
+
+    each = written(benchmark.select(F.col(id_col).cast("string").alias("item"), F.explode(once(words(F.col(text_col)), cut)).alias("win")).distinct(), "windows")
+    wins = written(each.select("win").distinct().select(F.monotonically_increasing_id().alias("win_id"), "win", F.size(F.split("win", " ")).alias("len")), "window-ids")
+    return wins, each.where("item is not null").withColumnRenamed("win", "w").join(wins, F.col("w") == F.col("win")).select("win_id", "item")
+
+
+def met(docs: DataFrame, tokens: DataFrame, text_col: str, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """``(*keys, n_words)`` for each row of ``docs``, and ``(*keys, n_words, pos, sh)`` for each place of a shingle of ``tokens``."""
+    sizes = sorted(r["n"] for r in tokens.select("n").distinct().collect())  # at most SHINGLE rows
+    vocabulary = tokens.select(F.col("sh").alias("known")).distinct()
+    every = docs.select(*keys, once(words(F.col(text_col)), lambda w: F.struct(F.size(w).alias("n"), F.concat(F.array().cast("array<bigint>"), *(shingles(w, n) for n in sizes)).alias("sh"))).alias("w"))
+    spread = every.select(*keys, F.col("w.n").alias("n_words"), F.posexplode_outer("w.sh").alias("idx", "sh"))
+    found = written(spread.join(small(vocabulary, F.lit(64)), F.col("sh") == F.col("known"), "left").where("known is not null or coalesce(idx, 0) = 0"), "shingles")
+    # the hashes of each size follow those of the smaller ones
+    pos, before = F.lit(None).cast("int"), F.lit(0)
+    for n in sizes:
+        pos = F.when(F.col("idx") >= before, F.col("idx") - before).otherwise(pos)
+        before = before + F.greatest(F.col("n_words") - n + 1, F.lit(0))
+    return found.where("coalesce(idx, 0) = 0").select(*keys, "n_words"), found.where("known is not null").select(*keys, "n_words", pos.alias("pos"), "sh")
+
+
+def prefixes(tokens: DataFrame, places: DataFrame) -> DataFrame:
+    """Each window that can occur at all: its rarest shingle and that one's place (from 0)."""
+    counted = places.groupBy("sh").agg(F.count("*").alias("c")).withColumnRenamed("sh", "s")
+    ranked = tokens.join(counted, F.col("sh") == F.col("s"), "left")
+    rare = ranked.groupBy("win_id").agg(F.min_by(F.struct("sh", "at", "len"), F.struct("c", "at")).alias("r"), F.count_if(F.col("c").isNull()).alias("unseen")).where("unseen = 0")
+    return rare.select("win_id", F.col("r.sh").alias("rare"), F.col("r.at").alias("at"), F.col("r.len").alias("len"))
+
+
+def occurrences(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", size: int = SIZE, keys: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(*keys, _k, n_words)`` of each row of ``docs`` (keyed by ``_k``); ``(_k, start, len, win_id)`` for each place where a window stands, start from 0; ``(win_id, item)``."""
+    wins, items = windows(benchmark, size=size)
+
+    def parts(n: int) -> DataFrame:
+        of_size = wins.where(F.col("len") == n if n < SHINGLE else F.col("len") >= n)
+        return of_size.select("win_id", "len", F.lit(n).alias("n"), F.posexplode(once(F.split("win", " "), lambda w: shingles(w, n))).alias("at", "sh"))
+
+    lengths = [r["n"] for r in wins.select(F.least("len", F.lit(SHINGLE)).alias("n")).distinct().collect()]  # at most SHINGLE rows
+    tokens = parts(SHINGLE)
+    for n in lengths:
+        tokens = tokens.unionByName(parts(n)) if n < SHINGLE else tokens
+    tokens = written(tokens, "tokens")
+    rows, places = met(docs, tokens, text_col, (*keys, "_k"))
+    prefix = written(prefixes(tokens, places), "prefixes")
+    start = F.col("pos") - F.col("at")
+    starts = places.join(small(prefix, F.lit(96)), F.col("sh") == F.col("rare")).where((start >= 0) & (start + F.col("len") <= F.col("n_words")))
+    asked = written(starts.groupBy(F.col("_k").alias("a")).agg(F.collect_set(F.struct(start.alias("start"), "len", "win_id")).alias("c")), "candidates")
+    texts = docs.select("_k", text_col)
+    if (asked.count() or 1) * 64 <= BROADCAST_BYTES:  # so that only their texts are shuffled, where the candidates themselves are too many
+        texts = texts.join(F.broadcast(asked.select("a")), F.col("_k") == F.col("a"), "left_semi")
+    said = lambda w: F.transform("c", lambda c: F.struct(c["start"].alias("start"), c["len"].alias("len"), c["win_id"].alias("i"), F.array_join(F.slice(w, c["start"] + 1, c["len"]), " ").alias("said")))
+    read = texts.join(small(asked, 32 + 40 * F.size("c")), F.col("_k") == F.col("a")).select("_k", F.explode(once(words(F.col(text_col)), said)).alias("c")).select("_k", "c.*")
+    stands = read.join(small(wins.select("win_id", "win"), F.octet_length("win") + 48), (F.col("i") == F.col("win_id")) & (F.col("said") == F.col("win")))
+    return rows, written(stands.select("_k", "start", "len", "win_id"), "occurrences"), items
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """One row per row of ``docs``: word counts, items found and whether any was."""
-    keyed = row_key(docs, id_col, text_col)
-    places = occurrences(keyed, benchmark, "_text", size)
-    spans = places.groupBy("_k", "start").agg(F.max("len").alias("len"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
-    hit = spans.select("_k", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("len") - 1)).alias("p")).distinct().groupBy("_k").agg(F.count("*").alias("n_hit"))
-    named = spans.select("_k", F.explode("items").alias("item")).distinct().groupBy("_k").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    rows, places, items = occurrences(row_key(docs, id_col, text_col), benchmark, "_text", size, ("_id",))
+    spans = places.groupBy("_k", "start").agg((F.col("start") + F.max("len")).alias("end"))
+    reached = F.coalesce(F.max("end").over(Window.partitionBy("_k").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    hit = spans.withColumn("new", F.greatest(F.lit(0), F.col("end") - F.greatest("start", reached))).groupBy("_k").agg(F.sum("new").alias("n_hit"))
+    named = places.select("_k", "win_id").distinct().join(small(items.withColumnRenamed("win_id", "i"), F.octet_length("item") + 48), F.col("win_id") == F.col("i")).groupBy("_k").agg(F.array_sort(F.collect_set("item")).alias("items"))
     found = hit.join(named, "_k", "left").select(F.col("_k").alias("_f"), "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-    return keyed.select(F.col("_id").alias(id_col), "_k", F.size(words(F.col("_text"))).cast("long").alias("n_words")).join(found, F.col("_k") == F.col("_f"), "left").select(
-        id_col,
-        "n_words",
+    return rows.join(small(found, F.lit(64) + F.length(F.array_join("items", ","))), F.col("_k") == F.col("_f"), "left").select(
+        F.col("_id").alias(id_col),
+        F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
@@ -103,5 +136,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """``docs`` without the rows in which a window of the benchmark occurs."""
     keyed = packed(docs, id_col, text_col)
-    places = occurrences(keyed, benchmark, "_text", size)
-    return unpacked(keyed.join(places.select("_k"), "_k", "left_anti"), docs.columns)
+    _, places, _ = occurrences(keyed.select("_k", "_text"), benchmark, "_text", size)
+    hit = places.select("_k").distinct()
+    return unpacked(keyed.join(small(hit, F.lit(64)), "_k", "left_anti"), docs.columns)
