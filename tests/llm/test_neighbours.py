@@ -35,7 +35,7 @@ def test_copies_do_not_narrow_the_search(spark):
     rows = [(i, rng.normal(size=16).tolist()) for i in range(4000)]
     rows += [(4000 + i, rows[1][1]) for i in range(400)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    packed = table.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")).mapInArrow(neighbours.as_bytes, "id long, v binary")
+    packed = table.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v")).mapInArrow(neighbours.as_bytes("f8"), "id long, v binary")
     q = np.array([v for _, v in rows[2:42]])
     true = [exact(rows[:4000], i)[-1][0] for i in range(2, 42)]
     near = neighbours.neighbour_distance(packed, q, 10)
@@ -61,3 +61,20 @@ def test_probe_order_is_by_cost():
     cost = lambda v: sum(x**2 if d < 0 else (1 - x) ** 2 for x, d in zip(f, v) if d)
     found = neighbours.probe_order(f, 27)
     assert len({tuple(v) for v in found}) == 27 and [cost(v) for v in found] == sorted(cost(v) for v in found)
+
+
+def test_repeated_ids_and_huge_components(spark):
+    rows = [(0, [1e200, 1.0]), (1, [-1e200, 1.0]), (2, [1e200, 3.0]), (3, [1.0, 1.0]), (3, [0.5, 1.0]), (100, [1.0, 2.0]), (4, [1e308, 1e308])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    out = neighbours.search(table, F.col("id") % 100 == 0).orderBy("query_id", "rank").collect()
+    got = {q: [(r.vec_id, r.score) for r in out if r.query_id == q] for q in (0, 100)}
+    assert [i for i, _ in got[0]] == [2, 3, 100, 1, 4] and got[0][0][1] == 2.0 and abs(got[0][3][1] / 2e200 - 1) < 1e-12
+    assert got[100][0] == (3, 1.25**0.5)
+
+
+def test_floats_are_measured_in_double_precision(spark):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(300, 16)).astype(np.float32)
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    for r in neighbours.search(table, F.col("id") % 100 == 0).collect():
+        assert abs(r.score - np.linalg.norm(v[r.query_id].astype(float) - v[r.vec_id].astype(float))) < 1e-12
