@@ -1,19 +1,20 @@
 """Personal data by patterns, and by bootstrapped contextual extraction; SQL functions only.
 
-Base matches (e-mail, IP, card, phone) are the seeds. The two words before a
-match are a lexical pattern. Patterns and instances form a graph that is scored
-in turns: a pattern by the share of its distinct instances that are known for a
-kind (with at least ``support`` of them), an instance by the patterns that reach
-it (noisy or). Tokens with a digit or @ that no base match covers become known
-at ``trust``, and count as seeds in the next turn; their places are the
-``context`` spans. All counts are over all documents.
+Base matches (e-mail, IP, card, phone) are the seeds. The two words before a match
+and the two words after it are its lexical patterns. Patterns and instances form a
+graph that is scored in turns: a pattern by the share of its distinct instances that
+are known for a kind (with at least ``support`` of them), an instance by the patterns
+that reach it (noisy or). Tokens with a digit or @ that no base match covers become
+known at ``trust``, and count as seeds in the next turn; their places beside such
+patterns are the ``context`` spans. Turns end when no score changes any more (scores
+only rise, and are rounded). All counts are over all documents.
 
 Places come from marking: matches are enclosed in a private-use character, the
 text is split there, and the lengths of the pieces are summed up in order.
 
 Edge cases: null is the empty text; rows equal in id and text are scanned once
 and each reported; the marking character in a text is read as another of the
-same length; other columns are never read.
+same length; tokens and words of any length count; other columns are never read.
 """
 
 from __future__ import annotations
@@ -30,11 +31,11 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "token": r"(?<!\S)(?=[^\s0-9@]{0,40}[0-9@])\S{4,64}(?!\S)",
+    "token": r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+",
 }
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]", "token": "[0-9@]"}
 MARK, STAND_IN = "\ue000", "\ue001"
-SUPPORT, TRUST, TURNS = 5, 0.8, 3
+SUPPORT, TRUST = 5, 0.8
 
 
 def _digits(x: Column) -> Column:
@@ -59,67 +60,97 @@ def valid(kind: Column, match: Column) -> Column:
     )
 
 
+def _beside(piece: Column) -> Column:
+    """The first two words of a piece that begins with white space, in lower case, one space between them; else empty."""
+    return F.regexp_replace(F.lower(F.regexp_extract(piece, r"(?U)^\s++(\S++\s++\S++)", 1)), r"(?U)\s+", " ")
+
+
 def matches(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(_k, kind, start, end, match, before)`` of base matches and of tokens; ``docs`` keyed by ``_k``."""
+    """``(_k, kind, start, end, match, before, after)`` of base matches and of tokens; ``docs`` keyed by ``_k``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     text = F.when(F.contains(text, F.lit(MARK)), F.translate(text, MARK, STAND_IN)).otherwise(text)
     hint = lambda kind: F.contains(F.col("t"), F.lit("@")) if kind == "email" else F.col("t").rlike(HINTS[kind])
     marked = [F.when(hint(k), F.struct(F.lit(k).alias("kind"), F.split(F.regexp_replace("t", p, f"{MARK}$0{MARK}"), MARK).alias("parts"))) for k, p in PATTERNS.items()]
+    said = F.col("idx") % 2 == 1
     pieces = (
         docs.select("_k", text.alias("t"))
         .where(F.col("t").rlike("[0-9@]"))
         .select("_k", F.explode(F.filter(F.array(*marked), lambda m: m.isNotNull() & (F.size(m["parts"]) > 1))).alias("m"))
         .select("_k", "m.kind", F.posexplode("m.parts").alias("idx", "piece"))
-        .select("_k", "kind", "idx", F.char_length("piece").alias("n"), F.when(F.col("idx") % 2 == 1, F.col("piece")).otherwise(F.right("piece", F.lit(64))).alias("piece"))
+        .select(
+            "_k",
+            "kind",
+            "idx",
+            F.char_length("piece").alias("n"),
+            F.when(said, F.col("piece")).alias("match"),
+            F.when(~said, F.reverse(_beside(F.reverse("piece")))).alias("last"),
+            F.when(~said, _beside(F.col("piece"))).alias("first"),
+        )
     )
     in_text = Window.partitionBy("_k", "kind").orderBy("idx")
     placed = (
         pieces.repartition("_k", "kind")
         .dropDuplicates(["_k", "kind", "idx"])
         .withColumn("end", F.sum("n").over(in_text.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("left", F.lag("piece").over(in_text))
-        .where("idx % 2 = 1")
+        .withColumn("before", F.lag("last").over(in_text))
+        .withColumn("after", F.lead("first").over(in_text))
+        .where("match is not null")
     )
-    before = F.lower(F.regexp_extract(F.concat(F.lit(" "), "left"), r"(?U)\s(\S+\s+\S+)\s+$", 1))
-    return placed.where(valid(F.col("kind"), F.col("piece"))).select("_k", "kind", (F.col("end") - F.col("n")).alias("start"), "end", F.col("piece").alias("match"), F.regexp_replace(before, r"\s+", " ").alias("before"))
+    return placed.where(valid(F.col("kind"), F.col("match"))).select("_k", "kind", (F.col("end") - F.col("n")).alias("start"), "end", "match", "before", "after")
 
 
 def _free_tokens(found: DataFrame) -> DataFrame:
-    """Tokens that no base match overlaps."""
-    base = found.where("kind <> 'token'").select(F.col("_k").alias("_b"), F.col("start").alias("s"), F.col("end").alias("e"))
-    return found.where("kind = 'token'").join(base, (F.col("_k") == F.col("_b")) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end")), "left_anti")
+    """Tokens that no base match overlaps, by one sorted pass over each text's matches."""
+    at = Window.partitionBy("_k").orderBy("start")
+    base = F.col("kind") != "token"
+    reached = F.max(F.when(base, F.col("end"))).over(at.rangeBetween(Window.unboundedPreceding, 0))
+    following = F.min(F.when(base, F.col("start"))).over(at.rangeBetween(0, Window.unboundedFollowing))
+    free = found.withColumn("_reached", reached).withColumn("_next", following).where(~base)
+    return free.where((F.coalesce("_reached", F.lit(0)) <= F.col("start")) & (F.col("_next").isNull() | (F.col("_next") >= F.col("end")))).drop("_reached", "_next")
+
+
+def beside(found: DataFrame, *columns: str | Column) -> DataFrame:
+    """``columns`` and ``pattern`` for each lexical pattern of each match: ``<`` and the words before it, ``>`` and those after it."""
+    both = F.array(F.concat(F.lit("<"), F.coalesce("before", F.lit(""))), F.concat(F.lit(">"), F.coalesce("after", F.lit(""))))
+    return found.select(*columns, F.explode(F.filter(both, lambda p: F.char_length(p) > 1)).alias("pattern"))
 
 
-def bootstrap(found: DataFrame, support: int = SUPPORT, trust: float = TRUST, turns: int = TURNS) -> DataFrame:
-    """``(before, instance, kind, score)`` of the unseen identifiers that patterns reach.
+def bootstrap(found: DataFrame, support: int = SUPPORT, trust: float = TRUST) -> DataFrame:
+    """``(pattern, instance, kind, score)`` of the unseen identifiers that patterns reach.
 
-    ``found`` has rows ``(kind, match, before)``, tokens being of kind ``token``.
+    ``found`` has rows ``(kind, match, before, after)``, tokens being of kind ``token``.
     """
-    graph = written(found.where("before <> ''").groupBy("before", F.lower("match").alias("instance"), "kind").agg(F.count("*").alias("n")), "graph")
-    seeds = graph.where("kind <> 'token'").select("instance", "kind", F.lit(1.0).alias("score")).distinct()
-    reach = graph.groupBy("before").agg(F.count_distinct("instance").alias("all"))
-    new = None
-    for _ in range(turns):
+    graph = written(beside(found, F.lower("match").alias("instance"), "kind").distinct(), "graph")
+    edges = written(graph.select("pattern", "instance").distinct(), "edges")
+    unseen = graph.where("kind = 'token'").select("pattern", "instance")
+    seeds = written(graph.where("kind <> 'token'").select("instance", "kind", F.lit(1.0).alias("score")).distinct(), "seeds")
+    reach = written(edges.groupBy("pattern").agg(F.count("*").alias("all")), "reach")
+    new, before = None, None
+    while True:
         known = seeds if new is None else seeds.unionByName(new.groupBy("instance", "kind").agg(F.max("score").alias("score")))
-        edges = graph.select("before", "instance").distinct()
-        patterns = (
+        patterns = written(
             edges.join(known, "instance")
-            .groupBy("before", "kind")
+            .groupBy("pattern", "kind")
             .agg(F.sum("score").alias("held"), F.count("*").alias("hits"))
             .where(F.col("hits") >= support)
-            .join(reach, "before")
-            .select("before", F.col("kind").alias("k"), F.least(F.lit(0.99), F.col("held") / F.col("all")).alias("trusted"))
-            .where(F.col("trusted") >= trust)
+            .join(reach, "pattern")
+            .select("pattern", F.col("kind").alias("k"), F.least(F.lit(0.99), F.round(F.col("held") / F.col("all"), 4)).alias("trusted"))
+            .where(F.col("trusted") >= trust),
+            "patterns",
         )
-        reached = graph.where("kind = 'token'").join(patterns, "before").groupBy("instance", F.col("k").alias("kind")).agg((1 - F.exp(F.sum(F.log(1 - F.col("trusted"))))).alias("score")).where(F.col("score") >= trust)
-        turn = graph.where("kind = 'token'").select("before", "instance").join(patterns, "before").join(reached.withColumnRenamed("kind", "rk"), "instance").where("k = rk").select("before", "instance", F.col("k").alias("kind"), "score")
+        met = unseen.join(patterns, "pattern")
+        reached = met.groupBy("instance", "k").agg(F.round(1 - F.exp(F.sum(F.log(1 - F.col("trusted")))), 4).alias("score")).where(F.col("score") >= trust)
+        turn = met.join(reached, ["instance", "k"]).select("pattern", "instance", F.col("k").alias("kind"), "score")
         last, new = new, written(turn, "reached")
-        if last is not None:
-            same = last.count() == new.count()
-            discard(last)
-            if same:
-                break
-    return new
+        after = new.agg(F.count("*").alias("n"), F.sum(F.col("score").cast("decimal(30,4)")).alias("s")).first()
+        for done in (last, patterns):
+            if done is not None:
+                discard(done)
+        if after == before or not after["n"]:
+            for done in (graph, edges, seeds, reach):
+                discard(done)
+            return new
+        before = after
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, trust: float = TRUST) -> DataFrame:
@@ -127,11 +158,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", suppor
     keyed = row_key(docs, id_col, text_col)
     every = written(matches(keyed, "_text"), "matches")
     base = every.where("kind <> 'token'")
-    free = _free_tokens(every)
+    free = written(_free_tokens(every), "tokens")
     unseen = bootstrap(base.unionByName(free), support, trust)
-    added = free.join(unseen.select(F.col("before").alias("b"), F.col("instance").alias("i")).distinct(), (F.col("before") == F.col("b")) & (F.lower("match") == F.col("i")), "left_semi").withColumn("kind", F.lit("context"))
+    places = beside(free, "_k", "start", "end", F.lower("match").alias("instance"))
+    added = places.join(unseen.select("pattern", "instance").distinct(), ["pattern", "instance"], "left_semi").select("_k", "start", "end", F.lit("context").alias("kind")).distinct()
     order = F.array_position(F.array(*map(F.lit, (*KINDS, "context"))), F.col("kind"))
-    spans = base.unionByName(added).select("_k", F.struct("start", order.alias("o"), "end", "kind").alias("s")).groupBy("_k").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    spans = base.select("_k", "start", "end", "kind").unionByName(added).select("_k", F.struct("start", order.alias("o"), "end", "kind").alias("s")).groupBy("_k").agg(F.array_sort(F.collect_list("s")).alias("s"))
     base_of = F.filter("s", lambda s: s["o"] <= len(KINDS))
     count_of = lambda kind: F.size(F.filter("s", lambda s: s["kind"] == kind)).cast("long")
     said = lambda arr: F.array_join(F.transform(arr, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

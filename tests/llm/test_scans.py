@@ -139,12 +139,48 @@ def test_simhash(docs):
     assert all(group[r.doc_id] == r.component_id for r in rows)
 
 
-def test_bk_tree_equals_all_pairs():
+def test_bk_trees_equal_all_pairs_and_skip_subtrees():
     rng = np.random.default_rng(1)
     near = np.uint64(12345) ^ (np.uint64(1) << rng.integers(0, 64, 200).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 200).astype(np.uint64))
-    fp = np.concatenate([near, rng.integers(0, 2**63, 300).astype(np.uint64)])[:, None]
-    found = {(int(i), int(j)) for a, b in simhash.bk_links(fp, fp, 4) for i, j in zip(a, b)}
-    assert found == {(i, j) for i in range(500) for j in range(500) if int(fp[i, 0] ^ fp[j, 0]).bit_count() <= 4}
+    fp = np.unique(np.concatenate([near, rng.integers(0, 2**63, 300).astype(np.uint64)]))
+    fp = rng.permutation(fp)[:, None]
+    n, tree = len(fp), np.arange(len(fp)) % 3
+    forest = simhash.Forest(fp, tree)
+    for own in (np.full(n, -1), np.arange(n)):
+        forest.followed = forest.skipped = 0
+        found = [(int(i), int(j)) for a, b in forest.search(fp, tree, 4, own) for i, j in zip(a, b)]
+        want = {(i, j) for i in range(n) for j in range(n) if tree[i] == tree[j] and (own[j] < 0 or i < j) and int(fp[i, 0] ^ fp[j, 0]).bit_count() <= 4}
+        assert set(found) == want and len(found) == len(want)
+        assert forest.followed > 0 and forest.skipped > forest.followed / 4
+    one = simhash.Forest(fp, np.zeros(n, int))
+    assert len(one.node) == n - 1 and sorted(one.node) == [i for i in range(n) if i != one.roots[0]]
+    for parent, child, edge in zip(one.edge // one.keys, one.node, one.edge % one.keys):
+        assert int(fp[parent, 0] ^ fp[child, 0]).bit_count() == edge and parent < child
+
+
+def test_shards_grow_with_the_input_and_lose_no_link():
+    rng = np.random.default_rng(2)
+    for n in (10, 10**6, 10**8, 10**11):
+        takes = simhash.takes(n, 4, 64, 1024)
+        assert n / 2 ** min(map(len, takes)) <= 1024
+        for _ in range(200):
+            differing = set(rng.choice(64, 4, replace=False).tolist())
+            assert any(not differing & set(t.tolist()) for t in takes)
+    assert len(simhash.takes(10**5, 50, 256, 1024)) == 40 and len(simhash.takes(10**9, 50, 256, 1024)[0]) == 20
+
+
+def test_components_at_scale_equal_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = simhash.near_duplicates(docs).collect()
+    prints = np.array([int(r.fingerprint, 16) for r in rows], np.uint64)
+    near = np.bitwise_count(prints[:, None] ^ prints[None]) <= 4
+    label = np.array([r.doc_id for r in rows])
+    for _ in rows:
+        before = label
+        label = np.array([label[x].min() for x in near])
+        if (label == before).all():
+            break
+    assert label.tolist() == [r.component_id for r in rows]
 
 
 def test_keep_one(docs):
@@ -218,7 +254,7 @@ def test_packing_encodes_like_the_tokenizer():
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(packing.default_tokenizer())
-    encode = packing.encoder(packing.default_tokenizer())
+    encode = packing.Encoder(packing.default_tokenizer())
     for text in ("a  b\n\n c's d  ", " lead", "tail  ", "x y\x85z", "it's 'll  ’s 12 3½²\t\tq<|endoftext|>z", "a\x1c b", "\n \n", "日本 語", "a b", " <|endoftext|> x", "<|endoftext|>\n y", "x <|endoftext|>  ", *filter(None, TEXTS)):
         assert encode(text) == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
@@ -242,7 +278,11 @@ def test_packing_takes_very_long_runs(spark):
 def test_all_documents_encode_like_the_tokenizer(spark):
     from tokenizers import Tokenizer
 
-    tok, encode = Tokenizer.from_file(packing.default_tokenizer()), packing.encoder(packing.default_tokenizer())
+    tok, encode = Tokenizer.from_file(packing.default_tokenizer()), packing.Encoder(packing.default_tokenizer())
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choices(["a", "Bc", "'s", "'", "12", "é", "!", "  ", " ", " ", "\n", "\t", "\x85", "\xa0", "\u2003", "\x1c", "\u200b", "日", "<|endoftext|>"], k=rng.randint(0, 12)))
+        assert encode(text) == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
     for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
         assert encode(r.text or "") == np.array(tok.encode(r.text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -377,3 +417,34 @@ def test_planted_hidden_secrets_by_brute_force():
             text += coded + " "
         got = {x for x in secrets.scan(text)[1] if x[2] == "assign"}
         assert got == want, text
+
+
+def test_pii_precision_and_recall_on_planted_identifiers(spark):
+    rng = random.Random(12)
+    say = lambda k: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "room", "plan"]) for _ in range(k))
+    rows, want = [], {}
+    for i in range(400):
+        text, kind = say(rng.randint(0, 30)), max(0, i % 10 - 6)
+        number = f"+1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+        if kind == 0:
+            text += f" reach me under {number} during office hours "
+        elif kind == 1:  # hidden behind the left context, in a token of any length
+            token = f"ext-{rng.randint(10**5, 10**6)}" + "x" * rng.choice([0, 3, 90])
+            start = len(text) + len(" reach me under ")
+            text, want[i] = text + f" reach me under {token} or later ", (start, start + len(token))
+        elif kind == 2:  # behind the right context only
+            token = f"q{rng.randint(10**5, 10**6)}"
+            start = len(text) + len(" or try ")
+            text, want[i] = text + f" or try {token} during office hours ", (start, start + len(token))
+        else:
+            text += f" in {rng.randint(1900, 2030)} we had room b{rng.randint(1, 99)} and paid 12.50 for it "
+        rows.append((i, text + say(rng.randint(0, 30))))
+    # a third hop: a pattern that only discovered identifiers stand beside
+    seen = [rows[i][1][slice(*want[i])] for i in sorted(want) if i % 10 == 7][:30]
+    rows += [(1000 + k, f"the code given was {token} for you") for k, token in enumerate(seen)] + [(2000, "the code given was zz-9 for you")]
+    out = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = {i: [tuple(map(int, x.split(":")[1:])) for x in spans.split(",") if x.startswith("context")] for i, spans in out.items()}
+    hit = sum(found[i] == [w] for i, w in want.items())
+    assert hit / len(want) >= 0.95, hit / len(want)
+    assert not any(found[i] for i in range(400) if i not in want)
+    assert found[2000] == [(19, 23)]
