@@ -6,6 +6,8 @@ space, ``(?U)`` patterns are used; bare ``trim`` would only strip U+0020.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,9 +71,18 @@ CONTENTS_MARKERS = ("inhoud", "sommaire")
 GARBLED = "[\\u0400-\\u052F\\uE000-\\uF8FF]"
 
 
+#: Unicode white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once a row however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def utrim(x: Column) -> Column:
     """Strip Unicode white space at both ends."""
-    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    return F.btrim(x, F.lit(WHITE))
 
 
 def squash(x: Column) -> Column:
@@ -97,14 +108,20 @@ def money_range(raw: Column, fixed: bool = False) -> Column:
     """
     bare = F.translate(F.replace(raw, F.lit(ROUNDED), F.lit("")), " €& ", "")
     bare = F.replace(F.replace(bare, F.lit("."), F.lit("")), F.lit(","), F.lit(".")) if fixed else F.replace(bare, F.lit(","), F.lit(""))
-    left, right = F.split_part(bare, F.lit("-"), F.lit(1)), F.regexp_extract(bare, r"(?s)^[^-]*-(.*)$", 1)
     plain = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-    value = lambda x: F.when(utrim(x).rlike(plain), number_text(utrim(x).try_cast("double")))
-    ranged = F.contains(bare, F.lit("-"))
-    low, high = value(left), F.when(ranged, value(right)).otherwise(value(left))
-    ok = low.isNotNull() & high.isNotNull()
-    pick = lambda x: F.when(F.contains(raw, F.lit(UNPAID)), F.lit("0")).when(ok, x).otherwise(F.lit(""))
-    return F.struct(pick(low).alias("min"), pick(high).alias("max"))
+    value = lambda t: F.when(t.rlike(plain), number_text(t.try_cast("double")))
+
+    def sides(b: Column) -> Column:
+        """The numbers on both sides of the first dash, or the one number; null what is none."""
+        parts = F.when(F.contains(b, F.lit("-")), F.array(F.split_part(b, F.lit("-"), F.lit(1)), F.regexp_extract(b, r"(?s)^[^-]*-(.*)$", 1))).otherwise(F.array(b))
+        return F.transform(F.transform(parts, utrim), value)
+
+    def picked(v: Column) -> Column:
+        ok = F.forall(v, lambda x: x.isNotNull())
+        return F.struct(F.when(ok, v[0]).otherwise(F.lit("")).alias("min"), F.when(ok, F.element_at(v, -1)).otherwise(F.lit("")).alias("max"))
+
+    unpaid = F.struct(F.lit("0").alias("min"), F.lit("0").alias("max"))
+    return F.when(F.contains(raw, F.lit(UNPAID)), unpaid).otherwise(once(once(bare, sides), picked))
 
 
 def slugify(x: Column) -> Column:
@@ -209,19 +226,25 @@ def emphasised(x: Column, flags: Column) -> Column:
     return F.when(flags.bitwiseAND(2) != 0, F.concat(F.lit("*"), bold, F.lit("*"))).otherwise(bold)
 
 
+def _dutch(low: Column) -> Column:
+    return low.rlike(r"(?U)(?<!\S)[^\p{L}\s]*+(?:" + "|".join(DUTCH) + r")[^\p{L}\s]*+(?!\S)")
+
+
 def likely_dutch(x: Column) -> Column:
     """Whether a token, bared of non-letters at its ends, is a Dutch core word."""
-    tokens = F.split(F.lower(x), r"(?U)\s+")
-    return F.exists(tokens, lambda w: F.regexp_replace(w, r"^[^\p{L}]+|[^\p{L}]+$", "").isin(*DUTCH))
+    return _dutch(F.lower(x))
 
 
 def likely_french(x: Column) -> Column:
     """French fragments, or accents without Dutch core words."""
-    low = F.lower(x)
-    out = low.rlike(f"[{ACCENTED}]") & ~likely_dutch(x)
-    for p in FRENCH:
-        out = F.contains(low, F.lit(p)) | out
-    return out
+
+    def told(low: Column) -> Column:
+        out = low.rlike(f"[{ACCENTED}]") & ~_dutch(low)
+        for p in FRENCH:
+            out = F.contains(low, F.lit(p)) | out
+        return out
+
+    return once(F.lower(x), told)
 
 
 def vote_title(x: Column) -> Column:

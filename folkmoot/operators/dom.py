@@ -8,7 +8,7 @@ start tag closes (``p``, ``li``, ``td`` and their like).
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -194,31 +194,71 @@ ELEMENTS = "doc_id string, pos int, parent_pos int, sib_idx int, depth int, tag
 _ELEMENT_TYPES = [
     pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string()), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.string()),
 ]
+#: Rows of elements that are handed on together.
+ROWS = 4096
 _ELEMENT_NAMES = [x.split(" ")[0] for x in ELEMENTS.replace("map<string,string>", "map").split(", ")]
 
 
-def element_rows(doc_id: str | None, html: str | None) -> list[tuple]:
-    """One tuple of :data:`ELEMENTS` for each element, positions in document order from 0."""
+def element_columns(doc_id: str | None, html: str | None, columns: Sequence[str] = _ELEMENT_NAMES) -> list[list]:
+    """A list for each of ``columns``, of its values for each element, positions in document order from 0.
+
+    Only the wanted values are made: ``all_text`` and ``ancestor_tags`` grow with the depth of nesting.
+    """
     root = parse(html)
-    pos, rows = {id(root): -1}, []
-    for node in root.descendants():
-        pos[id(node)] = len(rows)
-        above = [a.tag for a in node.ancestors() if a is not root]
-        siblings = [c for c in node.parent.children if isinstance(c, Node)]
-        index = next(i for i, c in enumerate(siblings) if c is node)
-        own = [c for c in node.children if isinstance(c, str)]
-        rows.append((doc_id, len(rows), pos[id(node.parent)], index, len(above), node.tag, list(node.attrs.items()), own, node.texts(), above))
-    return rows
+    out: list[list] = [[] for _ in columns]
+    todo = [(root, -1, -1, ())]
+    value = {
+        "doc_id": lambda node, pos, parent, index, above: doc_id,
+        "pos": lambda node, pos, parent, index, above: pos,
+        "parent_pos": lambda node, pos, parent, index, above: parent,
+        "sib_idx": lambda node, pos, parent, index, above: index,
+        "depth": lambda node, pos, parent, index, above: len(above),
+        "tag": lambda node, pos, parent, index, above: node.tag,
+        "attrs": lambda node, pos, parent, index, above: list(node.attrs.items()),
+        "own_text": lambda node, pos, parent, index, above: [c for c in node.children if isinstance(c, str)],
+        "all_text": lambda node, pos, parent, index, above: node.texts(),
+        "ancestor_tags": lambda node, pos, parent, index, above: [a.tag for a in node.ancestors() if a is not root],
+    }
+    wanted = [(value[c], o) for c, o in zip(columns, out)]
+    deep = "depth" in columns
+    pos = -1
+    while todo:
+        node, parent, index, above = todo.pop()
+        if node is not root:
+            for make, o in wanted:
+                o.append(make(node, pos, parent, index, above))
+        own = [c for c in node.children if isinstance(c, Node)]
+        below = range(len(above) + 1) if deep and node is not root else ()
+        todo += [(c, pos, k, below) for k, c in reversed([*enumerate(own)])]
+        pos += 1
+    return out
+
+
+def element_rows(doc_id: str | None, html: str | None) -> list[tuple]:
+    """One tuple of :data:`ELEMENTS` for each element."""
+    return list(zip(*element_columns(doc_id, html)))
 
 
-def elements(documents: DataFrame, id_col: str = "doc_id", html_col: str = "html") -> DataFrame:
-    """The element relation of ``documents``: a narrow map, one parse for each row."""
+def elements(documents: DataFrame, id_col: str = "doc_id", html_col: str = "html", columns: Sequence[str] = _ELEMENT_NAMES) -> DataFrame:
+    """The element relation of ``documents``, or the named columns of it: a narrow map, one parse for each row."""
+    columns = list(columns)
+    types = [_ELEMENT_TYPES[_ELEMENT_NAMES.index(c)] for c in columns]
+    ddl = [x for x in ELEMENTS.replace("map<string,string>", "map<string;string>").split(", ") if x.split(" ")[0] in columns]
+    ddl = ", ".join(sorted(ddl, key=lambda x: columns.index(x.split(" ")[0]))).replace(";", ",")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for key, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                rows = element_rows(key, html)
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ELEMENT_TYPES)], names=_ELEMENT_NAMES)
+        def batch(held: list[list]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(held, types)], names=columns)
 
-    return documents.select(documents[id_col].cast("string"), documents[html_col]).mapInArrow(run, ELEMENTS)
+        held: list[list] = [[] for _ in columns]
+        for b in batches:
+            for key, html in zip(b.column(0).to_pylist(), b.column(1)):
+                for whole, part in zip(held, element_columns(key, html.as_py(), columns)):
+                    whole += part
+                if len(held[0]) > ROWS:
+                    yield batch(held)
+                    held = [[] for _ in columns]
+        if held[0]:
+            yield batch(held)
+
+    return documents.select(documents[id_col].cast("string"), documents[html_col]).mapInArrow(run, ddl)

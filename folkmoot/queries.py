@@ -183,10 +183,10 @@ def f10_m25_freshness(spark, d):
 @query(r"""
 SELECT doc_id, length(regexp_replace(t, '[^\x{400}-\x{52F}\x{E000}-\x{F8FF}]', '', 'g')) * 50 > length(t) AS garbled,
   (contains(lower(t), 'inhoud')::INT + contains(lower(t), 'sommaire')::INT) AS hits
-FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'Inhoud Sommaire ' || repeat('ж', (doc_id % 30)::INT) || left(text, 300) ELSE text END AS t FROM documents)
+FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'Inhoud Sommaire ' || repeat('ж', (length(text) * (doc_id % 30) // 600)::INT) || text ELSE text END AS t FROM documents)
 """)
 def f14_f15_garbled(spark, d):
-    t = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("Inhoud Sommaire "), F.repeat(F.lit("ж"), (F.col("doc_id") % 30).cast("int")), F.left("text", F.lit(300)))).otherwise(F.col("text"))
+    t = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("Inhoud Sommaire "), F.repeat(F.lit("ж"), F.floor(F.char_length("text") * (F.col("doc_id") % 30) / 600).cast("int")), F.col("text"))).otherwise(F.col("text"))
     return table(spark, d, "documents").select("doc_id", t.alias("t")).select("doc_id", (T.garbled_share(F.col("t")) > 0.02).alias("garbled"), T.marker_hits(F.col("t"), T.CONTENTS_MARKERS).alias("hits"))
 
 
@@ -344,7 +344,7 @@ SELECT page_id, len(regexp_extract_all(html, '<p[ >]'))::BIGINT AS paragraphs, l
   regexp_extract(html, '<a href="([^"]*)"', 1) AS first_link FROM pages
 """)
 def s04_page_elements(spark, d):
-    e = elements(table(spark, d, "pages"), "page_id")
+    e = elements(table(spark, d, "pages"), "page_id", columns=("doc_id", "pos", "tag", "attrs"))
     count = lambda tag: F.count_if(F.col("tag") == tag)
     links = F.when(F.col("tag") == "a", F.col("attrs")["href"])
     return e.groupBy(F.col("doc_id").cast("long").alias("page_id")).agg(count("p").alias("paragraphs"), count("li").alias("items"), count("a").alias("links"), W.first_match(links, F.col("pos")).alias("first_link"))
@@ -353,8 +353,8 @@ def s04_page_elements(spark, d):
 @query()
 def flagship_page_sections(spark, d):
     """Pages to sections: elements, headings carried forward to the paragraphs after them, cleaned text and its hash for each section."""
-    e = elements(table(spark, d, "pages"), "page_id").where("tag in ('h1', 'h2', 'p')")
-    text = T.clean_text(F.array_join("own_text", " "))
+    e = elements(table(spark, d, "pages"), "page_id", columns=("doc_id", "pos", "tag", "all_text")).where("tag in ('h1', 'h2', 'p')")
+    text = T.clean_text(F.array_join("all_text", ""))
     headed = W.carry_forward(e.withColumn("h", F.when(F.col("tag") != "p", text)), ["doc_id"], "pos", "h", "heading", "")
     said = headed.where("tag = 'p'").select("doc_id", "heading", "pos", text.alias("t"))
     return said.groupBy(F.col("doc_id").cast("long").alias("page_id"), "heading").agg(R.ordered_join("t", "pos", "\n").alias("text")).withColumn("hash", F.sha2("text", 256))

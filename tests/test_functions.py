@@ -98,3 +98,12 @@ def test_arguments():
 @pytest.mark.parametrize(("data", "text"), [(b"caf\xe9 \x80", "café €"), (b"\x81\x8d", "\x81\x8d"), (b"\xef\xbb\xbfcaf\xc3\xa9", "café")])
 def test_legacy_text(data, text):
     assert G.legacy_text(data) == text
+
+
+def test_trim_is_linear_and_knows_all_white_space(spark):
+    import time
+
+    rows = [("\t  a b \u0085　",), ("x" + " " * 1_000_000 + "y",), (" " * 1_000_000,), (None,)]
+    began = time.monotonic()
+    out = [r.t for r in spark.createDataFrame(rows, "s string").select(T.utrim(F.col("s")).alias("t")).collect()]
+    assert out == ["a b", rows[1][0], "", None] and time.monotonic() - began < 10
