@@ -14,11 +14,14 @@ _own_dir: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors see: ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a temporary folder is made.
+    Only where a local session names none (tests) a temporary folder is made; on a
+    cluster that would be a folder of one machine, so there it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="folkmoot-")

@@ -13,7 +13,8 @@ what its chunks hold in different components, merging as it goes. It emits an
 edge for each line at most, so no pairs of a group are made, nor a link lost.
 
 Banding recall is 1 - (1 - s ** ROWS) ** BANDS: 0.991 at 0.8, 0.999 at 0.85.
-Lines are known by their 64-bit hash.
+Bands and links know lines by a 64-bit hash; what is removed is told by a second
+64-bit hash too, so lines that share the first are neither joined nor lost.
 
 Edge cases: null texts stay null; blank lines are never duplicates and stay
 where they are; lines shorter than a shingle are duplicates only if equal; of
@@ -29,12 +30,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, packed, written
 
 K, THRESHOLD, ROWS, BANDS, SMALL, CHUNK = 8, 0.8, 5, 12, 2, 512
+#: Parts of a class of lines.
+SALTS = 8
 #: Hashes of lines that may be broadcast to find their texts; more of them are joined by hash.
 BROADCAST_ROWS = 1_000_000
 #: Band keys are dealt to parts: one for so many bytes of input, so that each fits in memory, and as many at least.
@@ -271,12 +274,17 @@ def _lines(docs: DataFrame, text_col: str, *keys: str) -> DataFrame:
     return (
         docs.select(*keys, F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "_line"))
         .where(F.col("_line").rlike(r"(?U)\S"))
-        .select(*keys, "pos", F.xxhash64("_line").alias("line"), "_line")
+        .select(*keys, "pos", F.xxhash64("_line").alias("line"), check("_line").alias("check"), "_line")
     )
 
 
-def links(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, k: int = K, small: int = SMALL, chunk: int = CHUNK) -> DataFrame:
-    """Verified links ``(u, v)`` between hashes of lines."""
+def check(line: str) -> Column:
+    """A second hash, of another seed."""
+    return F.xxhash64(F.lit(1), F.col(line))
+
+
+def links(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, k: int = K, small: int = SMALL, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """Verified links ``(u, v)`` between hashes of lines, and ``(line, t)``, the lines that were compared."""
     size = int(str(docs.select(text_col)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     bands = docs.select(text_col).mapInArrow(_banded(k, max(LEAST_PARTS, size // PART_BYTES if size < 1 << 60 else 0)), "part long, pairs binary")
     found = written(bands.repartition("part").sortWithinPartitions("part").mapInArrow(_candidates(small), "a long, b long, key long"), "candidates")
@@ -292,7 +300,7 @@ def links(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
 
     large = found.where("key is not null").select("key", F.col("a").alias("line"))
     if large.isEmpty():
-        return near
+        return near, texts
     roots = components(near, "bands").select(F.col("u").alias("n"), F.col("v").alias("root"))
     labelled = written(large.join(roots, F.col("line") == F.col("n"), "left").select("key", "line", F.coalesce("root", "line").alias("label")), "labelled")
     split = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select(F.col("key").alias("sk"), F.ceil(F.col("n") / chunk).cast("int").alias("k"))
@@ -304,17 +312,25 @@ def links(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
         .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "line", "label", "t")
     )
     merged = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_merge(threshold, k), "u long, v long")
-    return near.unionByName(merged)
+    return near.unionByName(merged), texts
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, k: int = K) -> DataFrame:
     """``docs`` with the text of the lines that stay, and ``n_lines`` and ``n_removed`` (non-blank lines)."""
-    roots = components(links(docs, text_col, threshold, k), "line-components").select(F.col("u").alias("_u"), F.col("v").alias("_v"))
+    found, texts = links(docs, text_col, threshold, k)
+    roots = components(found, "line-components")
+    checks = texts.select(F.col("line").alias("_n"), check("t").alias("_c"))
+    of_root = checks.withColumnsRenamed({"_n": "_rn", "_c": "_rc"})
+    roots = roots.join(checks, F.col("u") == F.col("_n")).join(of_root, F.col("v") == F.col("_rn")).select(F.col("u").alias("_u"), F.col("_c").alias("_uc"), F.struct(F.col("v").alias("line"), F.col("_rc").alias("check")).alias("_root"))
     keyed = packed(docs, id_col, text_col)
-    lines = _lines(keyed, "_text", "_k", "_id").select("_k", "_id", "pos", "line")
-    classed = written(lines.join(roots, F.col("line") == F.col("_u"), "left").select(F.struct("_id", "_k", "pos").alias("place"), F.coalesce("_v", "line").alias("class")), "classes")
-    kept = classed.groupBy("class").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last").select(F.col("class").alias("_c"), "first")
-    removed = classed.join(kept, F.col("class") == F.col("_c")).where("place <> first").groupBy(F.col("place._k").alias("_r")).agg(F.collect_set("place.pos").alias("_gone"))
+    lines = _lines(keyed, "_text", "_k", "_id").select("_k", "_id", "pos", "line", "check")
+    own = F.struct("line", "check")
+    salt = F.pmod(F.xxhash64("_k", "pos"), F.lit(SALTS)).cast("int")
+    classed = written(lines.join(roots, (F.col("line") == F.col("_u")) & (F.col("check") == F.col("_uc")), "left").select(F.struct("_id", "_k", "pos").alias("place"), F.coalesce("_root", own).alias("class"), salt.alias("salt")), "classes")
+    kept = classed.groupBy("class").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first <> last")
+    # a hot class is dealt to several tasks
+    kept = kept.select(F.col("class").alias("_c"), "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
+    removed = classed.join(kept, (F.col("class") == F.col("_c")) & (F.col("salt") == F.col("_s"))).where("place <> first").groupBy(F.col("place._k").alias("_r")).agg(F.collect_set("place.pos").alias("_gone"))
     parts = F.split("_text", "\n")
     full = F.size(F.filter(parts, lambda x: x.rlike(r"(?U)\S")))
     gone = F.coalesce("_gone", F.array().cast("array<int>"))
