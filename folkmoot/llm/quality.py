@@ -5,11 +5,14 @@ unbiased risk: with class prior p, positives' loss p * R(P, +1) plus the
 unlabelled texts' loss as negatives less what the positives among them add,
 R(U, -1) - p * R(P, -1), held at zero or above; where it falls below, its
 gradient is turned. Trusted positives are texts labelled good, unlabelled ones
-are all texts outside the held-out fold, and the prior is estimated as the share of good
-ones among labelled texts. The logistic loss makes the output a probability.
+are all texts outside the held-out fold. The prior is estimated from these two alone, by
+the best bin: a network that tells positives from unlabelled texts is fitted on one half,
+and on the other the least share of unlabelled to positive texts above a score, by its
+upper confidence bound, is the share of good ones among the unlabelled. Labels that
+say bad are never used. The logistic loss makes the output a probability.
 
-The fit sees at most ``most`` positives and ``most`` unlabelled rows, those of the least id
-hash, whatever the input; all rows are scored.
+The fit sees at most ``most`` positive and ``most`` unlabelled rows, those of the least
+hashes, whatever the input; all rows are scored.
 
 Edge cases: null, empty and blank texts have the features of an empty text;
 labels that repeat or contradict each other are averaged (good from one half
@@ -20,6 +23,7 @@ columns are never read.
 
 from __future__ import annotations
 
+import math
 import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MOST, THRESHOLD, HIDDEN, STEPS, BATCH, RATE = 20_000, 0.7, 24, 1500, 1024, 0.01
-FOLDS, HELD_OUT = 4, 2
+PRIOR_STEPS, FOLDS, HELD_OUT = 400, 4, 2
 _CLASSES = [b"\n", b"0123456789", b"!", b".,;:'\"-()", b"|", b"#$%&*", b"/\\<>={}[]_~^`+@", b"?", bytes(range(65, 91)), bytes(range(97, 123)), bytes(range(128, 256))]
 _CLASS_OF = np.full(256, len(_CLASSES))
 for _i, _c in enumerate(_CLASSES):
@@ -79,8 +83,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logit(x), -30, 30)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, seed: int = 0) -> Model:
-    """Minimise the non-negative unbiased risk by Adam over mini-batches."""
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, seed: int = 0, unbiased: bool = True) -> Model:
+    """Minimise the non-negative unbiased risk by Adam over mini-batches.
+
+    Without ``unbiased`` unlabelled texts count as negatives as they are.
+    """
     rng = np.random.default_rng(seed)
     both = np.concatenate([positive, unlabelled])
     mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-6
@@ -94,14 +101,15 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
         h = np.tanh(x @ w[0] + w[1])
         z = h @ w[2] + w[3]
         zp, zu = z[: len(p)], z[len(p) :]
-        rest = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        taken = prior * unbiased  # the share that positives among the unlabelled are taken to have
+        rest = np.logaddexp(0, zu).mean() - taken * np.logaddexp(0, zp).mean()
         # gradients of the losses log(1 + exp(-z)) and log(1 + exp(z)) by z
         gp, gu = np.zeros(len(p)), np.zeros(len(u))
         if rest >= 0:
-            gp += prior * (sigmoid(zp) - 1) / len(p) - prior * sigmoid(zp) / len(p)
+            gp += prior * (sigmoid(zp) - 1) / len(p) - taken * sigmoid(zp) / len(p)
             gu += sigmoid(zu) / len(u)
         else:  # only the part below zero, upwards
-            gp += prior * sigmoid(zp) / len(p)
+            gp += taken * sigmoid(zp) / len(p)
             gu -= sigmoid(zu) / len(u)
         gz = np.concatenate([gp, gu])
         back = gz[:, None] * w[2] * (1 - h * h)
@@ -115,39 +123,59 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return Model(mean, scale, w, prior)
 
 
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, steps: int = PRIOR_STEPS, delta: float = 0.1) -> float:
+    """The share of positives among the unlabelled, by the best bin."""
+    if len(positive) < 4 or len(unlabelled) < 4:
+        return 0.5
+    rng = np.random.default_rng(1)
+    p, u = rng.permutation(positive), rng.permutation(unlabelled)
+    model = fit(p[::2], u[::2], 0.5, steps, unbiased=False)
+    zp, zu = np.sort(model.logit(p[1::2])), np.sort(model.logit(u[1::2]))
+    cuts = np.unique(zp)
+    above = lambda z: 1 - np.searchsorted(z, cuts) / len(z)
+    share, held = above(zu), above(zp)
+    wide = 1.01 * (math.sqrt(math.log(4 / delta) / (2 * len(zu))) + math.sqrt(math.log(4 / delta) / (2 * len(zp))))
+    best = int(np.argmin((share + wide) / held))
+    return float(np.clip(share[best] / held[best], 0.01, 0.99))
+
+
 def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def _features_of(docs: DataFrame, text_col: str) -> np.ndarray:
-    """Features of a bounded number of rows, on the driver."""
+def _features_of(docs: DataFrame, text_col: str, most: int) -> np.ndarray:
+    """Features of at most ``most`` rows, on the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([features(x.as_py()).tobytes() for x in b.column(0)], pa.binary())], names=["f"])
 
-    rows = docs.select(text_col).mapInArrow(run, "f binary").toArrow()["f"].to_pylist()
+    found = docs.select(text_col).mapInArrow(run, "f binary")
+    rows = found.orderBy(F.xxhash64("f"), "f").limit(most).toArrow()["f"].to_pylist()  # of rows that repeat an id too
     return np.frombuffer(b"".join(sorted(rows)), float).reshape(-1, N_FEATURES)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = MOST) -> Model | None:
     """A model from the labels outside the held-out fold; None if none is positive."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).groupBy(F.col(id_col).alias("_l")).agg((F.avg(label_col) >= 0.5).alias("good"))
-    counted = known.agg(F.count("*").alias("n"), F.count_if("good").alias("good")).first()
-    if not counted["good"]:
+    good = known.where("good").select(F.col("_l").alias("_id"))
+    if good.isEmpty():
         return None
-    prior = min(0.99, counted["good"] / counted["n"])
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(~held_out(F.col("_id")))
 
     def sample(ids: DataFrame) -> np.ndarray:
-        least = ids.orderBy(F.xxhash64("_id"), "_id").limit(most)  # at most ``most`` ids
-        return _features_of(texts.join(F.broadcast(least.select(F.col("_id").alias("_s")).distinct()), F.col("_id") == F.col("_s"), "left_semi"), "_text")
-
-    positive = sample(known.where("good").select(F.col("_l").alias("_id")))
-    unlabelled = sample(texts.select("_id"))
+        # of many ids only some twice as many as wanted, by a bound on the hash, are sorted
+        n, place = ids.count(), F.pmod(F.xxhash64("_id"), F.lit(1 << 31))
+        few = ids.where(place < F.lit(max(1, (2 * most << 31) // max(n, 1))))
+        if n <= 4 * most or few.count() < most:
+            few = ids
+        least = few.orderBy(place, "_id").limit(most).select(F.col("_id").alias("_s")).distinct()  # at most ``most`` ids
+        return _features_of(texts.join(F.broadcast(least), F.col("_id") == F.col("_s"), "left_semi"), "_text", most)
+
+    positive, unlabelled = sample(good), sample(texts.select("_id"))
     if not len(positive) or not len(unlabelled):
         return None
-    return fit(positive, unlabelled, prior)
+    return fit(positive, unlabelled, class_prior(positive, unlabelled))
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
