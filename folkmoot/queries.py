@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import grammar as G
@@ -18,6 +18,7 @@ from .operators import windows as W
 from .operators.dom import elements
 from .plans import dossiers, meetings, pages, pdf, summaries
 from .schemas import raw, typed
+from .sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -170,6 +171,59 @@ def f07_vote_title(spark, d):
     return table(spark, d, "orders").select("o_orderkey", T.vote_title(F.concat(F.lit("Voorstel "), tail)).alias("vote"))
 
 
+WHITE_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(133) || chr(160) || chr(5760) || chr(8232) || chr(8233) || chr(8239) || chr(8287) || chr(12288)"
+
+
+@query(f"""
+WITH f AS (SELECT (doc_id // 3)::VARCHAR AS dossier_id, doc_id % 3 AS kind, text AS content FROM documents)
+SELECT 'content' AS task, dossier_id, 'adopted_text.md' AS source, sha256(content) AS summary_hash FROM f WHERE kind = 0 AND trim(content, {WHITE_SQL}) <> ''
+UNION ALL SELECT 'arguments', dossier_id, 'report.md', sha256(content) FROM f WHERE kind = 0 AND strlen(trim(content, {WHITE_SQL})) >= 500 AND dossier_id IN (SELECT dossier_id FROM f WHERE kind = 1)
+UNION ALL SELECT 'fixed', dossier_id, 'report.md', sha256(content) FROM f WHERE kind = 1 AND strlen(trim(content, {WHITE_SQL})) >= 500
+""")
+def f12_f13_dossier_inputs(spark, d):
+    kind = F.col("doc_id") % 3
+    name = F.when(kind == 0, "adopted_text.md").when(kind == 1, "report.md").otherwise("notes.md")
+    held = table(spark, d, "documents").select(F.floor(F.col("doc_id") / 3).cast("string").alias("dossier_id"), name.alias("name"), F.col("text").alias("content"))
+    tasks = (("content", "content", False), ("arguments", "arguments", False), ("fixed", "arguments", True))
+    out = [summaries.dossier_inputs(held, k, fixed).select(F.lit(task).alias("task"), "dossier_id", "source", "summary_hash") for task, k, fixed in tasks]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query("""
+SELECT id, nullif(trim(a), '') AS adopted_text_url, nullif(trim(r), '') AS report_url
+FROM (SELECT p_partkey::VARCHAR AS id, CASE p_partkey % 3 WHEN 0 THEN ' u' || p_partkey || ' ' WHEN 1 THEN '  ' END AS a, CASE p_partkey % 5 WHEN 0 THEN 'r' || p_partkey WHEN 1 THEN '' END AS r FROM part)
+WHERE coalesce(nullif(trim(a), ''), nullif(trim(r), '')) IS NOT NULL
+""")
+def f17_s18_dossier_rows(spark, d):
+    k = F.col("p_partkey")
+    url = lambda m, p, x, blank: F.when(k % m == 0, F.concat(F.lit(p), k.cast("string"), F.lit(x))).when(k % m == 1, F.lit(blank))
+    rows = table(spark, d, "part").select(k.cast("string").alias("id"), url(3, " u", " ", "  ").alias("latest_adopted_text_url"), url(5, "r", "", "").alias("latest_report_url"))
+    return files.dossier_rows(rows)
+
+
+@query("""
+SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE c_custkey % 100 END DESC, m DESC, c_custkey) AS place
+FROM (SELECT *, CASE WHEN c_custkey % 4 = 0 THEN 'x' || c_custkey % 9 ELSE (c_custkey % 100)::VARCHAR END AS m FROM customer)
+""")
+def o01_numeric_descending(spark, d):
+    k = F.col("c_custkey")
+    named = table(spark, d, "customer").withColumn("m", F.when(k % 4 == 0, F.concat(F.lit("x"), (k % 9).cast("string"))).otherwise((k % 100).cast("string")))
+    own = Window.partitionBy("c_nationkey").orderBy(*R.numeric_descending("m"), "c_custkey")
+    return named.select("c_custkey", F.row_number().over(own).cast("long").alias("place"))
+
+
+@query("""
+SELECT o_orderkey::VARCHAR AS dossier_id, m AS date, f AS fetched
+FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS m, CASE WHEN o_orderkey % 3 <> 0 THEN strftime(o_orderdate + to_days((o_orderkey % 21 - 10)::INT), '%Y-%m-%d') END AS f FROM orders)
+WHERE f IS NULL OR NOT (f = '1998-01-10' OR (f >= m AND NOT abs(date_diff('day', f::DATE, m::DATE)) < 7))
+""")
+def j04_s06_stale(spark, d):
+    k = F.col("o_orderkey")
+    wanted = table(spark, d, "orders").select(k.cast("string").alias("dossier_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
+    cached = table(spark, d, "orders").where(k % 3 != 0).select(k.cast("string").alias("dossier_id"), F.date_format(F.date_add("o_orderdate", (k % 21 - 10).cast("int")), "yyyy-MM-dd").alias("last_updated"))
+    return files.stale(cached, wanted, "1998-01-10")
+
+
 @query("""
 SELECT o_orderkey, NOT (f = '1998-01-10' OR (f >= m AND NOT abs(date_diff('day', f::DATE, m::DATE)) < 7)) AS refetch, abs(date_diff('day', f::DATE, m::DATE))::INT AS days
 FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS f, strftime(o_orderdate + to_days((o_orderkey % 21 - 10)::INT), '%Y-%m-%d') AS m FROM orders)

@@ -85,6 +85,28 @@ def markdown_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.regexp_extract(name, r"([^/]+)/[^/]+$", 1).alias("dossier_id"), F.regexp_extract(name, r"([^/]+)$", 1).alias("name"), F.col("value").alias("content"))
 
 
+def read_through(spark: SparkSession, folder: str, urls: dict[str, str], client: "Client", refetch: frozenset[str] = frozenset(), legacy: bool = False) -> DataFrame:
+    """The pages of ``urls`` (file name: URL) below ``folder``; absent ones, and those to ``refetch``, are asked for and kept first.
+
+    A page that cannot be had is left as it was; the list of URLs is the caller's, one line of an index each.
+    """
+    from .sinks import write_files
+
+    have = {r["name"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*").load(folder).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name")).collect()} if _exists(spark, folder) else set()
+    wanted = {name: url for name, url in urls.items() if name not in have or name in refetch}
+    if wanted:
+        names = spark.createDataFrame([(u, n) for n, u in wanted.items()], "u string, name string")
+        got = fetched(spark, client, list(dict.fromkeys(wanted.values()))).where("body is not null")
+        kept = got.join(names, F.col("url") == F.col("u")).select("name", F.col("body").alias("content"))
+        write_files(kept, folder).write.format("noop").mode("overwrite").save()
+    return pages(spark, folder, "*", legacy)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 @dataclass
 class Client:
     """Who asks, how long to wait between requests, and the transport."""

@@ -22,14 +22,24 @@ def write_table(df: DataFrame, path: str, skip_empty: bool = False) -> bool:
 
 
 def rewrite_table(df: DataFrame, path: str) -> None:
-    """As ``df`` may read ``path``, write beside it, then change places."""
+    """As ``df`` may read ``path``, write beside it, then change places.
+
+    The old table is moved aside and deleted last: whenever this stops, one of both is whole.
+    """
     spark = df.sparkSession
-    beside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    beside, aside = (f"{path.rstrip('/')}-{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
     df.write.parquet(beside)
-    fs, old = _fs(spark, path)
-    fs.delete(old, True)
-    if not fs.rename(_fs(spark, beside)[1], old):
+    fs, place = _fs(spark, path)
+    new, old = _fs(spark, beside)[1], _fs(spark, aside)[1]
+    held = fs.exists(place)
+    if held and not fs.rename(place, old):
+        raise OSError(f"{path} could not be moved to {aside}")
+    if not fs.rename(new, place):
+        if held:
+            fs.rename(old, place)
         raise OSError(f"{beside} could not take the place of {path}")
+    if held:
+        fs.delete(old, True)
 
 
 def write_lines(lines: list[str], spark: SparkSession, path: str) -> None:
@@ -73,3 +83,24 @@ def write_absent_files(df: DataFrame, folder: str, name: str = "name", content:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(done)], names=["name", "written"])
 
     return df.select(name, content).mapInArrow(run, "name string, written boolean")
+
+
+def write_files(df: DataFrame, folder: str, name: str = "name", content: str = "content") -> DataFrame:
+    """A file for each row, over what was there: written under a hidden name, then renamed; returns ``name``."""
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for b in batches:
+            for key, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                system, path = fs.FileSystem.from_uri(f"{folder}/{key}")
+                parent, _, last = path.rpartition("/")
+                system.create_dir(parent, recursive=True)
+                hidden = f"{parent}/_{uuid.uuid4().hex}"
+                with system.open_output_stream(hidden, compression=None) as out:
+                    out.write(data.encode() if isinstance(data, str) else data or b"")
+                system.move(hidden, f"{parent}/{last}")
+            yield pa.RecordBatch.from_arrays([b.column(0)], names=["name"])
+
+    return df.select(name, content).mapInArrow(run, "name string")

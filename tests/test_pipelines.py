@@ -134,3 +134,52 @@ def test_scans_read_only_what_they_need(spark):
     plan = entry.queries()["a01_latest_date"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     schema = plan.split("ReadSchema: ")[1].splitlines()[0]
     assert "ts" in schema and "user_id" in schema and "props" not in schema and "value" not in schema
+
+
+def test_replies_are_kept_as_they_come(spark, tmp_path):
+    rows = spark.createDataFrame([(f"a;{i}", str(i)) for i in range(23)], "topics string, meeting_id string")
+    cache = spark.createDataFrame([], CACHE)
+    journal = f"file://{tmp_path}/journal"
+
+    def breaks(prompt, text):
+        if text.endswith("7"):
+            raise RuntimeError("the service is gone")
+        return 200, "said " + text, None
+
+    wanted = summaries.pending(rows, cache, "topics", "topics")
+    with pytest.raises(Exception, match="the service is gone"):
+        summaries.completed(wanted.orderBy("original"), "original", "reply", breaks, "p", 1e6, journal).collect()
+    kept = spark.read.parquet(journal).count()
+    assert 0 < kept <= 23
+    seen = spark.sparkContext.accumulator(0)
+
+    def counts(prompt, text):
+        seen.add(1)
+        return 200, "said " + text, None
+
+    out = summaries.completed(wanted, "original", "reply", counts, "p", 1e6, journal, callers=2).collect()
+    assert {r.original: r.reply for r in out} == {f"a;{i}": f"said a;{i}" for i in range(23)}
+    assert seen.value == 23 - kept
+    assert len(summaries.summarise(rows, cache, "topics", "topics", breaks, "m", 1e6, "now", journal=journal).collect()) == 23
+
+
+def test_a_table_changes_places_whole(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    sinks.rewrite_table(spark.range(3), path)
+    sinks.rewrite_table(spark.read.parquet(path).union(spark.range(2)), path)
+    assert spark.read.parquet(path).count() == 5 and [x.name for x in tmp_path.iterdir()] == ["t"]
+
+
+def test_read_through(spark, tmp_path):
+    folder = f"file://{tmp_path}/cache"
+    asked = spark.sparkContext.accumulator(0)
+
+    def fetch(url):
+        asked.add(1)
+        return f"<p>{url}</p>".encode()
+
+    client = files.Client("folk tests", fetch, 0.0, 0.0)
+    urls = {"a.html": "u/a", "b.html": "u/b"}
+    for refetch, calls in ((frozenset(), 2), (frozenset(), 2), (frozenset({"b.html"}), 3)):
+        out = {(r.stem, r.html) for r in files.read_through(spark, folder, urls, client, refetch).collect()}
+        assert out == {("a", "<p>u/a</p>"), ("b", "<p>u/b</p>")} and asked.value == calls
