@@ -88,4 +88,10 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_
 FROM dw d LEFT JOIN covered c ON d.doc_id = c.doc_id LEFT JOIN named m ON d.doc_id = m.doc_id
 """
 
-ORACLE_SQL = {"op10_decontamination": OP10_SQL}
+OP4_SQL = """
+WITH p AS (SELECT page_id, url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p)
+SELECT page_id, url, payload_bytes, payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM f
+"""
+
+ORACLE_SQL = {"op4_warc": OP4_SQL, "op10_decontamination": OP10_SQL}

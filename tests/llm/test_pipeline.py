@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from folkmoot.llm import packing, quality, simhash
+from folkmoot.llm import packing, quality
 
 from .test_lines import expected
 
@@ -72,16 +72,22 @@ def test_lines(stages):
 
 
 def test_near_duplicates(stages):
+    """By the exact similarity of all pairs; sampled tables may miss a few in a hundred."""
     before, after = stages[2]
     rows = sorted(before, key=lambda r: r.doc_id)
-    prints = np.unpackbits(np.frombuffer(b"".join(simhash.fingerprint(r.text, simhash.WIDE_WORDS, simhash.WIDE_BITS) for r in rows), np.uint8).reshape(len(rows), -1), axis=1).astype(int)
-    near = (prints[:, None] != prints[None]).sum(axis=2) <= simhash.WIDE_RADIUS
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [shingles(r.text) for r in rows]
+    near = np.array([[(a == b) if not a or not b else 5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets])
     label = np.arange(len(rows))
     for _ in rows:
         label = np.array([label[n].min() for n in near])
-    assert {r.doc_id for r in after} == {rows[i].doc_id for i in set(label)}
-    kept = {r.doc_id for r in after}
-    assert 900_004 not in kept
+    kept, want = {r.doc_id for r in after}, {rows[i].doc_id for i in set(label.tolist())}
+    assert want <= kept and len(kept - want) <= 0.02 * len(rows)
+    assert 900_003 in kept and 900_004 not in kept
 
 
 def test_contamination(spark, tables, stages):
