@@ -44,6 +44,8 @@ BROADCAST_ROWS = 1_000_000
 PART_BYTES, LEAST_PARTS = 32 << 20, 1024
 #: Pairs that a task gathers before it hands them on.
 PAIRS = 1 << 20
+#: Pairs of a part that are held at once.
+HELD = 1 << 22
 #: Smaller blocks are compared without asking which other bands their lines share.
 ALONE = 24
 #: Characters hashed at once; their signatures stay in the cache.
@@ -134,10 +136,14 @@ def _banded(k: int, parts: int):
     return run
 
 
-def _candidates(small: int):
-    """Parts, sorted, -> rows (a, b, key): pairs, and for large bands each member with the least and the key."""
+def _candidates(small: int, most: int = HELD):
+    """Parts, sorted, -> rows (a, b, key): pairs, and for large bands each member with one of them and the key.
 
-    def solve(pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    Where over ``most`` pairs of a part are held, the large bands' members go out and
+    only the one they are compared with is kept, so a hot band is never held whole.
+    """
+
+    def solve(pairs: np.ndarray, heads: dict[int, int], last: bool) -> tuple[list[pa.RecordBatch], np.ndarray]:
         key, line = pairs[:, 0], pairs[:, 1]
         order = np.lexsort((line, key))
         key, line = key[order], line[order]
@@ -146,29 +152,43 @@ def _candidates(small: int):
         key, line = key[new], line[new]
         start = np.nonzero(np.append(True, key[1:] != key[:-1]))[0]
         size = np.diff(np.append(start, len(key)))
-        a, b, k = [], [], []
-        for n in np.unique(size[(size > 1) & (size <= small)]):
-            group = line[start[size == n][:, None] + np.arange(n)]
+        large = size > small
+        if heads:
+            large |= np.isin(key[start], np.fromiter(heads, np.int64, len(heads)))
+        out = []
+        for s, n in zip(start[large], size[large]):
+            group, name = line[s : s + n], int(key[s])
+            known = name in heads
+            head = heads.setdefault(name, int(group[0]))
+            group = group[group != head] if known else group
+            out.append(pa.RecordBatch.from_arrays([pa.array(group), pa.array(np.full(len(group), head)), pa.array(np.full(len(group), name))], names=["a", "b", "key"]))
+        if not last:
+            return out, np.column_stack([key, line])[np.repeat(~large, size)]
+        a, b = [], []
+        for n in np.unique(size[(size > 1) & ~large]):
+            group = line[start[(size == n) & ~large][:, None] + np.arange(n)]
             i, j = np.triu_indices(n, 1)
             a.append(group[:, j].ravel())
             b.append(group[:, i].ravel())
         pairs = np.unique(np.column_stack([np.concatenate(a), np.concatenate(b)]), axis=0) if a else np.zeros((0, 2), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(len(pairs), pa.int64())], names=["a", "b", "key"])
-        for s, n in zip(start[size > small], size[size > small]):
-            group = line[s : s + n]
-            yield pa.RecordBatch.from_arrays([pa.array(group), pa.array(np.full(n, group[0])), pa.array(np.full(n, key[s]))], names=["a", "b", "key"])
+        return [*out, pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(len(pairs), pa.int64())], names=["a", "b", "key"])], pairs[:0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, size, heads = None, [], 0, {}
         for b in batches:
             for part, data in zip(b.column(0).to_pylist(), b.column(1)):
                 if part != now:
                     if held:
-                        yield from solve(np.concatenate(held))
-                    now, held = part, []
+                        yield from solve(np.concatenate(held), heads, True)[0]
+                    now, held, size, heads = part, [], 0, {}
                 held.append(np.frombuffer(data.as_py(), np.int64).reshape(-1, 2))
+                size += len(held[-1])
+                if size > most:
+                    out, rest = solve(np.concatenate(held), heads, False)
+                    yield from out
+                    held, size = [rest], min(len(rest), most // 2)
         if held:
-            yield from solve(np.concatenate(held))
+            yield from solve(np.concatenate(held), heads, True)[0]
 
     return run
 
@@ -298,7 +318,7 @@ def links(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
     both = pairs.join(left, F.col("a") == F.col("la")).join(right, F.col("b") == F.col("lb")).select("a", "b", "ta", "tb")
     near = written(both.mapInArrow(_verify(threshold, k), "a long, b long, ok boolean").where("ok").select(F.col("a").alias("u"), F.col("b").alias("v")), "verified")
 
-    large = found.where("key is not null").select("key", F.col("a").alias("line"))
+    large = found.where("key is not null").select("key", F.col("a").alias("line")).distinct()
     if large.isEmpty():
         return near, texts
     roots = components(near, "bands").select(F.col("u").alias("n"), F.col("v").alias("root"))

@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from folkmoot.llm import lines
 
 
@@ -109,3 +112,19 @@ def test_lines_that_share_a_hash_are_not_joined(spark, monkeypatch):
     monkeypatch.setattr(lines.F, "xxhash64", weak)
     out = {r.doc_id: r.text for r in lines.dedup_lines(table, threshold=1.0).collect()}
     assert out == {i: "" if i == 41 else t for i, t in enumerate(texts)}
+
+
+def test_a_hot_band_is_not_held_whole():
+    rng = np.random.default_rng(4)
+    pairs = np.concatenate([np.column_stack([np.full(500, 7), np.arange(500)]), np.column_stack([rng.integers(100, 160, 300), rng.integers(1000, 1100, 300)])]).astype(np.int64)
+    pairs = rng.permutation(np.concatenate([pairs, pairs[:50]]))
+    batch = lambda: iter([pa.RecordBatch.from_arrays([pa.array([1] * 25), pa.array([x.tobytes() for x in np.array_split(pairs, 25)], pa.binary())], names=["part", "pairs"])])
+    known = {}
+    for most in (1 << 22, 60):
+        out = [r for b in lines._candidates(3, most)(batch()) for r in b.to_pylist()]
+        members = {(r["key"], r["a"]) for r in out if r["key"] is not None}
+        heads = {r["key"]: r["b"] for r in out if r["key"] is not None}
+        assert all(heads[r["key"]] == r["b"] for r in out if r["key"] is not None) and {(k, h) for k, h in heads.items()} <= members
+        small = {frozenset((r["a"], r["b"])) for r in out if r["key"] is None}
+        known[most] = members, small
+    assert known[60] == known[1 << 22] and (7, 499) in known[60][0]
