@@ -42,10 +42,10 @@ CAPACITY, END_ID, RATE = 1024, 2, 4.0
 GAP, ROUNDS = 0.001, 4
 #: Rows that are ranked together; a length has at most MOST_GROUPS groups.
 GROUP, MOST_GROUPS = 500, 4096
-#: A worker's caches of encoded words are emptied at so many characters.
-CACHE = 6_000_000
+#: At so many characters a worker's caches of encoded words are emptied but for the words at hand.
+CACHE = 2_500_000
 #: Characters of the texts that are encoded together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 #: White space as the split knows it: a run of it, a word; at the end of a text a run alone.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE, PART = re.compile(f"[{SPACES}]"), re.compile(f"([{SPACES}]*+)([^{SPACES}]++)|([{SPACES}]++)")
@@ -139,9 +139,10 @@ class Encoder:
     def many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; their unknown words are learned together."""
         if self.held > CACHE:
-            self.after_space.clear()
-            self.bare.clear()
-            self.held = 0
+            now = set().union(*(text.split(" ") for text in texts))  # frequent words are among them
+            self.after_space = {w: ids for w in now if (ids := self.after_space.get(w)) is not None}
+            self.bare = {}
+            self.held = sum(map(len, self.after_space))
         plans: list[tuple | None] = []
         spaced, bare = set(), set()
         for text in texts:
