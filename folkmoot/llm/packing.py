@@ -31,6 +31,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 from pathlib import Path
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,8 @@ CAPACITY, END_ID, RATE = 1024, 2, 4.0
 GAP, ROUNDS = 0.001, 4
 #: Rows that are ranked together; a length has at most MOST_GROUPS groups.
 GROUP, MOST_GROUPS = 500, 4096
-#: At so many characters a worker's caches of encoded words are emptied but for the words at hand.
-CACHE = 2_500_000
+#: At so many bytes a worker's caches of encoded words are emptied but for the words at hand; a dictionary entry takes ENTRY beside its key and value.
+CACHE, ENTRY = 48 << 20, 104
 #: Characters of the texts that are encoded together.
 TOGETHER = 1 << 18
 #: White space as the split knows it: a run of it, a word; at the end of a text a run alone.
@@ -83,6 +84,10 @@ class Encoder:
         self.bare: dict[str, bytes] = {}
         self.held, self.newline = 0, self.ids("\n")[0]
 
+    def forget(self) -> None:
+        """Let go of all words: between tasks a worker holds the tokenizer alone."""
+        self.after_space, self.bare, self.held = {}, {}, 0
+
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.loaded.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
@@ -103,7 +108,7 @@ class Encoder:
                 known.update(zip(group, [data[4 * a : 4 * b] for a, b in zip(lows.tolist(), highs.tolist())]))
             else:
                 known.update((w, self.ids(glue.strip("\n") + w).tobytes()) for w in group)
-            self.held += sum(map(len, group))
+            self.held += sum(_taken(w, known[w]) for w in group)
 
     def _parts(self, text: str, spaced: set[str], bare: set[str]) -> list[tuple[str, str, str]]:
         """``(white space, word, white space at the end)`` of a text; words not known yet go into the sets."""
@@ -133,7 +138,7 @@ class Encoder:
     def _space(self, run: str) -> bytes:
         if run not in self.bare:
             self.bare[run] = self.ids(run).tobytes()
-            self.held += len(run)
+            self.held += _taken(run, self.bare[run])
         return self.bare[run]
 
     def many(self, texts: list[str]) -> list[bytes]:
@@ -142,7 +147,7 @@ class Encoder:
             now = set().union(*(text.split(" ") for text in texts))  # frequent words are among them
             self.after_space = {w: ids for w in now if (ids := self.after_space.get(w)) is not None}
             self.bare = {}
-            self.held = sum(map(len, self.after_space))
+            self.held = sum(_taken(w, ids) for w, ids in self.after_space.items())
         plans: list[tuple | None] = []
         spaced, bare = set(), set()
         for text in texts:
@@ -177,9 +182,13 @@ class Encoder:
         return self.many([text])[0]
 
 
-@lru_cache(2)
+def _taken(word: str, ids: bytes) -> int:
+    return getsizeof(word) + getsizeof(ids) + ENTRY
+
+
+@lru_cache(1)
 def _encoder(tokenizer_file: str) -> Encoder:
-    """A worker keeps what it has learned from task to task."""
+    """A worker keeps the tokenizer from task to task, and no words."""
     return Encoder(tokenizer_file)
 
 
@@ -208,16 +217,19 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_file: str | No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(tokenizer_file or default_tokenizer())
-        for b in batches:
-            at, rows = [], []
-            texts = _in_turn(x.as_py() or "" for x in b.column(1))
-            for i, found in enumerate(chain.from_iterable(map(encode.many, texts))):
-                ids = found + end
-                for k, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
-                    at.append(i)
-                    rows.append((k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))
-            cols = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(cols[0], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["_id", "piece", "start", "length", "ids_crc32"])
+        try:
+            for b in batches:
+                at, rows = [], []
+                texts = _in_turn(x.as_py() or "" for x in b.column(1))
+                for i, found in enumerate(chain.from_iterable(map(encode.many, texts))):
+                    ids = found + end
+                    for k, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
+                        at.append(i)
+                        rows.append((k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))
+                cols = list(zip(*rows)) or [[]] * 4
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(cols[0], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["_id", "piece", "start", "length", "ids_crc32"])
+        finally:
+            encode.forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, piece int, start long, length long, ids_crc32 long")
