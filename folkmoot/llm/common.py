@@ -115,3 +115,24 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             break
         before = after
     return now
+
+
+#: A key is heavy that has one row in so many; so there are no more heavy keys than this.
+HEAVY = 1000
+
+
+def heavy_or_light(rows: DataFrame, key: str, told: DataFrame, n_col: str) -> DataFrame:
+    """``rows`` with the other columns of ``told``, which has a row for each value of ``key`` (null among them) and its number of rows.
+
+    The at most ``HEAVY`` values that hold a thousandth of all rows each go out by
+    broadcast, so their rows are not moved; the others join by shuffle, where no
+    partition can be hot. Rows whose key ``told`` lacks are left out.
+    """
+    total = told.agg(F.sum(n_col)).first()[0] or 0
+    own = [F.col(key).alias("_key"), *(c for c in told.columns if c not in (key, n_col))]
+    is_heavy = F.col(n_col) * HEAVY >= total
+    heavy, light = told.where(is_heavy).select(*own), told.where(~is_heavy).select(*own)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    by_broadcast = rows.join(F.broadcast(heavy), same).drop("_key")
+    by_shuffle = rows.join(F.broadcast(heavy.select("_key")), same, "left_anti").join(light, same).drop("_key")
+    return by_broadcast.unionByName(by_shuffle)
