@@ -28,14 +28,25 @@ def test_sessions_and_commissions():
     assert pages.role_members(page, fixed=True)["chairs"] == "B"
 
 
-def test_member_details():
-    page = parse("<p>Geboren te Poperinge op 1/2/1970</p>")
-    assert pages.birth_place(page) == "P" and pages.birth_date(page) == "1970-02-01"
-    assert pages.start_date(parse("<p>x sedert 9 juni 2024 | x")) == "2024-06-09" == pages.start_date(parse("<p>niets"))
-    assert pages.start_date(parse("<p>sinds 1/3/2023")) == "2023-03-01"
-    assert pages.district("voor de kieskring Oost-Vlaanderen sedert 2024") == "Oost-Vlaanderen"
-    assert pages.district("voor de kieskring Liège") == "Li" and pages.district("voor de kieskring Liège", fixed=True) == "Liège"
-    assert pages.district("voor het arrondissement waals brabant tot x") == "Waals-Brabant"
+def test_member_details(spark):
+    told = lambda html, fixed=False: pages.member_details(spark.createDataFrame([("56", "x", html)], "session_id string, name string, html string"), fixed).first()
+    born = told("<p>weg</p><p>Geboren te Poperinge op 1/2/1970</p>")
+    assert born.place_of_birth == "P" and born.date_of_birth == "1970-02-01"
+    assert told("<p>Geboren te Aalst. Meer|x</p>").place_of_birth == "Aalst" and told("<p>Geboren te Gent\nx</p>").place_of_birth == "Gent"
+    assert told("<p>Geboren te A Geboren te B op 1/2/1970").place_of_birth == "A"
+    assert told("<p>x|geboren op|Geboren op 31/02/1970").date_of_birth == "" and told("<p>Geboren|x op 1/2/1970").date_of_birth == ""
+    assert told("<p>x sedert 9 juni 2024 | x").start == "2024-06-09" == told("<p>niets").start == told("<p>sedert").start
+    assert told("<p>sinds 1/3/2023").start == "2023-03-01" and told("<p>sinds 1/3/2023 sedert 5 mei 2020 | 31/02/2020").start == "2020-05-05"
+    assert told("<div>sinds 7 mei 2021</div>").start == "2021-05-07"
+    where = lambda said, fixed=False: told(f"<p>Volksvertegenwoordiger {said}</p>", fixed).constituency
+    assert where("voor de kieskring Oost-Vlaanderen sedert 2024") == "Oost-Vlaanderen" and where("voor de kieskring Gent st. x") == "Gent st"
+    assert where("voor de kieskring Liège") == "Li" and where("voor de kieskring Liège", fixed=True) == "Liège"
+    assert where("voor het arrondissement waals brabant tot x") == "Waals-Brabant" and where("voor de kieskring ") == where("kieskring") == ""
+    page = told("<a href='cvview54.cfm?key=01234'>a</a><a href='cvview54.cfm?key=O9999'>b</a><p><i>Taal</i> Frans <p>Volksvertegenwoordiger kieskring Fractie: GROEP (x)")
+    assert (page.member_id, page.language, page.told_fraction) == ("01234", "fr", "groep")
+    assert told("<p>Volksvertegenwoordiger kieskring, Geen lid van een erkende fractie").told_fraction == "independent"
+    empty = told(None)
+    assert (empty.member_id, empty.date_of_birth, empty.place_of_birth, empty.language, empty.constituency, empty.told_fraction, empty.start) == ("", "", "", "", "", "", "2024-06-09")
 
 
 SUBS = """<table><tr><td><a href='/a.pdf'>003</a><td><font>VERSLAG</font><tr><td>Datum ronddeling<td>1/2/2024<tr><td>Auteur(s)<td><a>An, De</a><tr><td>&nbsp;
