@@ -160,29 +160,6 @@ def redirect_url(text: str, base: str, session: str = "56") -> str | None:
     return f"{base}/{session}/{m[2]}/{m[1]}K{m[2]}{m[3]}.pdf" if m else None
 
 
-ARGUMENT_FIELDS = {"title": str, "description": str, "arguments_pro": list, "arguments_contra": list, "arguments_neutral": list, "debate_summary": str}
-
-
-def arguments(raw: str) -> str:
-    """The reply's JSON object in compact form; the empty object if anything is missing or malformed."""
-    text = raw.strip()
-    if text.startswith("```"):
-        inside = text.splitlines()[1:]
-        ends = [i for i, line in enumerate(inside) if line.strip() == "```"]
-        text = "\n".join(inside[: ends[-1]] if ends else inside)
-    empty = {k: t() for k, t in ARGUMENT_FIELDS.items()}
-    try:
-        found = json.loads(text)
-        ok = isinstance(found, dict) and all(isinstance(found.get(k), t) for k, t in ARGUMENT_FIELDS.items())
-        ok = ok and all(isinstance(a, dict) and isinstance(a.get("parties"), str) and isinstance(a.get("argument"), str) for k, t in ARGUMENT_FIELDS.items() if t is list for a in found[k])
-    except ValueError:
-        ok = False
-    if ok:
-        pick = lambda k, v: [{"parties": a["parties"], "argument": a["argument"]} for a in v] if ARGUMENT_FIELDS[k] is list else v
-        empty = {k: pick(k, found[k]) for k in ARGUMENT_FIELDS}
-    return json.dumps(empty, ensure_ascii=False, separators=(",", ":"))
-
-
 TURNS = ArrayType(StructType([StructField("speaker", StringType()), StructField("text", StringType())]))
 QUESTIONS = StructType([StructField(x, ArrayType(StringType())) for x in ("questioners", "respondents", "topics", "ids")])
 
@@ -205,21 +182,3 @@ def plenary_questions_udf(title: pd.Series) -> pd.DataFrame:
 @F.pandas_udf(QUESTIONS)
 def commission_questions_udf(title: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([commission_questions(t or "") for t in title], columns=["questioners", "respondents", "topics", "ids"])
-
-
-@F.pandas_udf(StringType())
-def arguments_udf(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda t: arguments(t or ""))
-
-
-def legacy_text(data: bytes) -> str:
-    """Windows-1252 with its five undefined bytes as C1 controls; a byte order mark wins."""
-    for mark, name in ((b"\xef\xbb\xbf", "utf-8"), (b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be")):
-        if data.startswith(mark):
-            return data[len(mark) :].decode(name, "replace")
-    return data.decode("cp1252", "surrogateescape").translate({0xDC00 + b: b for b in (0x81, 0x8D, 0x8F, 0x90, 0x9D)})
-
-
-@F.pandas_udf(StringType())
-def legacy_text_udf(data: pd.Series) -> pd.Series:
-    return data.map(lambda b: None if b is None else legacy_text(bytes(b)))

@@ -290,3 +290,82 @@ def document_type(x: Column) -> Column:
 
 def commission_name(x: Column) -> Column:
     return first_match(x, COMMISSIONS, "onbekend")
+
+
+def _from_utf16(data: Column, big: bool) -> Column:
+    """UTF-16 without its mark; lone surrogates and a last odd byte are U+FFFD."""
+    half, lone = ("{0}[0-9A-F]{{2}}", "FFFD") if big else ("[0-9A-F]{{2}}{0}", "FDFF")
+    high, low = half.format("D[89AB]"), half.format("D[C-F]")
+    odd = F.octet_length(data) % 2 == 1
+    units = F.regexp_replace(F.hex(F.when(odd, F.substring(data, F.lit(1), F.octet_length(data) - 1)).otherwise(data)), "(.{4})", "$1 ")
+    units = F.regexp_replace(units, f"(?<!{high} )({low}) ", f"{lone} ")
+    units = F.regexp_replace(units, f"({high}) (?!{low})", f"{lone} ")
+    text = F.decode(F.unhex(F.replace(units, F.lit(" "), F.lit(""))), "UTF-16BE" if big else "UTF-16LE")
+    return F.concat(text, F.when(odd, "\ufffd").otherwise(""))
+
+
+def legacy_text(data: Column) -> Column:
+    """Windows-1252 with its five undefined bytes as C1 controls; a byte order mark wins."""
+    defined = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+    plain = F.translate(F.decode(data, "ISO-8859-1"), "".join(map(chr, defined)), bytes(defined).decode("cp1252"))
+    mark = F.hex(F.substring(data, 1, 3))
+    rest = lambda n: F.substring(data, n + 1, (1 << 31) - 1)
+    return (
+        F.when(mark == "EFBBBF", F.make_valid_utf8(rest(3).cast("string")))
+        .when(F.startswith(mark, F.lit("FFFE")), _from_utf16(rest(2), False))
+        .when(F.startswith(mark, F.lit("FEFF")), _from_utf16(rest(2), True))
+        .otherwise(plain)
+    )
+
+
+#: A reply's fields: strings, and lists of positions.
+ARGUMENT_FIELDS = {"title": "string", "description": "string", "arguments_pro": "list", "arguments_contra": "list", "arguments_neutral": "list", "debate_summary": "string"}
+
+
+def _unfenced(raw: Column) -> Column:
+    """What stands between a code fence at the start and the last one."""
+
+    def inside(text: Column) -> Column:
+        lines = F.split(text, "\n")
+        ends = F.filter(F.sequence(F.lit(2), F.greatest(F.size(lines), F.lit(2))), lambda k: utrim(F.get(lines, k - 1)) == "```")
+        last = F.coalesce(F.array_max(ends), F.size(lines) + 1)
+        return F.when(F.startswith(text, F.lit("```")), F.array_join(F.slice(lines, F.lit(2), F.greatest(last - 2, F.lit(0))), "\n")).otherwise(text)
+
+    return once(utrim(raw), inside)
+
+
+def arguments_json(raw: Column) -> Column:
+    """The reply's JSON object in compact form; the empty object if anything is missing or malformed.
+
+    The types are those of the JSON: a number is no string. A field that stands twice is malformed.
+    """
+    is_string = lambda v, name: F.coalesce(F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant")) == "STRING", F.lit(False))
+    text = lambda v, name: F.try_variant_get(v, f"$.{name}", "string").alias(name)
+    empty = F.to_json(F.struct(*(F.lit("").alias(k) if t == "string" else F.array().cast("array<string>").alias(k) for k, t in ARGUMENT_FIELDS.items())))
+
+    def decoded(v: Column) -> Column:
+        ok, fields = F.lit(True), []
+        for name, kind in ARGUMENT_FIELDS.items():
+            if kind == "string":
+                ok, fields = ok & is_string(v, name), [*fields, text(v, name)]
+            else:
+                items = F.try_variant_get(v, f"$.{name}", "array<variant>")
+                whole = F.forall(items, lambda a: is_string(a, "parties") & is_string(a, "argument"))
+                ok, fields = ok & F.coalesce(whole, F.lit(False)), [*fields, F.transform(items, lambda a: F.struct(text(a, "parties"), text(a, "argument"))).alias(name)]
+        return F.when(ok, _low_hex(F.to_json(F.struct(*fields)))).otherwise(empty)
+
+    def alone(text: Column) -> Column:
+        """The value of a text that holds one value and nothing after it: what follows would part it from the text's own hash."""
+        told = F.sha2(text, 256)
+        pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), told, F.lit('"]')))
+        return once(pair, lambda v: F.when(F.try_variant_get(v, "$[1]", "string") == told, F.try_variant_get(v, "$[0]", "variant")))
+
+    return F.coalesce(once(once(_unfenced(raw), alone), decoded), empty)
+
+
+def _low_hex(json: Column) -> Column:
+    """Escaped control characters in lower-case hexadecimal digits."""
+    out = json
+    for code in (*range(0x0A, 0x10), *range(0x1A, 0x20)):
+        out = F.regexp_replace(out, rf"(?<!\\)((?:\\\\)*)\\u00{code:02X}", rf"$1\\u00{code:02x}")
+    return F.when(F.contains(json, F.lit("\\u00")), out).otherwise(json)

@@ -197,6 +197,7 @@ _ELEMENT_TYPES = [
 #: Rows of elements that are handed on together.
 ROWS = 4096
 _ELEMENT_NAMES = [x.split(" ")[0] for x in ELEMENTS.replace("map<string,string>", "map").split(", ")]
+ELEMENT_TYPES = dict(zip(_ELEMENT_NAMES, _ELEMENT_TYPES))
 
 
 def element_columns(doc_id: str | None, html: str | None, columns: Sequence[str] = _ELEMENT_NAMES) -> list[list]:

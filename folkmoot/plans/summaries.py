@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.grammar import arguments_udf
 from ..operators.relational import least_meeting, upsert
 from ..sources.completion import RateLimiter, complete
 
@@ -119,6 +118,6 @@ def summarise_dossiers(files: DataFrame, cache: DataFrame, kind: str, completer,
     column = "summary" if kind == "content" else "arguments"
     wanted = dossier_inputs(files, kind, fixed).dropDuplicates(["summary_hash"]).join(cache.select("summary_hash"), "summary_hash", "left_anti")
     new = completed(wanted, "content", "reply", completer, CONTENT_PROMPT if kind == "content" else ARGUMENTS_PROMPT, rate, journal)
-    reply = F.col("reply") if kind == "content" else arguments_udf(F.col("reply"))
+    reply = F.col("reply") if kind == "content" else T.arguments_json(F.col("reply"))
     fresh = new.select("summary_hash", reply.alias(column), F.lit(model).alias("model"), "dossier_id", "source", F.lit(now).alias("created_at"))
     return upsert(cache, fresh, "summary_hash")

@@ -15,6 +15,7 @@ from .functions import grammar as G
 from .functions import text as T
 from .operators import relational as R
 from .operators import windows as W
+from .operators import table_functions
 from .operators.dom import elements
 from .plans import dossiers, meetings, pages, pdf, summaries
 from .schemas import raw, typed
@@ -143,12 +144,12 @@ def m19_json(spark, d):
 @query("""
 SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '{"title":"t' || event_id || '","description":"d","arguments_pro":[{"parties":"A","argument":"x"}],"arguments_contra":[],"arguments_neutral":[],"debate_summary":"s"}'
   ELSE '{"title":"","description":"","arguments_pro":[],"arguments_contra":[],"arguments_neutral":[],"debate_summary":""}' END AS arguments
-FROM events WHERE event_type = 'click'
+FROM events
 """)
 def m17_arguments_json(spark, d):
     whole = F.concat(F.lit('```json\n{"title": "t'), F.col("event_id").cast("string"), F.lit('", "description": "d", "arguments_pro": [{"parties": "A", "argument": "x", "more": 1}], "arguments_contra": [], "arguments_neutral": [], "debate_summary": "s"}\n```'))
     reply = F.when(F.col("event_id") % 3 == 0, whole).when(F.col("event_id") % 3 == 1, '{"title": "only"}').otherwise("no json")
-    return table(spark, d, "events").where("event_type = 'click'").select("event_id", G.arguments_udf(reply).alias("arguments"))
+    return table(spark, d, "events").select("event_id", T.arguments_json(reply).alias("arguments"))
 
 
 # Predicates.
@@ -404,6 +405,19 @@ def s04_page_elements(spark, d):
     return e.groupBy(F.col("doc_id").cast("long").alias("page_id")).agg(count("p").alias("paragraphs"), count("li").alias("items"), count("a").alias("links"), W.first_match(links, F.col("pos")).alias("first_link"))
 
 
+@query(SQL["s04_page_elements"])
+def s04_lateral_elements(spark, d):
+    """The same in SQL alone: the table function, of three columns."""
+    table_functions.register(spark)
+    return spark.sql(
+        """
+        SELECT page_id, count_if(tag = 'p') AS paragraphs, count_if(tag = 'li') AS items, count_if(tag = 'a') AS links, min_by(attrs['href'], pos) FILTER (WHERE tag = 'a') AS first_link
+        FROM {pages} AS p, LATERAL elements(p.html, 'pos, tag, attrs') AS e GROUP BY page_id
+        """,
+        pages=table(spark, d, "pages"),
+    )
+
+
 @query()
 def flagship_page_sections(spark, d):
     """Pages to sections: elements, headings carried forward to the paragraphs after them, cleaned text and its hash for each section."""

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions import text as T
-from ..functions.grammar import legacy_text_udf
 
 
 def directories(environment: dict[str, str] | None = None) -> tuple[str, str]:
@@ -23,7 +22,7 @@ def directories(environment: dict[str, str] | None = None) -> tuple[str, str]:
 def pages(spark: SparkSession, path: str, pattern: str = "*.html", legacy: bool = False) -> DataFrame:
     """``(path, stem, html)`` of the files below ``path`` (S04, S07, S12, S14); ``legacy`` decodes Windows-1252."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    html = legacy_text_udf("content") if legacy else F.try_validate_utf8(F.col("content").cast("string"))
+    html = T.legacy_text(F.col("content")) if legacy else F.try_validate_utf8(F.col("content").cast("string"))
     return files.select("path", F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1).alias("stem"), html.alias("html"))
 
 
@@ -42,11 +41,17 @@ def stale(cached: DataFrame, wanted: DataFrame, today: str) -> DataFrame:
 
 
 def dossier_ids(spark: SparkSession, path: str) -> DataFrame:
-    """``id TAB date`` lines; blank ones are skipped, a missing date is empty, the last line of an id holds."""
-    lines = spark.read.text(path).where(T.utrim(F.col("value")) != "").withColumn("_n", F.monotonically_increasing_id())
+    """``id TAB date`` lines; blank ones are skipped, a missing date is empty, the last line of an id holds.
+
+    The last line is the one furthest down in the file whose path is greatest; ``path`` may be a
+    folder, and files may be read in any number of splits. A task reads each split from its
+    start on, so within a split its row ids tell the order, and only there.
+    """
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", place.alias("_place")).where(T.utrim(F.col("value")) != "")
     parts = F.split("value", "\t", 2)
-    rows = lines.select(T.utrim(parts[0]).alias("dossier_id"), T.utrim(F.coalesce(F.get(parts, F.lit(1)), F.lit(""))).alias("date"), "_n")
-    return rows.groupBy("dossier_id").agg(F.max_by("date", "_n").alias("date"))
+    rows = lines.select(T.utrim(parts[0]).alias("dossier_id"), T.utrim(F.coalesce(F.get(parts, F.lit(1)), F.lit(""))).alias("date"), "_place")
+    return rows.groupBy("dossier_id").agg(F.max_by("date", "_place").alias("date"))
 
 
 def watermark(spark: SparkSession, path: str) -> int:

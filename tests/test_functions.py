@@ -88,16 +88,56 @@ def test_chairs_and_redirects():
     assert G.redirect_url(text, "https://b") == "https://b/56/1518/56K1518004.pdf" and G.redirect_url("x", "https://b") is None
 
 
-def test_arguments():
-    empty = G.arguments("geen json")
-    assert json.loads(empty)["title"] == "" and G.arguments('```json\n{"title": "a"}\n```') == empty
-    whole = {**json.loads(empty), "title": "é", "arguments_pro": [{"parties": "A", "argument": "x"}]}
-    assert json.loads(G.arguments("```\n" + json.dumps(whole) + "\n```")) == whole
-
-
-@pytest.mark.parametrize(("data", "text"), [(b"caf\xe9 \x80", "café €"), (b"\x81\x8d", "\x81\x8d"), (b"\xef\xbb\xbfcaf\xc3\xa9", "café")])
-def test_legacy_text(data, text):
-    assert G.legacy_text(data) == text
+EMPTY = '{"title":"","description":"","arguments_pro":[],"arguments_contra":[],"arguments_neutral":[],"debate_summary":""}'
+LISTS = ("arguments_pro", "arguments_contra", "arguments_neutral")
+
+
+def arguments(text):
+    """The same by the standard library, for a reply without a fence."""
+    try:
+        found = json.loads(text, object_pairs_hook=lambda pairs: dict(pairs) if len(dict(pairs)) == len(pairs) else None, parse_constant=lambda c: 1 / 0)
+        told = {k: found[k] for k in ("title", "description")} | {k: [{f: a[f] for f in ("parties", "argument")} for a in found[k]] for k in LISTS} | {"debate_summary": found["debate_summary"]}
+        strings = [told["title"], told["description"], told["debate_summary"], *(v for k in LISTS for a in told[k] for v in a.values())]
+        ok = all(isinstance(x, str) for x in strings) and all(isinstance(found[k], list) for k in LISTS)
+    except (ValueError, KeyError, TypeError, ZeroDivisionError, AttributeError):
+        ok = False
+    return json.dumps(told, ensure_ascii=False, separators=(",", ":")) if ok else EMPTY
+
+
+def test_arguments(spark):
+    whole = json.loads(EMPTY)
+    good = [
+        whole,
+        {**whole, "title": "\u00e9 \"q\" \\\\u000B \\ / \x7f", "more": {"a": [1.5, None]}, "arguments_pro": [{"parties": "A", "argument": "x", "n": 1}, {"argument": "\n\t", "parties": ""}]},
+        {**whole, "description": "".join(map(chr, range(32))), "debate_summary": "\U0001f600"},
+    ]
+    bad = [{**whole, k: v} for k in whole for v in (1, None, {}, True, 1.5, [1], [None], [{"parties": "a"}], [{"parties": 1, "argument": "b"}])] + [{k: v for k, v in whole.items() if k != gone} for gone in whole]
+    texts = [json.dumps(x) for x in good + bad] + [json.dumps(x, indent=1, ensure_ascii=False) for x in good]
+    full = EMPTY.replace('""', '"a"', 1)
+    texts += ["", "geen json", "[]", "null", "1", full, full + " x", full + "{}", full.replace('"', "'"), full[:-1] + ',"title":"b"}', full[:-1] + ",}", full[:-1] + ',"n":NaN}', full[:-1] + ',"n":01}', "/* c */" + full, full[:-1], "\ufeff" + full]
+    fenced = {"```json\n" + EMPTY.replace('""', '"a"', 1) + "\n```": EMPTY.replace('""', '"a"', 1), "```\n{\n```\n}\n```": EMPTY, "``` ": EMPTY, "```\n" + EMPTY.replace('""', '"b"', 1): EMPTY.replace('""', '"b"', 1), "  ```\n" + EMPTY.replace('""', '"c"', 1) + "\n ``` \nthat was it": EMPTY.replace('""', '"c"', 1)}
+    rows = spark.createDataFrame([(t,) for t in [*texts, *fenced, None]], "t string").select("t", T.arguments_json(F.col("t")).alias("a"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+    for r in rows.collect():
+        assert r.a == (EMPTY if r.t is None else fenced.get(r.t) or arguments(r.t)), r.t
+
+
+def test_legacy_text(spark):
+    def decoded(data):
+        for mark, name in ((b"\xef\xbb\xbf", "utf-8"), (b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be")):
+            if data.startswith(mark):
+                return data[len(mark) :].decode(name, "replace")
+        return "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in data)
+
+    wide = "a\u00e9\u20ac\U0001f600\ud7ff\ue000"
+    given = [bytes([b]) for b in range(256)] + [bytes(range(256)), b"", b"\xef\xbb", b"\xff", b"caf\xe9 \x80"]
+    given += [b"\xef\xbb\xbf" + wide.encode(), b"\xef\xbb\xbf", b"\xef\xbb\xbfa\xffb\xe2\x82", b"\xff\xfe" + wide.encode("utf-16-le"), b"\xfe\xff" + wide.encode("utf-16-be")]
+    given += [b"\xff\xfe", b"\xff\xfea", b"\xfe\xff" + b"\xd8\x00\x00a", b"\xff\xfe" + b"a\x00\x00\xdc" + b"b\x00\x00\xd8", b"\xfe\xff\xd8\x3d\xd8\x3d\xde\x00\xde\x00"]
+    rows = spark.createDataFrame([(bytearray(b),) for b in given] + [(None,)], "b binary").select("b", T.legacy_text(F.col("b")).alias("t"))
+    assert "Python" not in rows._jdf.queryExecution().executedPlan().toString()
+    for r in rows.collect():
+        assert r.t == (None if r.b is None else decoded(bytes(r.b))), bytes(r.b)
 
 
 def test_trim_is_linear_and_knows_all_white_space(spark):

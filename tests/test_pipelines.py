@@ -52,6 +52,23 @@ def test_files(spark, tmp_path):
     assert files.directories({"DATA_DIR": "d"}) == ("d", "scrapers/cache")
 
 
+def test_the_last_line_of_the_last_file_holds(spark, tmp_path):
+    lines = [f"{i % 50}\t2024-{i % 12 + 1:02d}-{i % 28 + 1:02d} {i}" for i in range(4000)]
+    (tmp_path / "a.tsv").write_text("\n".join(lines[:3000]))
+    (tmp_path / "b.tsv").write_text("\n".join(lines[3000:3020]))
+    (tmp_path / "B.tsv").write_text("\n".join(lines[3020:]))
+    want = {}
+    for name in ("B.tsv", "a.tsv", "b.tsv"):
+        want |= dict(x.split("\t") for x in (tmp_path / name).read_text().split("\n"))
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # a file in many splits
+    try:
+        ids = files.dossier_ids(spark, str(tmp_path))
+        assert {r.dossier_id: r.date for r in ids.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+
 def test_dossier_rows(spark):
     df = spark.createDataFrame([("1", " u ", None), ("2", " ", ""), ("3", None, "r")], "id string, latest_adopted_text_url string, latest_report_url string")
     assert {tuple(r) for r in files.dossier_rows(df).collect()} == {("1", "u", None), ("3", None, "r")}
