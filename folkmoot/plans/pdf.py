@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.grammar import REDIRECT
+from ..session import work_folder
 
 BLOCKS = "doc_id string, page_idx int, page_w double, page_h double, block_no int, type int, bbox array<double>, lines array<struct<spans:array<struct<text:string,flags:int,size:double>>>>"
 
@@ -126,10 +127,53 @@ def redirect_target(text: Column, base: str, session: str = "56") -> Column:
     return F.when(part(1) != "", F.concat(F.lit(f"{base}/{session}/"), part(2), F.lit("/"), part(1), F.lit("K"), part(2), part(3), F.lit(".pdf")))
 
 
-def follow_redirects(documents: DataFrame, base: str, hops: int = 3) -> DataFrame:
+def follow_redirects(documents: DataFrame, base: str, hops: int | None = 3) -> DataFrame:
     """``documents`` (url, text) with ``final_url`` after at most ``hops`` fetches; a chain that leaves the table ends where it left."""
-    targets = documents.select(F.col("url").alias("_from"), redirect_target(F.col("text"), base).alias("_to"))
-    out = documents.select("url", F.col("url").alias("final_url"))
-    for _ in range(hops):
-        out = out.join(targets, F.col("final_url") == F.col("_from"), "left").select("url", F.coalesce("_to", "final_url").alias("final_url"))
-    return out
+    targets = documents.select(F.col("url").alias("source"), redirect_target(F.col("text"), base).alias("target"))
+    ends = chased(targets, hops)
+    return documents.select("url").join(ends, F.col("url") == F.col("source"), "left").select("url", F.coalesce("final", "url").alias("final_url"))
+
+
+def chased(links: DataFrame, hops: int | None = None) -> DataFrame:
+    """``(source, final, cyclic)`` for each source of ``links`` (source, target): where its chain is after ``hops`` steps, or ends.
+
+    Pointer jumping: the links of 2, 4, 8, … steps are each made by one join of those before
+    with themselves, so a chain of n takes some log2(n) joins. ``hops`` steps are put
+    together from its binary digits. Without a bound the jumps go on until a round ends no
+    chain: as every place of a chain is a source of its own, only cycles are left then, and what
+    runs into them. Their ``final`` is their source.
+
+    Null sources and targets are no links; of several targets of a source the least counts; a
+    link to itself is a cycle of one.
+    """
+    jumps = links.where("source is not null and target is not null").groupBy("source").agg(F.min("target").alias("final"))
+    jumps = _written(jumps.withColumn("ended", F.lit(False)), "jumps")
+    if hops is not None:
+        found, left = None, hops
+        while left:
+            if left & 1:
+                found = jumps if found is None else _jumped(found, jumps)
+            left >>= 1
+            if left:
+                jumps = _written(_jumped(jumps, jumps), "jumps")
+        stays = jumps.select("source", F.col("source").alias("final"))
+        return (stays if found is None else found.select("source", "final")).withColumn("cyclic", F.lit(False))
+    before, open_ = None, jumps.count()
+    while open_ and open_ != before:
+        jumps = _written(_jumped(jumps, jumps), "jumps")
+        before, open_ = open_, jumps.where(~F.col("ended")).count()
+    return jumps.select("source", F.when(F.col("ended"), F.col("final")).otherwise(F.col("source")).alias("final"), (~F.col("ended")).alias("cyclic"))
+
+
+def _jumped(first: DataFrame, then: DataFrame) -> DataFrame:
+    """``first`` followed by ``then``; a chain whose place is no source has ended there."""
+    onward = then.select(F.col("source").alias("_at"), F.col("final").alias("_to"), F.col("ended").alias("_ended"))
+    joined = first.join(onward, ~F.col("ended") & (F.col("final") == F.col("_at")), "left")
+    return joined.select("source", F.coalesce("_to", "final").alias("final"), F.coalesce("_ended", F.lit(True)).alias("ended"))
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: its plan does not grow with the rounds."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,7 +19,10 @@ from .operators import table_functions
 from .operators.dom import elements
 from .plans import dossiers, meetings, pages, pdf, summaries
 from .schemas import raw, typed
-from .sources import files
+from .session import work_folder
+from .sources import files, keyed
+from .sources import meetings as meeting_stream
+from .streaming import grace, retract
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -338,6 +341,98 @@ def u04_upsert(spark, d):
     return R.upsert(old, old.where("doc_id % 2 = 0").withColumn("quality", F.col("quality") + 10), "doc_id")
 
 
+# Tables and streams that are kept up to date.
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN quality + 10 ELSE quality END AS quality FROM labels WHERE doc_id % 10 <> 3")
+def u04_k09_bucket_upsert(spark, d):
+    """A table by hash buckets: a tenth of its keys gets new rows, another tenth goes."""
+    labels = table(spark, d, "labels").select("doc_id", "quality")
+    kept = keyed.KeyedTable(spark, work_folder(spark, "labels"), "doc_id long, quality int", ["doc_id"], buckets=16)
+    kept.upsert(labels)
+    tenth = labels.where("doc_id % 10 = 0").withColumn("quality", F.col("quality") + 10)
+    kept.upsert(tenth.unionByName(labels.where("doc_id % 10 = 3")), gone=F.col("doc_id") % 10 == 3)
+    return kept.read()
+
+
+@query("SELECT doc_id, sha256(text) AS input_hash FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 3 = 0)")
+def j06_u03_bucketed_seen(spark, d):
+    """Unseen texts against a bucketed set of seen hashes, added in two goes."""
+    hashed = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("input_hash"))
+    seen = keyed.SeenKeys(spark, work_folder(spark, "seen"), "input_hash string", "input_hash", buckets=16)
+    for part in (hashed.where("doc_id % 6 = 0"), hashed.where("doc_id % 6 = 3")):
+        seen.add(part)
+    return seen.unseen(hashed).select("doc_id", "input_hash")
+
+
+@query("""
+SELECT user_id, min(event_id) AS least_meeting, max(strftime(ts, '%Y-%m-%d')) AS latest, count(*) AS meetings
+FROM events WHERE NOT (event_id % 3 = 0 AND event_id % 5 = 0) AND NOT (event_id % 3 < 2 AND event_id % 7 = 0) GROUP BY 1
+""")
+def a01_a10_retracted(spark, d):
+    """Events come in three batches, some of those that came before vanish in each."""
+    e = table(spark, d, "events").select("user_id", "event_id", F.date_format("ts", "yyyy-MM-dd").alias("date"))
+    third = F.col("event_id") % 3
+    batches = ((third == 0, F.lit(False)), (third == 1, (third == 0) & (F.col("event_id") % 5 == 0)), (third == 2, (third < 2) & (F.col("event_id") % 7 == 0)))
+    made = (F.min("event_id").alias("least_meeting"), F.max("date").alias("latest"), F.count("*").alias("meetings"))
+    kept = retract.Aggregates(spark, work_folder(spark, "meetings"), "user_id", "event_id", "user_id long, event_id long, date string", "user_id long, least_meeting long, latest string, meetings long", made, buckets=16)
+    for comes, goes in batches:
+        kept.apply(e.where(comes | goes).withColumn("gone", goes))
+    return kept.read()
+
+
+@query("SELECT page_id AS meeting_id, sha256(html) AS hash FROM pages")
+def s09_s12_meeting_stream(spark, d):
+    """Pages as meetings, streamed by id in batches of at most half of them and ranges of 50."""
+    last = table(spark, d, "pages").agg(F.max("page_id")).first()[0]
+    stream = meeting_stream.meetings(spark, _page_ranges(f"{d}/pages.parquet"), lambda page: page <= last, start=-1, span=50, most=last // 2 + 1)
+    out, mark = work_folder(spark, "meetings"), work_folder(spark, "mark")
+    going = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).start()
+    going.processAllAvailable()
+    going.stop()
+    return spark.read.parquet(out).select("meeting_id", F.sha2("html", 256).alias("hash"))
+
+
+def _page_ranges(path: str):
+    """What a meeting stream reads: the pages of a range of ids, by the statistics of the Parquet files."""
+
+    def read(first: int, last: int):
+        import pyarrow.dataset as ds
+
+        field = ds.field("page_id")
+        for batch in ds.dataset(path, format="parquet").to_batches(columns=["page_id", "html"], filter=(field >= first) & (field <= last)):
+            yield from zip(*(c.to_pylist() for c in batch.columns))
+
+    return read
+
+
+@query("""
+SELECT o_orderkey::VARCHAR AS dossier_id, f AS fetched, m AS meeting
+FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS f, strftime(o_orderdate + to_days((o_orderkey % 21 - 10)::INT), '%Y-%m-%d') AS m FROM orders)
+WHERE NOT (f = '1998-01-10' OR (f >= m AND NOT abs(date_diff('day', f::DATE, m::DATE)) < 7))
+""")
+def f10_grace_stream(spark, d):
+    """The freshness rule over a stream of dossiers, by state and timers: what the batch rule (f10_m25_freshness) asks for."""
+    orders = spark.readStream.schema(table(spark, d, "orders").schema).parquet(f"{d}/orders.parque[t]")  # a pattern may be a file, too
+    meeting = F.date_format(F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 21 - 10).cast("int")), "yyyy-MM-dd")
+    told = orders.select(F.col("o_orderkey").cast("string").alias("dossier_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("fetched"), meeting.alias("meeting"))
+    out, mark = work_folder(spark, "requests"), work_folder(spark, "mark")
+    going = grace.refetches(told, today="1998-01-10").writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(once=True).start()
+    going.awaitTermination()  # one batch: as long as there may be timers, Spark would start another one
+    return spark.read.schema(grace.REQUESTS).parquet(out)
+
+
+@query("""
+SELECT c_custkey AS source, CASE WHEN cyclic THEN c_custkey ELSE least(b * 100 + 99, n) END AS final, cyclic
+FROM (SELECT c_custkey, c_custkey // 100 AS b, c_custkey // 100 % 2 = 1 AND c_custkey // 100 * 100 + 99 < n AS cyclic, n FROM customer, (SELECT max(c_custkey) + 1 AS n FROM customer)) WHERE cyclic OR c_custkey % 100 <> 99
+""")
+def s20_long_chains(spark, d):
+    """Chains of up to a hundred links, every other one closed to a cycle, by pointer jumping."""
+    k = F.col("c_custkey")
+    onward = F.when(k % 100 < 99, k + 1).when(F.floor(k / 100) % 2 == 1, k - 99)
+    return pdf.chased(table(spark, d, "customer").select(k.alias("source"), onward.alias("target")))
+
+
 # Windows.
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.relational import first_of_each, upsert
-from ..sources.sinks import rewrite_table, write_table
+from ..operators.relational import first_of_each
+from ..sources.keyed import KeyedTable
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -20,17 +20,16 @@ def new_pages(spark: SparkSession, folder: str, pattern: str = "*.html") -> Data
     return files.select("path", F.col("modificationTime").alias("arrived"), F.try_validate_utf8(F.col("content").cast("string")).alias("html"))
 
 
-def upsert_stream(stream: DataFrame, table: str, key: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df, order: str = "arrived") -> StreamingQuery:
-    """Keep ``table`` keyed by ``key``; of a batch's rows of one key the last holds. Replayed batches change nothing."""
+def upsert_stream(stream: DataFrame, table: str, key: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df, order: str = "arrived", buckets: int = 64) -> StreamingQuery:
+    """Keep ``table`` keyed by ``key``; of a batch's rows of one key the last holds. Replayed batches change nothing.
+
+    A batch rewrites the hash buckets that its keys fall into, and no others.
+    """
 
     def apply(batch: DataFrame, _: int) -> None:
         rows = transform(batch)
         once = first_of_each(rows.withColumn("_late", -F.col(order).cast("double")), [key], ["_late"]).drop("_late")
-        spark = batch.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(table)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            rewrite_table(upsert(spark.read.parquet(table), once, key), table)
-        else:
-            write_table(once, table)
+        schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes)
+        KeyedTable(batch.sparkSession, table, schema, [key], buckets).upsert(once)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
