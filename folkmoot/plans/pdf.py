@@ -72,22 +72,26 @@ def reason(bbox: Column, page_idx: Column, w: Column, h: Column, layout: Layout)
     )
 
 
-def skipped_pages(blocks: DataFrame, layout: Layout = ADOPTED_TEXT) -> DataFrame:
-    """pages of committee members (the second), contents (the third), or garbled text."""
-    said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_no", block_text(F.col("lines")).alias("t")))), lambda x: x["t"]), "\n")
-    pages = blocks.where("type = 0").groupBy("doc_id", "page_idx").agg(said.alias("t"))
-    skip = (
+def default_skip(layout: Layout = ADOPTED_TEXT) -> Column:
+    """F14, F15, over a page's ``page_idx`` and text ``t``: committee members (the second page), contents (the third), or garbled text."""
+    return (
         ((F.col("page_idx") == 1) & (T.marker_hits(F.col("t"), T.COMMITTEE_MARKERS) >= 2))
         | ((F.col("page_idx") == 2) & (T.marker_hits(F.col("t"), T.CONTENTS_MARKERS) >= 2))
         | (T.garbled_share(F.col("t")) > layout.garbled)
     )
-    return pages.where(skip).select("doc_id", "page_idx")
 
 
-def block_reasons(blocks: DataFrame, layout: Layout = ADOPTED_TEXT) -> DataFrame:
+def skipped_pages(blocks: DataFrame, layout: Layout = ADOPTED_TEXT, skip: Column | None = None) -> DataFrame:
+    """The pages for which ``skip`` holds: a condition on ``doc_id``, ``page_idx`` and the page's text ``t``; by default :func:`default_skip`."""
+    said = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_no", block_text(F.col("lines")).alias("t")))), lambda x: x["t"]), "\n")
+    pages = blocks.where("type = 0").groupBy("doc_id", "page_idx").agg(said.alias("t"))
+    return pages.where(default_skip(layout) if skip is None else skip).select("doc_id", "page_idx")
+
+
+def block_reasons(blocks: DataFrame, layout: Layout = ADOPTED_TEXT, skip: Column | None = None) -> DataFrame:
     """``(doc_id, page_idx, block_no, bbox, reason, preview)`` of the text blocks."""
     kept = reason(F.col("bbox"), F.col("page_idx"), F.col("page_w"), F.col("page_h"), layout)
-    skipped = skipped_pages(blocks, layout).withColumn("_skipped", F.lit(True))
+    skipped = skipped_pages(blocks, layout, skip).withColumn("_skipped", F.lit(True))
     preview = F.replace(F.left(F.replace(block_text(F.col("lines")), F.lit("\n"), F.lit(" ")), F.lit(80)), F.lit('"'), F.lit("'"))
     return blocks.where("type = 0").join(skipped, ["doc_id", "page_idx"], "left").select("doc_id", "page_idx", "block_no", "bbox", F.when(F.col("_skipped"), "skipped_page").otherwise(kept).alias("reason"), preview.alias("preview"))
 
@@ -108,10 +112,10 @@ def _body(lines: Column) -> Column:
     return T.utrim(F.array_join(F.transform(runs, lambda r: T.emphasised(T.squash(r["text"]), r["flags"])), ""))
 
 
-def markdown(blocks: DataFrame, layout: Layout = ADOPTED_TEXT) -> DataFrame:
-    """``(doc_id, markdown)``; blocks by page, top and left (O03), headings by the first span's size."""
+def markdown(blocks: DataFrame, layout: Layout = ADOPTED_TEXT, skip: Column | None = None) -> DataFrame:
+    """``(doc_id, markdown)``; blocks by page, top and left (O03), headings by the first span's size. ``skip`` says which pages go (§2.13)."""
     kept = reason(F.col("bbox"), F.col("page_idx"), F.col("page_w"), F.col("page_h"), layout) == "kept"
-    text = blocks.where("type = 0").join(skipped_pages(blocks, layout), ["doc_id", "page_idx"], "left_anti").where(kept)
+    text = blocks.where("type = 0").join(skipped_pages(blocks, layout, skip), ["doc_id", "page_idx"], "left_anti").where(kept)
     size = F.coalesce(F.try_element_at(F.try_element_at("lines", F.lit(1))["spans"], F.lit(1))["size"], F.lit(0.0))
     prefix = F.when(size >= 12, "## ").when(size >= 11, "### ").otherwise("")
     said = F.when(prefix != "", T.utrim(T.squash(block_text(F.col("lines"))))).otherwise(_body(F.col("lines")))

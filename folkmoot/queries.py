@@ -20,7 +20,7 @@ from .operators.dom import elements
 from .plans import dossiers, meetings, pages, pdf, summaries
 from .schemas import raw, typed
 from .session import work_folder
-from .sources import files, keyed
+from .sources import files, keyed, sinks
 from .sources import meetings as meeting_stream
 from .streaming import grace, retract
 
@@ -381,6 +381,40 @@ def a01_a10_retracted(spark, d):
     return kept.read()
 
 
+@query("SELECT o_orderkey::VARCHAR || chr(9) || strftime(o_orderdate, '%Y-%m-%d') AS line, row_number() OVER (ORDER BY o_orderkey::VARCHAR || chr(9) || strftime(o_orderdate, '%Y-%m-%d')) AS place FROM orders")
+def k11_o02_sorted_lines(spark, d):
+    """Dossier ids written in order, and read back with their places."""
+    folder = work_folder(spark, "ids")
+    sinks.write_sorted_dossier_ids(table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("dossier_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")), folder)
+    return files.sorted_lines(spark, folder)
+
+
+@query("SELECT '56' AS session_id, c_custkey::VARCHAR AS dossier_id, CASE WHEN c_custkey % 2 = 0 THEN '2024-06-09' ELSE '2024-06-10_b' END AS last_updated, '<p>' || c_name AS html FROM customer WHERE c_custkey % 3 <> 0")
+def s07_k13_dossier_files(spark, d):
+    """A cache of pages, a file for each customer; names without all three parts are no dossiers."""
+    k = F.col("c_custkey")
+    name = F.concat(F.lit("56_"), k.cast("string"), F.when(k % 3 == 0, ".html").when(k % 2 == 0, "_2024-06-09.html").otherwise("_2024-06-10_b.html"))
+    folder = work_folder(spark, "cache")
+    sinks.write_absent_files(table(spark, d, "customer").select(name.alias("name"), F.concat(F.lit("<p>"), "c_name").alias("content")), _uri(folder)).write.format("noop").mode("overwrite").save()
+    return files.dossier_pages(spark, folder)
+
+
+@query("SELECT s_suppkey::VARCHAR AS dossier_id, n AS name, s_name || chr(10) || CASE n WHEN 'report.md' THEN '' ELSE chr(10) || n END AS content FROM supplier, (VALUES ('report.md'), ('adopted_text.md')) AS t(n)")
+def s22_k14_markdown_files(spark, d):
+    """Markdown files, two for each supplier, written and read whole."""
+    name = F.explode(F.array(F.lit("report.md"), F.lit("adopted_text.md"), F.lit("notes.txt")))
+    rows = table(spark, d, "supplier").select("s_suppkey", "s_name", name.alias("n"))
+    content = F.concat("s_name", F.lit("\n"), F.when(F.col("n") == "report.md", "").otherwise(F.concat(F.lit("\n"), "n")))
+    folder = work_folder(spark, "markdown")
+    sinks.write_files(rows.select(F.concat_ws("/", F.col("s_suppkey").cast("string"), "n").alias("name"), content.alias("content")), _uri(folder)).write.format("noop").mode("overwrite").save()
+    return files.markdown_files(spark, folder)
+
+
+def _uri(folder: str) -> str:
+    """A folder as the writers of files want it: with its scheme."""
+    return folder if ":" in folder else f"file://{folder}"
+
+
 @query("SELECT page_id AS meeting_id, sha256(html) AS hash FROM pages")
 def s09_s12_meeting_stream(spark, d):
     """Pages as meetings, streamed by id in batches of at most half of them and ranges of 50."""
@@ -513,7 +547,24 @@ def s04_lateral_elements(spark, d):
     )
 
 
-@query()
+def _plain(column: str) -> str:
+    """SQL: the text of a piece of markup, cleaned as by M01."""
+    text = f"regexp_replace({column}, '<[^>]*>', '', 'g')"
+    for name, char in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&nbsp;", "chr(160)"), ("&amp;", "'&'")):
+        text = f"replace({text}, '{name}', {char})"
+    return rf"regexp_replace(translate({text}, chr(10) || chr(160) || chr(173), '  '), '^[\s\x{{85}}\x{{A0}}]+|[\s\x{{85}}\x{{A0}}]+$', '', 'g')"
+
+
+_STOPS = "article|aside|body|div|footer|form|h1|h2|header|html|li|nav|ol|section|table|ul"
+
+
+@query(rf"""
+WITH c AS (SELECT page_id, regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g') AS h FROM pages),
+parts AS (SELECT page_id, unnest(regexp_split_to_array(h, '<h[12](?: [^>]*)?>')) AS part, generate_subscripts(regexp_split_to_array(h, '<h[12](?: [^>]*)?>'), 1) AS k FROM c),
+said AS (SELECT page_id, k, CASE WHEN k > 1 THEN regexp_extract(part, '(?s)^(.*?)(?:</?(?:p|{_STOPS})[ >]|\z)', 1) ELSE '' END AS heading, unnest(regexp_split_to_array(part, '<p(?: [^>]*)?>')[2:]) AS p, generate_subscripts(regexp_split_to_array(part, '<p(?: [^>]*)?>')[2:], 1) AS n FROM parts),
+plain AS (SELECT page_id, k, n, {{}} AS heading, {{}} AS t FROM (SELECT page_id, k, n, heading, regexp_extract(p, '(?s)^(.*?)(?:</?(?:p|{_STOPS})[ >]|\z)', 1) AS p FROM said))
+SELECT page_id, heading, string_agg(t, chr(10) ORDER BY k, n) AS text, sha256(string_agg(t, chr(10) ORDER BY k, n)) AS hash FROM plain GROUP BY page_id, heading
+""".format(*(_plain(x) for x in ("heading", "p"))))
 def flagship_page_sections(spark, d):
     """Pages to sections: elements, headings carried forward to the paragraphs after them, cleaned text and its hash for each section."""
     e = elements(table(spark, d, "pages"), "page_id", columns=("doc_id", "pos", "tag", "all_text")).where("tag in ('h1', 'h2', 'p')")
@@ -538,9 +589,16 @@ def p02_p03_commissions(spark, d):
     return pages.commissions(both.select(link.alias("html")), both.select(F.replace(F.lower("n_name"), F.lit(" "), F.lit("_")).alias("file"), detail.alias("html")), "https://base/")
 
 
-@query("SELECT s_name AS name, 'tel ' || s_suppkey || ', mail' AS contacts, 'a  b' AS interests, '' AS url FROM supplier")
+@query("""
+SELECT s_name AS name, CASE s_suppkey % 4 WHEN 0 THEN '' ELSE 'tel ' || s_suppkey || CASE WHEN s_suppkey % 4 > 1 THEN ', mail' ELSE '' END END AS contacts,
+  CASE WHEN s_suppkey % 4 < 2 THEN '' ELSE 'a  b' END AS interests, CASE WHEN s_suppkey % 4 = 3 THEN 'http://x/' || s_suppkey ELSE '' END AS url FROM supplier
+""")
 def p04_register(spark, d):
-    row = F.concat(F.lit("<table><tr><th>head</tr><tr><td> "), F.col("s_name"), F.lit(" <td>tel "), F.col("s_suppkey").cast("string"), F.lit("<br> <i>mail</i><td>a <b>b</b></table>"))
+    """Rows of one to four cells."""
+    k = F.col("s_suppkey")
+    cell = lambda least, *html: F.when(k % 4 >= least, F.concat(F.lit("<td>"), *html)).otherwise("")
+    contacts = (F.lit("tel "), k.cast("string"), F.when(k % 4 > 1, "<br> <i>mail</i>").otherwise(""))
+    row = F.concat(F.lit("<table><tr><th>head</tr><tr><td> "), F.col("s_name"), F.lit(" "), cell(1, *contacts), cell(2, F.lit("a <b>b</b>")), cell(3, F.lit(" http://x/"), k.cast("string"), F.lit(" ")), F.lit("</table>"))
     return pages.lobby(table(spark, d, "supplier").select(row.alias("html")))
 
 
@@ -573,30 +631,45 @@ def p06_p13_members(spark, d):
 
 
 def _dossiers(spark, d):
-    rows = table(spark, d, "events").where("event_type = 'purchase'")
-    number = (F.col("event_id") + 1).cast("string")
-    kind = F.element_at(F.array(*map(F.lit, ("ARTIKELEN AANGENOMEN IN PLENUM", "AANGENOMEN TEKST", "VERSLAG", "ADVIES"))), (F.col("event_id") % 4 + 1).cast("int"))
-    one = F.concat(
-        F.lit("<tr><td><a href='/d/"), number, F.lit(".pdf'>00"), number, F.lit("</a><td><font>"), kind,
-        F.lit("</font><tr><td>Datum ronddeling<td>"), F.date_format("ts", "dd/MM/yyyy"), F.lit("<tr><td>Auteur(s)<td><a>De Smet, An</a><tr><td>"),
-    )
+    """A dossier for each user, a record for each of their events: with or without a file or date, one or several authors, the title page's own rows in a body or not."""
+    rows, k = table(spark, d, "events"), F.col("event_id")
+    number = (k + 1).cast("string")
+    kind = F.element_at(F.array(*map(F.lit, ("ARTIKELEN AANGENOMEN IN PLENUM", "AANGENOMEN TEKST", "VERSLAG", "ADVIES"))), (k % 4 + 1).cast("int"))
+    link = F.concat(F.lit("<a"), F.when(k % 3 != 0, F.concat(F.lit(" href='"), F.when(k % 3 == 1, "https://other").otherwise(""), F.lit("/d/"), number, F.lit(".pdf'"))).otherwise(""), F.lit(">00"), number, F.lit("</a>"))
+    dated = F.when(k % 7 != 0, F.concat(F.lit("<tr><td>Datum ronddeling<td>"), F.date_format("ts", "dd/MM/yyyy"))).otherwise("")
+    authors = F.concat(F.lit("<tr><td>Auteur(s)<td><a>De Smet, An</a>"), F.when(k % 5 == 0, "<tr><td> <td><a>De Regering</a>").otherwise(""))
+    one = F.concat(F.lit("<tr><td>"), link, F.lit("<td><font>"), kind, F.lit("</font>"), dated, authors, F.lit("<tr><td>"))
     nested = rows.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", one.alias("h")))), lambda x: x["h"]), "").alias("subs"))
+    u = F.col("user_id")
     html = F.concat(
-        F.lit("<div id=story><h4><center> Titel <i>x</i></center></h4></div><table><tr><td>Indieningsdatum<td>9/6/2024<tr><td>Status<td>AANGENOMEN<tr><td> <td>HANGEND KAMER<tr><td>Auteur(s)<td><a>Regering</a><tr><td>Document type<td>WETSONTWERP<tr><td>Eurovoc descriptoren<td>a | b |<tr><td>Subdocumenten<td><table>"),
-        F.col("subs"), F.lit("</table></table>"),
+        F.when(u % 4 == 0, "").otherwise("<div id=story><h4><center> Titel <i>x</i></center></h4></div>"),
+        F.when(u % 2 == 0, "<table>").otherwise("<table><tbody>"),
+        F.when(u % 3 == 0, "").otherwise("<tr><td>Indieningsdatum<td>9/6/2024"),
+        F.lit("<tr><td>Status<td>AANGENOMEN<tr><td>alone<tr><td> <td>"), F.when(u % 5 == 0, "iets").otherwise("HANGEND KAMER"),
+        F.lit("<tr><td>Auteur(s)<td>"), F.when(u % 3 == 0, "Claes, Bo<br>en anderen").when(u % 3 == 1, "<a>Regering</a>").otherwise("<a>An, A</a> en <a>Bo</a>"),
+        F.lit("<tr><td>Document type<td>"), F.when(u % 6 == 0, "BRIEF").otherwise("WETSONTWERP"),
+        F.lit("<tr><td>Eurovoc descriptoren<td>a | b |<tr><td>Subdocumenten<td><table>"), F.col("subs"), F.lit("</table></table>"),
     )
-    docs = nested.select(F.col("user_id").cast("string").alias("dossier_id"), F.lit("56").alias("session_id"), F.lit("2024-07-01").alias("last_updated"), html.alias("html"))
+    docs = nested.select(u.cast("string").alias("dossier_id"), F.lit("56").alias("session_id"), F.lit("2024-07-01").alias("last_updated"), html.alias("html"))
     return dossiers.parsed(docs, "https://base")
 
 
-_SUBS = """(SELECT user_id::VARCHAR AS dossier_id, event_id AS n, (event_id + 1)::VARCHAR AS id, strftime(ts, '%Y-%m-%d') AS date, 'De Smet An' AS authors, 'https://base/d/' || (event_id + 1) || '.pdf' AS file_url,
-  CASE event_id % 4 WHEN 0 THEN 'ArtikelenAangenomenInPlenum' WHEN 1 THEN 'AangenomenTekst' WHEN 2 THEN 'Verslag' ELSE 'Advies' END AS type FROM events WHERE event_type = 'purchase')"""
+# A record without a date does not end: what comes next goes on with it, and its number and type are the last told; authors add up, a file stays until another one is told.
+_SUBS = """(SELECT user_id::VARCHAR AS dossier_id, event_id AS n, (event_id + 1)::VARCHAR AS id, strftime(ts, '%Y-%m-%d') AS date,
+  string_agg('De Smet An' || CASE WHEN event_id % 5 = 0 THEN ',government' ELSE '' END, ',') OVER r AS authors,
+  last_value(CASE event_id % 3 WHEN 1 THEN 'https://other/d/' || (event_id + 1) || '.pdf' WHEN 2 THEN 'https://base/d/' || (event_id + 1) || '.pdf' END IGNORE NULLS) OVER r AS file_url,
+  CASE event_id % 4 WHEN 0 THEN 'ArtikelenAangenomenInPlenum' WHEN 1 THEN 'AangenomenTekst' WHEN 2 THEN 'Verslag' ELSE 'Advies' END AS type
+  FROM (SELECT *, coalesce(sum((event_id % 7 <> 0)::INT) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rec FROM events)
+  WINDOW r AS (PARTITION BY user_id, rec ORDER BY event_id) QUALIFY event_id % 7 <> 0)"""
 
 
 @query(f"""
-SELECT '56' AS session_id, dossier_id AS id, '2024-07-01' AS last_updated, 'Titel' AS title, 'government' AS authors, '2024-06-09' AS submission_date, '' AS end_date, '' AS vote_date, 'WetsOntwerp' AS document_type, 'HangendKamer' AS status,
-  arg_max(file_url, (type = 'ArtikelenAangenomenInPlenum', id, n)) FILTER (type IN ('ArtikelenAangenomenInPlenum', 'AangenomenTekst')) AS latest_adopted_text_url, arg_max(file_url, n) FILTER (type = 'Verslag') AS latest_report_url,
-  '' AS eurovoc_main_descriptor, 'a,b' AS eurovoc_descriptors FROM {_SUBS} GROUP BY dossier_id
+SELECT '56' AS session_id, u::VARCHAR AS id, '2024-07-01' AS last_updated, CASE WHEN u % 4 = 0 THEN '' ELSE 'Titel' END AS title,
+  CASE u % 3 WHEN 0 THEN 'Claes Bo,en anderen' WHEN 1 THEN 'government' ELSE 'An A,Bo' END AS authors, CASE WHEN u % 3 = 0 THEN '' ELSE '2024-06-09' END AS submission_date, '' AS end_date, '' AS vote_date,
+  CASE WHEN u % 6 = 0 THEN 'Onbekend' ELSE 'WetsOntwerp' END AS document_type, CASE WHEN u % 5 = 0 THEN 'Aangenomen' ELSE 'HangendKamer' END AS status, adopted AS latest_adopted_text_url, report AS latest_report_url,
+  '' AS eurovoc_main_descriptor, 'a,b' AS eurovoc_descriptors
+FROM (SELECT DISTINCT user_id AS u FROM events) LEFT JOIN (SELECT dossier_id, arg_max(file_url, (type = 'ArtikelenAangenomenInPlenum', id, n)) FILTER (file_url IS NOT NULL AND type IN ('ArtikelenAangenomenInPlenum', 'AangenomenTekst')) AS adopted,
+  arg_max(file_url, n) FILTER (file_url IS NOT NULL AND type = 'Verslag') AS report FROM {_SUBS} GROUP BY 1) ON dossier_id = u::VARCHAR
 """)
 def p14_dossiers(spark, d):
     return dossiers.dossiers(_dossiers(spark, d))

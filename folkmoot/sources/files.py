@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -40,6 +40,17 @@ def stale(cached: DataFrame, wanted: DataFrame, today: str) -> DataFrame:
     return joined.where(F.col("fetched").isNull() | T.needs_refetch(F.col("fetched"), F.col("date"), F.lit(today))).select("dossier_id", "date", "fetched")
 
 
+def sorted_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(line, place)`` of text files that were written in order: places from 1, by file name, split and line."""
+    lines = spark.read.text(path).select(F.col("value").alias("line"), "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("_n"))
+    # a running count within each split, moved on by the splits before it
+    split = ["file_path", "file_block_start"]
+    own = F.row_number().over(Window.partitionBy(*split).orderBy("_n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = lines.groupBy(*split).agg(F.count("*").alias("n")).select(*split, before.alias("before"))  # a row for each split
+    return lines.withColumn("own", own).join(starts, split).select("line", (F.col("before") + F.col("own")).alias("place"))
+
+
 def dossier_ids(spark: SparkSession, path: str) -> DataFrame:
     """``id TAB date`` lines; blank ones are skipped, a missing date is empty, the last line of an id holds.
 
@@ -90,23 +101,46 @@ def markdown_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.regexp_extract(name, r"([^/]+)/[^/]+$", 1).alias("dossier_id"), F.regexp_extract(name, r"([^/]+)$", 1).alias("name"), F.col("value").alias("content"))
 
 
-def read_through(spark: SparkSession, folder: str, urls: dict[str, str], client: "Client", refetch: frozenset[str] = frozenset(), legacy: bool = False) -> DataFrame:
-    """The pages of ``urls`` (file name: URL) below ``folder``; absent ones, and those to ``refetch``, are asked for and kept first.
+def read_through(spark: SparkSession, folder: str, urls: DataFrame | dict[str, str], client: "Client", refetch: DataFrame | frozenset[str] = frozenset(), legacy: bool = False, callers: int = 1) -> DataFrame:
+    """The pages of ``urls`` (name, url) below ``folder``; absent ones, and those to ``refetch`` (name), are asked for and kept first.
 
-    A page that cannot be had is left as it was; the list of URLs is the caller's, one line of an index each.
+    What is absent is an anti-join of the names with the folder's listing, so neither comes to the
+    driver; the requests are dealt to ``callers`` tasks, whose waits are as much longer. A page that
+    cannot be had is left as it was. Small lists may be given as a dict and a set.
     """
     from .sinks import write_files
 
-    have = {r["name"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*").load(folder).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name")).collect()} if _exists(spark, folder) else set()
-    wanted = {name: url for name, url in urls.items() if name not in have or name in refetch}
-    if wanted:
-        names = spark.createDataFrame([(u, n) for n, u in wanted.items()], "u string, name string")
-        got = fetched(spark, client, list(dict.fromkeys(wanted.values()))).where("body is not null")
-        kept = got.join(names, F.col("url") == F.col("u")).select("name", F.col("body").alias("content"))
-        write_files(kept, folder).write.format("noop").mode("overwrite").save()
+    wanted = urls if isinstance(urls, DataFrame) else spark.createDataFrame([*urls.items()], "name string, url string")
+    again = refetch if isinstance(refetch, DataFrame) else spark.createDataFrame([(n,) for n in refetch], "name string")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name")) if _exists(spark, folder) else wanted.select("name").limit(0)
+    absent = wanted.join(listed.join(again, "name", "left_anti"), "name", "left_anti")
+    kept = asked(absent, client, callers).where("body is not null").select("name", F.col("body").alias("content"))
+    write_files(kept, folder).write.format("noop").mode("overwrite").save()
     return pages(spark, folder, "*", legacy)
 
 
+def asked(urls: DataFrame, client: "Client", callers: int = 1) -> DataFrame:
+    """``urls`` (name, url) with the ``body`` of each url, null where it cannot be had; ``callers`` tasks share the rate of one."""
+
+    def run(batches: Iterator) -> Iterator:
+        import random
+        import time
+
+        import pyarrow as pa
+
+        for b in batches:
+            bodies = []
+            for url in b.column(1).to_pylist():
+                time.sleep(callers * random.uniform(client.least_wait, client.most_wait))
+                try:
+                    bodies.append(client.fetch(url))
+                except OSError:
+                    bodies.append(None)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bodies, pa.binary())], names=["name", "url", "body"])
+
+    return urls.select("name", "url").repartition(callers).mapInArrow(run, "name string, url string, body binary")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -58,6 +58,11 @@ def write_dossier_ids(df: DataFrame, path: str) -> None:
     write_lines([r["line"] for r in lines], df.sparkSession, path)
 
 
+def write_sorted_dossier_ids(df: DataFrame, folder: str) -> None:
+    """K11, O02 for many: the same lines as files below ``folder``, whose names are in the order of what they hold."""
+    df.select(F.concat_ws("\t", "dossier_id", "date").alias("line")).orderBy("line").write.mode("overwrite").text(folder)
+
+
 def write_watermark(spark: SparkSession, value: int, path: str) -> None:
     """K12."""
     write_lines([str(value)], spark, path)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from folkmoot.plans import summaries
+from folkmoot.plans import pdf, summaries
 from folkmoot.sources import completion, files, sinks
 from folkmoot.streaming import ingest
 
@@ -200,3 +200,23 @@ def test_read_through(spark, tmp_path):
     for refetch, calls in ((frozenset(), 2), (frozenset(), 2), (frozenset({"b.html"}), 3)):
         out = {(r.stem, r.html) for r in files.read_through(spark, folder, urls, client, refetch).collect()}
         assert out == {("a", "<p>u/a</p>"), ("b", "<p>u/b</p>")} and asked.value == calls
+    wanted = spark.createDataFrame([("a.html", "u/a"), ("b.html", "u/b"), ("c.html", "u/c"), ("d.html", "lost")], "name string, url string")
+
+    def loses(url):
+        if url == "lost":
+            raise OSError(url)
+        return fetch(url)
+
+    again = spark.createDataFrame([("a.html",)], "name string")
+    out = {r.stem for r in files.read_through(spark, folder, wanted, files.Client("folk tests", loses, 0.0, 0.0), again, callers=2).collect()}
+    assert out == {"a", "b", "c"} and asked.value == 5  # c is new, a is asked again
+
+
+def test_pages_are_skipped_by_the_callers_rule(spark):
+    line = lambda t: [{"spans": [{"text": t, "flags": 0, "size": 9.0}]}]
+    rows = [("d", i, 600.0, 800.0, 0, 0, [10.0, 400.0, 200.0, 410.0], line(f"page {i}")) for i in range(4)]
+    blocks = spark.createDataFrame(rows, pdf.BLOCKS)
+    skip = F.contains("t", F.lit("page 2")) | (F.col("page_idx") == 0)
+    assert pdf.markdown(blocks, pdf.REPORT, skip).first().markdown == "page 1\n\npage 3\n"
+    assert {r.page_idx for r in pdf.block_reasons(blocks, pdf.REPORT, skip).where("reason = 'skipped_page'").collect()} == {0, 2}
+    assert "page 0" in pdf.markdown(blocks, pdf.REPORT).first().markdown
