@@ -219,4 +219,4 @@ def test_pages_are_skipped_by_the_callers_rule(spark):
     skip = F.contains("t", F.lit("page 2")) | (F.col("page_idx") == 0)
     assert pdf.markdown(blocks, pdf.REPORT, skip).first().markdown == "page 1\n\npage 3\n"
     assert {r.page_idx for r in pdf.block_reasons(blocks, pdf.REPORT, skip).where("reason = 'skipped_page'").collect()} == {0, 2}
-    assert "page 0" in pdf.markdown(blocks, pdf.REPORT).first().markdown
+    assert "page 2" in pdf.markdown(blocks, pdf.REPORT).first().markdown
