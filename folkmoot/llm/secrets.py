@@ -1,17 +1,21 @@
 """Secret scans with a recursive decoding worklist.
 
-Each text is a layer. Runs that decode as URL escapes, Unicode or character
-escapes, base64 (also wrapped over lines) or hexadecimal give layers of bytes;
-these are read as text, without their NULs (UTF-16 and UTF-32), and inflated where
-they start like gzip, zlib, bzip2 or xz data, member after member. All new layers
-go on the worklist until nothing new appears. A layer of the same content from the
-same place is not opened again, so cycles end, of inflating layers too. Every
-layer carries a map from its characters to the spans of the original text that
-they came from, and what is found in it is reported there.
+Each text is a layer. Runs that decode as URL escapes, base64 (also wrapped over
+lines) or hexadecimal give layers of bytes; these are read as text, without their
+NULs (UTF-16 and UTF-32), and inflated where they start like gzip, zlib, bzip2 or
+xz data, member after member. URL, Unicode and character escapes are also replaced in
+place, which gives a layer of the whole text: what is only partly encoded shows there. The
+worklist goes on until nothing new appears, deepest layers first, and holds one piece
+of each layer that is open. A layer of the same content from the same place is not
+opened again, so cycles end, of inflating layers too. Every layer carries a map from
+its characters to the spans of the original text that they came from, and what is
+found in it is reported there.
 
 Edge cases: null is the empty text; a very long text is one row, scanned whole;
-inflated data beyond ``PIECE`` bytes are read in pieces that overlap by ``OVERLAP``
-(all that comes from one compressed run has that run's span, so no place is lost);
+inflated data are read in pieces of some ``PIECE`` bytes, which end where no secret and
+no encoded run can go on (all that comes from one compressed run has that run's span, so
+no place is lost); only where there is no such place in ``LONGEST`` bytes, a single run longer
+than that is cut, and its parts overlap by ``OVERLAP``;
 bytes that are no UTF-8 are kept as they are, one character each; a cut or broken
 compressed run counts up to where it breaks; repeated rows are each reported; other
 columns are never read.
@@ -46,9 +50,13 @@ BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/]{16,}|[A-Za-z0-9_-]{16
 #: Lines of one width, a multiple of four, and a last one that may be shorter.
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])([A-Za-z0-9+/]{16,})(?:\r?\n[ \t]*[A-Za-z0-9+/]+)+={0,2}(?![A-Za-z0-9+/=])")
 HEXED = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){12,}(?![0-9A-Fa-f])")
-PIECE, OVERLAP = 1 << 25, 1 << 20
+PIECE, LONGEST, OVERLAP = 1 << 24, 1 << 26, 1 << 20
+#: Bytes that stand in no secret and in no encoded run, and a single space between words, which part them; so do four NULs.
+APART, BETWEEN = b"()<>|,[]!*^`$@", re.compile(rb"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+ESCAPED = re.compile("(?:%[0-9A-Fa-f]{2})+")
 
 Found = tuple[int, int, str]
+NOWHERE = np.zeros(0, np.int64)
 
 
 def base_spans(text: str) -> list[Found]:
@@ -99,14 +107,32 @@ def _inflated(data: bytes) -> Iterator[bytes]:
     """The inflated data in pieces that overlap; none if ``data`` are not compressed."""
     if _opener(data)[0] is None:
         return
-    held = b""
+    held, least = bytearray(), PIECE
     for part in _members(data):
         held += part
-        if len(held) > PIECE:
-            yield held
-            held = held[-OVERLAP:]
+        if len(held) >= least:
+            end = _parted(held)
+            if end or len(held) > LONGEST:
+                yield bytes(memoryview(held)[: end or len(held)])
+                del held[: end or len(held) - OVERLAP]
+            least = len(held) + PIECE
     if held:
-        yield held
+        yield bytes(held)
+
+
+def _parted(held: bytearray) -> int:
+    """The last place in ``held`` that no token can reach over; 0 if there is none."""
+    end = max(max(held.rfind(c) for c in APART) + 1, held.rfind(bytes(4)) + 4 if bytes(4) in held else 0)
+    for size in (1 << 12, 1 << 18, len(held)):
+        low = max(end, len(held) - size)
+        last = None
+        for last in BETWEEN.finditer(held, low):
+            pass
+        if last is not None:
+            return last.end()
+        if low == end:
+            break
+    return end
 
 
 class _Layer:
@@ -122,7 +148,7 @@ class _Layer:
 
     def part(self, content: str | bytes, lows: np.ndarray, highs: np.ndarray) -> _Layer:
         """A layer whose characters came from ``[low, high)`` of this one."""
-        if self.starts.strides == (0,) and len(content):
+        if self.one_place() and len(content):
             return self.whole(content, 0, len(self.starts))
         return _Layer(content, self.starts[lows], self.ends[np.maximum(highs, lows + 1) - 1])
 
@@ -131,6 +157,9 @@ class _Layer:
         n = len(content)
         return _Layer(content, np.broadcast_to(self.starts[lo], n), np.broadcast_to(self.ends[hi - 1], n))
 
+    def one_place(self) -> bool:
+        return self.starts.strides == (0,)
+
     def digest(self) -> bytes:
         text = isinstance(self.content, str)
         data = self.content.encode("utf-8", "surrogatepass") if text else self.content
@@ -138,18 +167,25 @@ class _Layer:
 
     def key(self) -> tuple[bytes, bytes]:
         """Equal for layers of equal content and places."""
-        places = (self.starts[:1], self.ends[:1]) if self.starts.strides == (0,) else (self.starts, self.ends)
+        places = (self.starts[:1], self.ends[:1]) if self.one_place() else (self.starts, self.ends)
         return self.digest(), hashlib.blake2b(b"".join(p.tobytes() for p in places), digest_size=16).digest()
 
 
 def _opened(layer: _Layer) -> Iterator[_Layer]:
     """The layers of bytes: what they inflate to, their text, and it without NULs."""
     data = layer.content
+    if not data:
+        return
     for piece in _inflated(data):
         yield layer.whole(piece, 0, len(data))
     if _opener(data)[1]:
         return
     text = data.decode("utf-8", "surrogateescape")
+    if layer.one_place():
+        yield layer.whole(text, 0, len(layer.starts))
+        if 0 in data and (rest := data.replace(b"\0", b"")):
+            yield layer.whole(rest, 0, len(layer.starts))
+        return
     if len(text) == len(data):
         at = np.arange(len(data))
         yield layer.part(text, at, at + 1)
@@ -177,36 +213,72 @@ def _percent(layer: _Layer) -> Iterator[_Layer]:
         yield layer.part(value[head].tobytes(), lows, lows + size[head])
 
 
+def _in_place(layer: _Layer, found: Iterator[tuple[int, str, list[int]]]) -> Iterator[_Layer]:
+    """The layer with texts put in place of others: for each of ``found`` where it starts, its text, and where each of its characters ends."""
+    pieces, sizes, at = [], [], 0
+    for start, text, ends in found:
+        pieces += [layer.content[at:start], text]
+        sizes.append((start, ends))
+        at = ends[-1]
+    if not pieces:
+        return
+    pieces.append(layer.content[at:])
+    content = "".join(pieces)
+    if layer.one_place():
+        yield layer.whole(content, 0, len(layer.starts))
+        return
+    # a character that stays is one wide; the others' borders are put between
+    borders = np.ones(len(layer.content) + 1, bool)
+    for start, ends in sizes:
+        borders[start + 1 : ends[-1]] = False
+        borders[ends[:-1]] = True
+    places = np.nonzero(borders)[0]
+    yield layer.part(content, places[:-1], places[1:])
+
+
 def _escapes(layer: _Layer) -> Iterator[_Layer]:
     if "\\" not in layer.content and "&#" not in layer.content:
         return
-    pieces, lows, highs, at, some = [], [], [], 0, False
-    for m in ESCAPE.finditer(layer.content):
-        code = int(m[5]) if m[5] else int(m[1] or m[2] or m[3] or m[4], 16)
-        if code > 0x10FFFF or 0xD800 <= code < 0xE000:
-            continue
-        some = True
-        pieces += [layer.content[at : m.start()], chr(code)]
-        lows += [np.arange(at, m.start()), [m.start()]]
-        highs += [np.arange(at, m.start()) + 1, [m.end()]]
-        at = m.end()
-    if some:
-        n = len(layer.content)
-        pieces.append(layer.content[at:])
-        yield layer.part("".join(pieces), np.concatenate([*lows, np.arange(at, n)]).astype(np.int64), np.concatenate([*highs, np.arange(at, n) + 1]).astype(np.int64))
+
+    def found() -> Iterator[tuple[int, str, list[int]]]:
+        for m in ESCAPE.finditer(layer.content):
+            code = int(m[5]) if m[5] else int(m[1] or m[2] or m[3] or m[4], 16)
+            if code <= 0x10FFFF and not 0xD800 <= code < 0xE000:
+                yield m.start(), chr(code), [m.end()]
+
+    yield from _in_place(layer, found())
+
+
+def _percent_in_place(layer: _Layer) -> Iterator[_Layer]:
+    if "%" not in layer.content:
+        return
+
+    def found() -> Iterator[tuple[int, str, list[int]]]:
+        for m in ESCAPED.finditer(layer.content):
+            text, at, ends = bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "surrogateescape"), m.start(), []
+            for c in text:
+                at += 3 * len(c.encode("utf-8", "surrogateescape"))
+                ends.append(at)
+            yield m.start(), text, ends
+
+    yield from _in_place(layer, found())
 
 
 def _decoded(layer: _Layer, run: str, places: np.ndarray) -> _Layer | None:
     """The layer of a base64 run whose characters stand at ``places``."""
     run = run.rstrip("=")
-    if len(run) % 4 == 1 or run.isdigit() or run.islower() or run.isupper():
+    if len(run) % 4 == 1:
         return None
     try:
         data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
     except (binascii.Error, ValueError):
         return None
+    if not data:
+        return None
+    if layer.one_place():
+        return layer.whole(data, 0, len(layer.starts))
     bits = np.arange(len(data)) * 8
-    return layer.part(data, places[bits // 6], places[(bits + 7) // 6] + 1) if data else None
+    return layer.part(data, places[bits // 6], places[(bits + 7) // 6] + 1)
 
 
 def _base64(layer: _Layer) -> Iterator[_Layer]:
@@ -217,13 +289,17 @@ def _base64(layer: _Layer) -> Iterator[_Layer]:
             if (found := _decoded(layer, "".join(rows), at)) is not None:
                 yield found
     for m in BASE64.finditer(layer.content):
-        if (found := _decoded(layer, m[0], np.arange(m.start(), m.end()))) is not None:
+        if (found := _decoded(layer, m[0], NOWHERE if layer.one_place() else np.arange(m.start(), m.end()))) is not None:
             yield found
 
 
 def _hexed(layer: _Layer) -> Iterator[_Layer]:
     for m in HEXED.finditer(layer.content):
-        if not m[0].isdigit():
+        if m[0].isdigit():
+            continue
+        if layer.one_place():
+            yield layer.whole(bytes.fromhex(m[0]), 0, len(layer.starts))
+        else:
             k = m.start() + 2 * np.arange(len(m[0]) // 2)
             yield layer.part(bytes.fromhex(m[0]), k, k + 2)
 
@@ -235,7 +311,7 @@ def _unwrapped(layer: _Layer) -> Iterator[_Layer]:
     if isinstance(layer.content, bytes):
         yield from _opened(layer)
     elif _HINT.search(layer.content):
-        for unwrap in (_percent, _escapes, _base64, _hexed):
+        for unwrap in (_percent, _percent_in_place, _escapes, _base64, _hexed):
             yield from unwrap(layer)
 
 
@@ -247,19 +323,22 @@ def scan(text: str | None) -> tuple[list[Found], list[Found]]:
         return base, []
     n = len(text)
     top = _Layer(text, np.arange(n), np.arange(n) + 1)
-    seen, todo, added = {top.key()}, [top], set()
+    seen, todo, added = {top.key()}, [_unwrapped(top)], set()
     spans_of: dict[bytes, list[Found]] = {}
     while todo:
-        for new in _unwrapped(todo.pop()):
-            key = new.key()
-            if key in seen:
-                continue
-            seen.add(key)
-            todo.append(new)
-            if isinstance(new.content, str):
-                if key[0] not in spans_of:
-                    spans_of[key[0]] = base_spans(new.content)
-                added |= {(int(new.starts[s]), int(new.ends[e - 1]), kind) for s, e, kind in spans_of[key[0]]}
+        new = next(todo[-1], None)
+        if new is None:
+            todo.pop()
+            continue
+        key = new.key()
+        if key in seen:
+            continue
+        seen.add(key)
+        todo.append(_unwrapped(new))
+        if isinstance(new.content, str):
+            if key[0] not in spans_of:
+                spans_of[key[0]] = base_spans(new.content)
+            added |= {(int(new.starts[s]), int(new.ends[e - 1]), kind) for s, e, kind in spans_of[key[0]]}
     return base, sorted(added - set(base), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
