@@ -31,7 +31,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 from pathlib import Path
-from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +42,8 @@ CAPACITY, END_ID, RATE = 1024, 2, 4.0
 GAP, ROUNDS = 0.001, 4
 #: Rows that are ranked together; a length has at most MOST_GROUPS groups.
 GROUP, MOST_GROUPS = 500, 4096
-#: At so many bytes a worker's caches of encoded words are emptied but for the words at hand; a dictionary entry takes ENTRY beside its key and value.
-CACHE, ENTRY = 48 << 20, 104
+#: At so many bytes a worker's caches of encoded words are emptied but for the words at hand. A word takes at most four bytes a character, its ids, and ENTRY for both objects' heads and their place in a dictionary.
+CACHE, ENTRY = 64 << 20, 240
 #: Characters of the texts that are encoded together.
 TOGETHER = 1 << 18
 #: White space as the split knows it: a run of it, a word; at the end of a text a run alone.
@@ -108,7 +107,7 @@ class Encoder:
                 known.update(zip(group, [data[4 * a : 4 * b] for a, b in zip(lows.tolist(), highs.tolist())]))
             else:
                 known.update((w, self.ids(glue.strip("\n") + w).tobytes()) for w in group)
-            self.held += sum(_taken(w, known[w]) for w in group)
+            self.held += _taken(group, ids)
 
     def _parts(self, text: str, spaced: set[str], bare: set[str]) -> list[tuple[str, str, str]]:
         """``(white space, word, white space at the end)`` of a text; words not known yet go into the sets."""
@@ -138,7 +137,7 @@ class Encoder:
     def _space(self, run: str) -> bytes:
         if run not in self.bare:
             self.bare[run] = self.ids(run).tobytes()
-            self.held += _taken(run, self.bare[run])
+            self.held += ENTRY + 4 * len(run) + len(self.bare[run])
         return self.bare[run]
 
     def many(self, texts: list[str]) -> list[bytes]:
@@ -147,7 +146,7 @@ class Encoder:
             now = set().union(*(text.split(" ") for text in texts))  # frequent words are among them
             self.after_space = {w: ids for w in now if (ids := self.after_space.get(w)) is not None}
             self.bare = {}
-            self.held = sum(_taken(w, ids) for w, ids in self.after_space.items())
+            self.held = _taken([*self.after_space], b"".join(self.after_space.values()))
         plans: list[tuple | None] = []
         spaced, bare = set(), set()
         for text in texts:
@@ -182,8 +181,9 @@ class Encoder:
         return self.many([text])[0]
 
 
-def _taken(word: str, ids: bytes) -> int:
-    return getsizeof(word) + getsizeof(ids) + ENTRY
+def _taken(words: list[str], ids: np.ndarray | bytes) -> int:
+    """At most so many bytes for words with these ids in all."""
+    return ENTRY * len(words) + 4 * sum(map(len, words)) + memoryview(ids).nbytes
 
 
 @lru_cache(1)
