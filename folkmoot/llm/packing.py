@@ -43,7 +43,7 @@ GAP, ROUNDS = 0.001, 4
 #: Rows that are ranked together; a length has at most MOST_GROUPS groups.
 GROUP, MOST_GROUPS = 500, 4096
 #: At so many bytes a worker's caches of encoded words are emptied but for the words at hand. A word takes at most four bytes a character, its ids, and ENTRY for both objects' heads and their place in a dictionary.
-CACHE, ENTRY = 64 << 20, 240
+CACHE, ENTRY = 128 << 20, 240
 #: Characters of the texts that are encoded together.
 TOGETHER = 1 << 18
 #: White space as the split knows it: a run of it, a word; at the end of a text a run alone.
