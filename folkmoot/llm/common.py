@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_dir: dict[str, str] = {}
+_watching: list[list[DataFrame]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,9 +45,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._folkmoot_path = path
+    for made in _watching:
+        made.append(out)
     return out
 
 
+@contextmanager
+def watched() -> Iterator[list[DataFrame]]:
+    """The tables that :func:`written` makes in the block, for the caller to :func:`discard` once nothing reads them."""
+    made: list[DataFrame] = []
+    _watching.append(made)
+    try:
+        yield made
+    finally:
+        _watching[:] = [m for m in _watching if m is not made]
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`written` that nothing reads any more."""
     path = getattr(df, "_folkmoot_path", None)

@@ -15,8 +15,8 @@ or more. Every row is indexed. Buckets of over
 ``chunk`` rows are dealt as chunks, each of which meets all probes of the
 bucket; within a bucket only each query's ``k`` best go on. A query for which the tables
 hold fewer than ``k`` candidates, or whose ``k``-th lies beyond the distance up to which
-that chance is ``AIM``, is answered by an exact scan of all rows, in
-blocks of ``block`` queries.
+that chance is ``AIM``, is answered by an exact scan of all rows, which takes as many
+queries along as ``SENT`` bytes hold (or ``block``).
 
 Edge cases: rows with a null id, a null, zero or empty vector, null or
 non-finite components, or another length than the most frequent take no part;
@@ -39,7 +39,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 NEAREST, TABLES, PROBES_A_PROJECTION, WIDTH, AIM = 10, 4, 8, 1.42, 0.96
-SAMPLE, CHUNK, BLOCK, FLUSH = 1000, 4096, 500, 200_000
+SAMPLE, CHUNK, FLUSH = 1000, 4096, 200_000
+#: Bytes of open queries that are broadcast together: one scan of all vectors answers them.
+SENT = 64 << 20
 ASKED, HIGH = 64, 0.95
 
 
@@ -237,9 +239,9 @@ def _ranked(k: int, kind: str):
     return run
 
 
-def _scan(queries: np.ndarray, q: np.ndarray, k: int, kind: str):
+def _scan(sent, k: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(k)
+        (queries, q), best = sent.value, _Best(k)
         for b in batches:
             if len(b):
                 best.add(queries, q, b.column(0).to_numpy(), _vectors(b.column(1), kind))
@@ -285,7 +287,7 @@ def as_bytes(kind: str):
     return run
 
 
-def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = NEAREST, tables: int = TABLES, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = NEAREST, tables: int = TABLES, chunk: int = CHUNK, block: int | None = None) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of each row for which ``is_query`` (over the column ``id``) holds."""
     spark = vectors.sparkSession
     # floats travel as they are; all is computed in double precision
@@ -320,11 +322,13 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
     open_ = written(asked.join(counts, F.col("id") == F.col("done"), "left_anti"), "open")
     left, after = open_.count(), None
     out = found.join(open_.select(F.col("id").alias("asked")), F.col("query_id") == F.col("asked"), "left_anti") if left else found
-    while left > 0:  # blocks of bounded size, in order of the ids
+    block = block or max(1, SENT // (8 * dimension + 8))
+    while left > 0:  # in order of the ids; some 100,000 queries of 100 dimensions take one scan
         part = open_.where(F.col("id") > after) if after is not None else open_
         some = part.orderBy("id").limit(block).toArrow()
         ids = some["id"].to_numpy()
-        exact = rows.mapInArrow(_scan(ids, _vectors(some["v"], kind), k, kind), "query_id long, vec_id long, score double")
+        sent = spark.sparkContext.broadcast((ids, _vectors(some["v"], kind)))
+        exact = rows.mapInArrow(_scan(sent, k, kind), "query_id long, vec_id long, score double")
         out = out.unionByName(exact.select("query_id", F.lit(0).alias("rank"), "vec_id", "score"))
         left, after = left - len(ids), int(ids[-1])
     return out if out is found else _top(out.select("query_id", "vec_id", "score"), k)

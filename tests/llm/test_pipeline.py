@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from folkmoot.llm import packing, quality
+from folkmoot.llm import common, packing, quality
 
 from .test_lines import expected
 
@@ -110,3 +110,17 @@ def test_packing(stages):
 def test_run_is_the_stages(spark, tables, stages):
     key = lambda rows: sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
     assert key(corpus_pipeline.run(spark, tables).collect()) == key(stages[4][1])
+
+
+def test_working_tables_are_watched_and_deleted(spark):
+    with common.watched() as outer:
+        first = common.written(spark.range(3), "first")
+        with common.watched() as inner:
+            second = common.written(spark.range(4), "second")
+    common.written(spark.range(5), "third")
+    assert len(outer) == 2 and outer[0] is first and len(inner) == 1 and inner[0] is second
+    common.discard(first)
+    assert second.count() == 4
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(first._folkmoot_path)
+    common.discard(spark.range(1))  # not a table of ours: nothing happens
