@@ -10,6 +10,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+#: Rows are handed on once they come from so many characters, or are so many; a batch of documents may hold far more.
+CHARS, ROWS = 1 << 20, 4096
+
+
 class Skipped(Exception):
     """The document does not have what its kind must have; all its rows are dropped."""
 
@@ -19,18 +23,26 @@ def per_document(docs: DataFrame, columns: Sequence[str], extract: Callable[...,
     spark_schema = StructType.fromDDL(f"{schema}, error string")
     arrow = to_arrow_schema(spark_schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows: list[dict] = []
-            for values in zip(*(c.to_pylist() for c in b.columns)):
-                try:
-                    rows += extract(*values)
-                except Skipped as e:
-                    rows.append({"error": f"{values[0]}: {e}"})
-            if rows:
-                yield from pa.Table.from_pylist(rows, schema=arrow).to_batches()
-
-    return docs.select(*columns).mapInArrow(run, spark_schema)
+    return docs.select(*columns).mapInArrow(lambda batches: handed_on(batches, extract, arrow), spark_schema)
+
+
+def handed_on(batches: Iterator[pa.RecordBatch], extract: Callable[..., list[dict]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The rows of batches of documents, before they pass :data:`CHARS` or :data:`ROWS` by more than a document."""
+    for b in batches:
+        rows: list[dict] = []
+        read = 0
+        for own in zip(*b.columns):
+            values = [v.as_py() for v in own]
+            try:
+                rows += extract(*values)
+            except Skipped as e:
+                rows.append({"error": f"{values[0]}: {e}"})
+            read += sum(len(v) for v in values if isinstance(v, str))
+            if read > CHARS or len(rows) > ROWS:
+                yield from pa.Table.from_pylist(rows, schema=schema).to_batches()
+                rows, read = [], 0
+        if rows:
+            yield from pa.Table.from_pylist(rows, schema=schema).to_batches()
 
 
 def good(df: DataFrame) -> DataFrame:
