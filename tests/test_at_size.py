@@ -25,3 +25,19 @@ def test_rows_are_handed_on_while_a_batch_is_read():
     many = pa.RecordBatch.from_pydict({"html": ["x"] * 100})
     out = [b.num_rows for b in documents.handed_on(iter([many]), lambda h: [{"n": k} for k in range(200)], schema)]
     assert sum(out) == 20_000 and max(out) <= documents.ROWS + 200
+
+
+def test_plain_pages_read_as_by_the_standard_parser():
+    pieces = ["<table>", "<tr>", "<td>", "</td>", "</TR>", "</table>", "<p>", "</p>", "<DIV class=x>", "</Div>", "<a href='x'>", '<a href="y>z" id=q ID=r>', "<li>", "<ul>", "<br>", "text", " a & b ", "&amp;x", "&amp", "&lt y", "&#38;", "\n", "<b >", "<i\tx=1\n>", "<tbody>", "<th>", "<dt>", "<h1>"]
+    odd = ["< b", "</b >", "<a b='&amp;'>", "<a b = 'c'>", "<br/>", "<!-- x -->", "<script>", "</script>", "</>", "<", "<a x=1/>", "<title>", "<a-b>", "<a x='<'>", "<a x=a'b>"]
+    draw, plain = random.Random(3), 0
+    for k in range(4000):
+        html = "".join(draw.choice(pieces if k % 2 else pieces + odd) for _ in range(draw.randint(0, 14)))
+        quick, slow = _Builder(), _Builder()
+        if quick.read_plain(html):
+            slow.feed(html)
+            slow.close()
+            assert _tree(quick.root) == _tree(slow.root), html
+            plain += 1
+    assert plain > 1000
+    assert not any(_Builder().read_plain(html) for html in odd if html not in ("<a x='<'>",))
