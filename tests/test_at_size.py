@@ -2,12 +2,14 @@
 
 import random
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from folkmoot.operators.dom import _Builder
 from folkmoot.plans import documents, dossiers, meetings
 from folkmoot.queries import QUERIES, _meeting_html
+from folkmoot.streaming import grace
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -55,3 +57,52 @@ def test_tables_that_nobody_asks_for_are_not_made(spark):
     for name in some:
         assert sorted(map(tuple, some[name].collect())) == sorted(map(tuple, whole[name].collect())) != []
     assert set(meetings.plenary_tables(meetings.plenary(docs, only=()))) == {"meetings"}
+
+
+def test_the_store_is_asked_by_bucket_not_by_dossier():
+    calls = {"get": 0, "update": 0, "timers": []}
+
+    class Value:
+        held = None
+
+        def get(self):
+            calls["get"] += 1
+            return self.held
+
+        def update(self, value):
+            calls["update"] += 1
+            self.held = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+        def listTimers(self):
+            return iter(calls["timers"])
+
+        def deleteTimer(self, at):
+            calls["timers"].remove(at)
+
+        def registerTimer(self, at):
+            calls["timers"].append(at)
+
+    class Clock:
+        now = 0
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.now
+
+    day = 86_400_000
+    rows = pd.DataFrame({"dossier_id": [f"d{k}" for k in range(3000)], "fetched": [None, "1970-03-02", "1970-03-09"] * 1000, "meeting": ["1970-03-01", "1970-03-01", "1970-03-05"] * 1000})
+    state, clock = grace.Grace("2000-01-01"), Clock()
+    state.init(Handle())
+    asked = pd.concat([*state.handleInputRows((0,), iter([rows[:1000], rows[1000:]]), clock)])
+    assert set(asked["dossier_id"]) == {f"d{k}" for k in range(0, 3000, 3)}
+    assert (calls["get"], calls["update"], calls["timers"]) == (1, 1, [66 * day])
+    again = pd.DataFrame({"dossier_id": ["d1"], "fetched": ["1970-03-20"], "meeting": [None]})  # fetched since: does not ask
+    assert [*state.handleInputRows((0,), iter([again]), clock)] == []
+    for now, residue in ((66 * day, 1), (70 * day, 2)):
+        clock.now = now
+        asked = pd.concat([*state.handleExpiredTimer((0,), clock, None)])
+        assert set(asked["dossier_id"]) == {f"d{k}" for k in range(residue, 3000, 3)} - {"d1"}
+    assert calls["timers"] == [] and calls["get"] == calls["update"] == 4
