@@ -26,10 +26,76 @@ def pages(spark: SparkSession, path: str, pattern: str = "*.html", legacy: bool
     return files.select("path", F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1).alias("stem"), html.alias("html"))
 
 
+#: What a task hands on together: files, and bytes of them.
+FILES, BYTES = 4096, 4 << 20
+
+
+def listed_pages(spark: SparkSession, path: str, pattern: str = "*.html") -> DataFrame:
+    """``(path, stem, html)`` as :func:`pages` has them, for a folder of millions of files: one task lists the folder, others the folders in it, and read.
+
+    Neither the names nor the files come to the driver, and tasks are not dealt by the files' number. Read by Arrow's file systems. An empty
+    file is an empty page; :func:`pages` leaves it out.
+    """
+
+    def top(_: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, folder = fs.FileSystem.from_uri(path)
+        found = [x for x in system.get_file_info(fs.FileSelector(folder)) if x.base_name[:1] not in ("_", ".")]
+        for k in range(0, len(found), FILES):
+            part = found[k : k + FILES]
+            yield pa.RecordBatch.from_arrays([pa.array([x.path for x in part], pa.string()), pa.array([x.type == fs.FileType.Directory for x in part], pa.bool_())], names=["path", "folder"])
+
+    def read(batches: Iterator) -> Iterator:
+        import fnmatch
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        system, _ = fs.FileSystem.from_uri(path)
+        wanted = lambda name: name[:1] not in ("_", ".") and fnmatch.fnmatchcase(name, pattern)
+
+        def below(place: str, folder: bool) -> Iterator[str]:
+            if not folder:
+                if wanted(place.rpartition("/")[2]):
+                    yield place
+                return
+            for x in system.get_file_info(fs.FileSelector(place)):
+                if x.type == fs.FileType.Directory:
+                    if x.base_name[:1] not in ("_", "."):
+                        yield from below(x.path, True)
+                elif wanted(x.base_name):
+                    yield x.path
+
+        names: list[str] = []
+        held: list[bytes] = []
+        size = 0
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(held, pa.binary())], names=["path", "content"])
+        for b in batches:
+            for place, folder in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for name in below(place, folder):
+                    with system.open_input_stream(name, compression=None) as file:
+                        content = file.read()
+                    names.append(name)
+                    held.append(content)
+                    size += len(content)
+                    if size > BYTES or len(names) >= FILES:
+                        yield batch()
+                        names, held, size = [], [], 0
+        if names:
+            yield batch()
+
+    tasks = max(16, 2 * spark.sparkContext.defaultParallelism)
+    places = spark.range(0, 1, 1, 1).mapInArrow(top, "path string, folder boolean").repartition(tasks)
+    files = places.mapInArrow(read, "path string, content binary")
+    return files.select("path", F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1).alias("stem"), F.try_validate_utf8(F.col("content").cast("string")).alias("html"))
+
+
 def dossier_pages(spark: SparkSession, path: str) -> DataFrame:
     """Keys from stems of the form ``session_dossier_date``."""
     parts = F.split("stem", "_", 3)
-    found = pages(spark, path).where(F.size(parts) == 3)
+    found = listed_pages(spark, path).where(F.size(parts) == 3)
     return found.select(parts[0].alias("session_id"), parts[1].alias("dossier_id"), parts[2].alias("last_updated"), "html")
 
 

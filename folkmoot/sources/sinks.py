@@ -75,13 +75,18 @@ def write_absent_files(df: DataFrame, folder: str, name: str = "name", content:
         import pyarrow as pa
         from pyarrow import fs
 
+        system, top = fs.FileSystem.from_uri(folder)
+        made = set()
         for b in batches:
             done = []
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                system, path = fs.FileSystem.from_uri(f"{folder}/{key}")
+                path = f"{top}/{key}"
                 absent = system.get_file_info(path).type == fs.FileType.NotFound
                 if absent:
-                    system.create_dir(path.rpartition("/")[0], recursive=True)
+                    parent = path.rpartition("/")[0]
+                    if parent not in made:
+                        system.create_dir(parent, recursive=True)
+                        made.add(parent)
                     with system.open_output_stream(path, compression=None) as out:
                         out.write((text or "").encode())
                 done.append(absent)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from folkmoot.operators.dom import _Builder
 from folkmoot.plans import documents, dossiers, meetings
 from folkmoot.queries import QUERIES, _meeting_html
+from folkmoot.sources import files
 from folkmoot.streaming import grace
 
 SMALL = "/root/testdata/sf0.001"
@@ -106,3 +107,16 @@ def test_the_store_is_asked_by_bucket_not_by_dossier():
         asked = pd.concat([*state.handleExpiredTimer((0,), clock, None)])
         assert set(asked["dossier_id"]) == {f"d{k}" for k in range(residue, 3000, 3)} - {"d1"}
     assert calls["timers"] == [] and calls["get"] == calls["update"] == 4
+
+
+def test_a_cache_is_listed_and_read_by_tasks(spark, tmp_path):
+    told = {"56_1_2024-06-09.html": b"top", "a/56_2_x_y.html": b"\xff", "a/b/56_3_z.html": "é".encode(), "a/56_4.html": b"no date", "a/_56_5_x.html": b"hidden", "_c/56_6_x.html": b"hidden", "a/56_7_x.txt": b"other", "a/56_8_x.html": b""}
+    for name, content in told.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    for path in (str(tmp_path), f"file://{tmp_path}"):
+        found = files.dossier_pages(spark, path)
+        assert sorted((r.dossier_id, r.last_updated, r.html) for r in found.collect()) == [("1", "2024-06-09", "top"), ("2", "x_y", None), ("3", "z", "é"), ("8", "x", "")]
+        assert found.inputFiles() == [] and found.rdd.getNumPartitions() >= 16  # the driver holds no listing
+    same = lambda found: sorted((tuple(r) for r in found.where("html <> '' OR html IS NULL").select("stem", "html").collect()), key=str)
+    assert same(files.pages(spark, str(tmp_path))) == same(files.listed_pages(spark, str(tmp_path)))  # Spark's reader leaves out empty files
