@@ -25,8 +25,8 @@ pages have no pivot.
 Edge cases: null or empty html has the empty text; broken and cut markup is read
 as far as it goes; a null url is a host of its own; repeated pages are each
 reported; nothing is cut or capped; other columns are never read. Where two lists of
-children have over ``PAIRS`` pairs of unlike subtrees, their weights in the matching are
-estimated by the smaller subtree's size.
+children have over ``PAIRS`` pairs of unlike subtrees, many pairs are weighed at a time: the
+weights are the same.
 """
 
 from __future__ import annotations
@@ -47,6 +47,8 @@ from pyspark.sql import functions as F
 from .common import written
 
 LAYOUTS, EVIDENCE, SHARE, UNLIKE, PAIRS, BROADCAST_BYTES = 3, 3, 0.1, 0.5, 40_000, 32 << 20
+#: Pairs of subtrees whose weights are held at a time, and numbers of the programs that make them.
+TABLE, CELLS = 1 << 25, 1 << 20
 #: The same within articles, where a line that some pages repeat is their text.
 ARTICLE_EVIDENCE, ARTICLE_SHARE = 5, 0.8
 
@@ -310,25 +312,80 @@ def align(a: Page, b: Page) -> dict[int, int]:
             hi += 1
         return [*zip(xs[:lo], ys[:lo]), *zip(xs[n - hi :], ys[m - hi :])], xs[lo : n - hi], ys[lo : m - hi]
 
-    def weights(xs: list[int], ys: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Weights of the distinct shapes, and each child's shape in them."""
-        of_x, of_y = {a.shape[x]: x for x in xs}, {b.shape[y]: y for y in ys}
-        if len(of_x) * len(of_y) > PAIRS:
-            tag_x, tag_y = (np.array([p.tags[k] for k in of.values()]) for p, of in ((a, of_x), (b, of_y)))
-            size_x, size_y = (np.array([p.sizes[k] for k in of.values()]) for p, of in ((a, of_x), (b, of_y)))
-            table = np.where(tag_x[:, None] == tag_y, np.minimum(size_x[:, None], size_y), 0)
-        else:
-            table = np.array([[weight(x, y) for y in of_y.values()] for x in of_x.values()])
-        at_x, at_y = {h: k for k, h in enumerate(of_x)}, {h: k for k, h in enumerate(of_y)}
-        return table, np.array([at_x[a.shape[x]] for x in xs]), np.array([at_y[b.shape[y]] for y in ys])
+    def rows(xs: list[int], ys: list[int]) -> Iterator[np.ndarray]:
+        """For each of ``xs`` its weights with all of ``ys``, from tables of the distinct shapes."""
+        of_y = {b.shape[y]: y for y in ys}
+        at_y = {h: k for k, h in enumerate(of_y)}
+        cy, end = np.array([at_y[b.shape[y]] for y in ys]), 0
+        while end < len(xs):
+            of_x: dict[int, int] = {}
+            first = end
+            while end < len(xs) and (a.shape[xs[end]] in of_x or len(of_x) * len(of_y) < TABLE):
+                of_x[a.shape[xs[end]]] = xs[end]
+                end += 1
+            if len(of_x) * len(of_y) > PAIRS:
+                table = many([*of_x.values()], [*of_y.values()])
+            else:
+                table = np.array([[weight(x, y) for y in of_y.values()] for x in of_x.values()])
+            at_x = {h: k for k, h in enumerate(of_x)}
+            for x in xs[first:end]:
+                yield table[at_x[a.shape[x]]][cy]
+
+    def many(xs: list[int], ys: list[int]) -> np.ndarray:
+        """The weights of subtrees ``xs`` by ``ys``: those of one tag and of like numbers of children together."""
+        out = np.zeros((len(xs), len(ys)), np.int32)
+        groups: tuple[defaultdict, defaultdict] = (defaultdict(list), defaultdict(list))
+        for p, nodes, of in ((a, xs, groups[0]), (b, ys, groups[1])):
+            for k, node in enumerate(nodes):
+                of[p.tags[node], len(p.children[node]).bit_length()].append(k)
+        for (tag, n), of_x in groups[0].items():
+            for (other, m), of_y in groups[1].items():
+                if tag != other:
+                    continue
+                if not n or not m:
+                    out[np.ix_(of_x, of_y)] = 1
+                    continue
+                step = max(1, CELLS >> (m + 6))
+                for i in range(0, len(of_x), 64):
+                    for j in range(0, len(of_y), step):
+                        us, vs = of_x[i : i + 64], of_y[j : j + step]
+                        if len(us) * len(vs) < 1 << m:  # few pairs of long lists
+                            out[np.ix_(us, vs)] = [[weight(xs[u], ys[v]) for v in vs] for u in us]
+                        else:
+                            out[np.ix_(us, vs)] = together([xs[u] for u in us], [ys[v] for v in vs])
+        return out
+
+    def together(xs: list[int], ys: list[int]) -> np.ndarray:
+        """The same of one tag, all with children: one program, each of its numbers an array over all pairs."""
+        of_x, of_y = ({p.shape[c]: c for node in nodes for c in p.children[node]} for p, nodes in ((a, xs), (b, ys)))
+        small = min(max(a.sizes[x] for x in xs), max(b.sizes[y] for y in ys)) < 1 << 15
+        kind = np.int16 if small else np.int32
+        below = np.zeros((len(of_y) + 1, len(of_x) + 1), kind)  # the last ones stand for no child
+        below[:-1, :-1] = np.minimum(many([*of_x.values()], [*of_y.values()]).T, np.iinfo(kind).max)
+        told = []
+        for p, nodes, of in ((a, xs, of_x), (b, ys, of_y)):
+            at = {h: k for k, h in enumerate(of)}
+            held = np.full((max(len(p.children[node]) for node in nodes), len(nodes)), len(of))
+            for k, node in enumerate(nodes):
+                held[: len(p.children[node]), k] = [at[p.shape[c]] for c in p.children[node]]
+            told.append(held)
+        row = np.zeros((len(told[1]) + 1, len(ys), len(xs)), kind)
+        nxt = np.zeros_like(row)
+        for cx in told[0]:
+            own = np.ascontiguousarray(below[:, cx])
+            for j, cy in enumerate(told[1]):
+                np.add(row[j], own[cy], out=nxt[j + 1])
+                np.maximum(nxt[j + 1], row[j + 1], out=nxt[j + 1])
+                np.maximum(nxt[j + 1], nxt[j], out=nxt[j + 1])
+            row, nxt = nxt, row
+        return row[-1].T.astype(np.int32) + 1
 
     def matched(xs: list[int], ys: list[int], steps: list | None = None) -> int:
         """The best matching's weight; ``steps`` gets the packed choices of each row."""
-        table, cx, cy = weights(xs, ys)
         row = np.zeros(len(ys) + 1, np.int64)
-        for i in range(len(xs)):
+        for own in rows(xs, ys):
             nxt = np.zeros_like(row)
-            np.maximum.accumulate(np.maximum(row[1:], row[:-1] + table[cx[i]][cy]), out=nxt[1:])
+            np.maximum.accumulate(np.maximum(row[1:], row[:-1] + own), out=nxt[1:])
             if steps is not None:
                 steps.append((np.packbits(nxt[1:] == row[1:]), np.packbits(nxt[1:] == nxt[:-1])))
             row = nxt
