@@ -374,7 +374,8 @@ def align(a: Page, b: Page) -> dict[int, int]:
         for cx in told[0]:
             own = np.ascontiguousarray(below[:, cx])
             for j, cy in enumerate(told[1]):
-                np.add(row[j], own[cy], out=nxt[j + 1])
+                np.take(own, cy, axis=0, out=nxt[j + 1], mode="clip")
+                np.add(nxt[j + 1], row[j], out=nxt[j + 1])
                 np.maximum(nxt[j + 1], row[j + 1], out=nxt[j + 1])
                 np.maximum(nxt[j + 1], nxt[j], out=nxt[j + 1])
             row, nxt = nxt, row
