@@ -23,17 +23,16 @@ from __future__ import annotations
 
 import json
 import math
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,13 +41,15 @@ CAPACITY, END_ID, RATE = 1024, 2, 4.0
 GAP, ROUNDS = 0.001, 4
 #: Rows that are ranked together; a length has at most MOST_GROUPS groups.
 GROUP, MOST_GROUPS = 500, 4096
-#: At so many bytes a worker's caches of encoded words are emptied but for the words at hand. A word takes at most four bytes a character, its ids, and ENTRY for both objects' heads and their place in a dictionary.
-CACHE, ENTRY = 128 << 20, 240
-#: Characters of the texts that are encoded together.
-TOGETHER = 1 << 18
-#: White space as the split knows it: a run of it, a word; at the end of a text a run alone.
+#: Texts are encoded together, each distinct word once, as long as they take at most so many bytes to work on: for each text, byte and U+0020 of it.
+TOGETHER, ROW, BYTE, WORD = 96 << 20, 64, 3, 24
+#: Bytes of words that one call of the tokenizer gets, and ids that are put together at once.
+CALL, IDS = 8 << 10, 1 << 20
+#: White space as the split knows it.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACE, PART = re.compile(f"[{SPACES}]"), re.compile(f"([{SPACES}]*+)([^{SPACES}]++)|([{SPACES}]++)")
+ONE, TWO, THREE = (np.array([int.from_bytes(c.encode()) for c in SPACES if len(c.encode()) == n]) for n in (1, 2, 3))
+#: Of each byte, whether it is white space, and whether it may be the first or the second of a longer one.
+BLANK, LEAD, NEXT = (np.isin(np.arange(256), x) for x in (ONE, [*(TWO >> 8), *(THREE >> 16)], [*(TWO & 255), *(THREE >> 8 & 255)]))
 
 
 def default_tokenizer() -> str:
@@ -58,14 +59,16 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Texts to their ids (the tokenizer as loaded, no special tokens added) as little-endian uint32 bytes, remembering words.
+    """Texts to their ids (the tokenizer as loaded, no special tokens added) as little-endian uint32 bytes.
 
     The byte-level split, which a file names with ``use_regex`` alone, never joins a
-    non-space with white space after it, and of white space before a non-space only a
-    last U+0020 goes with it; the rest of the run is one part but for a last character
-    that is no U+0020. Such parts encode alone, and are encoded many at a time: each
-    word after a space begins with the only id whose token has one. Texts that hold an
-    added token, and all texts of other tokenizers, are encoded whole.
+    non-space with white space after it. So texts are cut before each U+0020 that
+    stands between two non-spaces: the parts encode alone, and each distinct one is
+    encoded once for all texts given. Parts that begin so and end with a non-space also
+    encode alone when they follow each other, so many are handed over in one string; as a token of
+    a byte-level vocabulary has a character for each byte, its ids are told apart by
+    their lengths. Texts that hold an added token, and all texts of other tokenizers,
+    are encoded whole.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -74,116 +77,115 @@ class Encoder:
         self.loaded = Tokenizer.from_file(tokenizer_file)
         told = json.loads(Path(tokenizer_file).read_text())
         split = told.get("pre_tokenizer") or {}
-        self.whole = bool(told.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True))
         self.added = [t["content"] for t in told.get("added_tokens") or ()]
+        self.whole = bool(told.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True))
+        self.whole |= any(c in SPACES for t in self.added for c in t)  # parts that follow each other might make one
         vocabulary = self.loaded.get_vocab(with_added_tokens=True)
-        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # how byte-level vocabularies write the space
-        self.after_space: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}
-        self.held, self.newline = 0, self.ids("\n")[0]
-
-    def forget(self) -> None:
-        """Let go of all words: between tasks a worker holds the tokenizer alone."""
-        self.after_space, self.bare, self.held = {}, {}, 0
+        self.bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.bytes[[*vocabulary.values()]] = [len(t) for t in vocabulary]
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.loaded.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, known: dict[str, bytes], unknown: set[str], glue: str) -> None:
-        """Put the ids of words without white space into ``known``: after a space, or bare."""
-        rest = list(unknown)
-        for lo in range(0, len(rest), 1000):
-            group = rest[lo : lo + 1000]
-            ids = self.ids(" " + " ".join(group) if glue == " " else "\n".join(group))
-            if glue == " ":
-                lows = np.nonzero(self.spaced[ids])[0]
-                highs = np.append(lows[1:], len(ids))
-            else:
-                breaks = np.nonzero(ids == self.newline)[0]
-                lows, highs = np.append(0, breaks + 1), np.append(breaks, len(ids))
-            if len(lows) == len(group):
-                data = ids.tobytes()
-                known.update(zip(group, [data[4 * a : 4 * b] for a, b in zip(lows.tolist(), highs.tolist())]))
-            else:
-                known.update((w, self.ids(glue.strip("\n") + w).tobytes()) for w in group)
-            self.held += _taken(group, ids)
-
-    def _parts(self, text: str, spaced: set[str], bare: set[str]) -> list[tuple[str, str, str]]:
-        """``(white space, word, white space at the end)`` of a text; words not known yet go into the sets."""
-        found = [(m[1] or "", m[2] or "", m[3]) for m in PART.finditer(text)]
-        for space, word, _ in found:
-            if space[-1:] == " ":
-                if word not in self.after_space:
-                    spaced.add(word)
-            elif word and word not in self.bare:
-                bare.add(word)
-        return found
-
-    def _joined(self, found: list[tuple[str, str, str]]) -> bytes:
-        out = []
-        for space, word, tail in found:
-            if not word:
-                out.append(self._space(tail))
-                continue
-            if len(space) > 1:
-                out.append(self._space(space[:-1]))
-            if space[-1:] == " ":
-                out.append(self.after_space[word])
-            else:
-                out += [self._space(space[-1]), self.bare[word]] if space else [self.bare[word]]
-        return b"".join(out)
-
-    def _space(self, run: str) -> bytes:
-        if run not in self.bare:
-            self.bare[run] = self.ids(run).tobytes()
-            self.held += ENTRY + 4 * len(run) + len(self.bare[run])
-        return self.bare[run]
-
-    def many(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; their unknown words are learned together."""
-        if self.held > CACHE:
-            now = set().union(*(text.split(" ") for text in texts))  # frequent words are among them
-            self.after_space = {w: ids for w in now if (ids := self.after_space.get(w)) is not None}
-            self.bare = {}
-            self.held = _taken([*self.after_space], b"".join(self.after_space.values()))
-        plans: list[tuple | None] = []
-        spaced, bare = set(), set()
-        for text in texts:
-            if self.whole or any(x in text for x in self.added):
-                plans.append(None)
-                continue
-            first, *rest = text.split(" ")
-            unknown = set(rest).difference(self.after_space)
-            inner = {w for w in unknown if SPACE.search(w)}
-            if first[-1:] in SPACES or "" in unknown or any(w[0] in SPACES or w[-1] in SPACES for w in inner):  # white space beside a single space
-                plans.append((self._parts(text, spaced, bare), {}, []))
-            else:
-                spaced |= unknown - inner
-                plans.append((self._parts(first, spaced, bare), {w: self._parts(" " + w, spaced, bare) for w in inner}, rest))
-        self._learn(self.after_space, spaced, " ")
-        self._learn(self.bare, bare, "\n")
-        out = []
-        for text, plan_ in zip(texts, plans):
-            if plan_ is None:
-                out.append(self.ids(text).tobytes())
-                continue
-            head, inner, rest = plan_
-            if inner:
-                within = {w: self._joined(found) for w, found in inner.items()}
-                tail = b"".join([within[w] if w in within else self.after_space[w] for w in rest])
-            else:
-                tail = b"".join(map(self.after_space.__getitem__, rest))
-            out.append(self._joined(head) + tail)
-        return out
+    def _alone(self, parts: pa.Array) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Ids, and of each part where its own begin and end in them; here each is encoded by itself."""
+        found = [self.ids(part.decode()) for part in parts.to_pylist()]
+        ends = np.cumsum([len(ids) for ids in found], dtype=np.int64)
+        return found, np.append(0, ends)[:-1], ends
+
+    def _joined(self, parts: pa.Array, glue: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """The same of parts that may follow each other with ``glue`` between them."""
+        bounds, data = _flat(parts)
+        out, firsts, stops, lo, held = [], np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64), 0, 0
+        while lo < len(parts):
+            hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + CALL, "right")) - 1)
+            ids = self.ids((glue.join(parts[lo:hi].to_pylist()) if glue else data[bounds[lo] : bounds[hi]].tobytes()).decode())
+            glued = np.arange(hi - lo) * len(glue) - bounds[lo]
+            edges = np.append(0, np.cumsum(self.bytes[ids]))
+            first, end = (np.searchsorted(edges, b + glued) for b in (bounds[lo:hi], bounds[lo + 1 : hi + 1]))
+            if end[-1] != len(ids) or not np.array_equal(edges[first], bounds[lo:hi] + glued) or not np.array_equal(edges[end], bounds[lo + 1 : hi + 1] + glued):
+                found, first, end = self._alone(parts[lo:hi])
+                ids = np.concatenate(found)
+            out.append(ids)
+            firsts[lo:hi], stops[lo:hi] = first + held, end + held
+            held += len(ids)
+            lo = hi
+        return out, firsts, stops
+
+    def many(self, texts: pa.Array | list[str | None]) -> Iterator[bytes]:
+        """The ids of each text (null: none); each distinct part of them all is encoded once."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "").cast(pa.large_string())
+        bounds, data = _flat(texts)
+        cuts, black = np.append(data == 32, True), _white(data)
+        np.logical_not(black, out=black)
+        cuts[1:-1] &= black[:-1]
+        cuts[: len(data) - 1] &= black[1:]
+        del black
+        whole = np.full(len(texts), self.whole)
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        for k in np.nonzero(whole)[0]:
+            cuts[bounds[k] : bounds[k + 1]] = False
+        cuts[bounds[:-1][np.diff(bounds) > 0]] = True
+        at = np.flatnonzero(cuts)
+        del cuts
+        coded = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)]).dictionary_encode()
+        codes, parts = coded.indices.to_numpy(), coded.dictionary
+        own = np.searchsorted(at, bounds)  # the parts of text k are those from own[k] to own[k + 1]
+        del at, texts, coded
+
+        lows, data = _flat(parts)
+        lows, highs, white = lows[:-1], lows[1:], _white(data)
+        fit = ~white[highs - 1]
+        fit[codes[np.repeat(whole, np.diff(own))]] = False
+        spaced = fit & (data[lows] == 32) & ~white[np.minimum(lows + 1, highs - 1)]
+        bare = fit & ~white[lows]
+        ids, first, size, held = [np.zeros(0, "<u4")], np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64), 0
+        for chosen, found in ((spaced, lambda p: self._joined(p, b"")), (bare, lambda p: self._joined(p, b"\n")), (~(spaced | bare), self._alone)):
+            some, low, high = found(parts.filter(pa.array(chosen)))
+            ids += some
+            first[chosen], size[chosen] = low + held, high - low
+            held += sum(map(len, some))
+        ids = np.concatenate(ids)
+
+        total, sizes = size[codes], np.zeros(len(own), np.int64)  # ids before each text
+        sizes[own > 0] = np.cumsum(total, out=total)[own[own > 0] - 1]
+        del total
+        lo = 0
+        while lo < len(whole):
+            hi = max(lo + 1, int(np.searchsorted(sizes, sizes[lo] + IDS, "right")) - 1)
+            code = codes[own[lo] : own[hi]]
+            n = size[code]
+            near = ids[np.repeat(first[code] - (np.cumsum(n) - n), n) + np.arange(sizes[hi] - sizes[lo])].tobytes()
+            for k in range(lo, hi):
+                yield near[4 * (sizes[k] - sizes[lo]) : 4 * (sizes[k + 1] - sizes[lo])]
+            lo = hi
 
     def __call__(self, text: str) -> bytes:
-        return self.many([text])[0]
+        return next(self.many([text]))
+
 
+def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bounds of large strings, and their bytes one after another."""
+    if not len(texts):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    _, bounds, data = texts.buffers()
+    bounds = np.frombuffer(bounds, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return bounds - bounds[0], np.frombuffer(data or b"", np.uint8)[bounds[0] : bounds[-1]]
 
-def _taken(words: list[str], ids: np.ndarray | bytes) -> int:
-    """At most so many bytes for words with these ids in all."""
-    return ENTRY * len(words) + 4 * sum(map(len, words)) + memoryview(ids).nbytes
+
+def _white(data: np.ndarray) -> np.ndarray:
+    """Of each byte of UTF-8, whether it belongs to white space."""
+    white = BLANK[data]
+    begun = LEAD[data[:-1]]
+    begun &= NEXT[data[1:]]
+    at = np.flatnonzero(begun)
+    two = data[at].astype(np.int64) << 8 | data[at + 1]
+    three = two << 8 | data[np.minimum(at + 2, len(data) - 1)]
+    for n, found in ((2, np.isin(two, TWO)), (3, np.isin(three, THREE))):
+        for k in range(n):
+            white[at[found] + k] = True
+    return white
 
 
 @lru_cache(1)
@@ -192,17 +194,30 @@ def _encoder(tokenizer_file: str) -> Encoder:
     return Encoder(tokenizer_file)
 
 
-def _in_turn(texts: Iterator[str], most: int = TOGETHER) -> Iterator[list[str]]:
-    """Lists of texts of some ``most`` characters."""
+def _in_turn(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """The two columns of rows whose texts take some TOGETHER bytes, across batches."""
     held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size > most:
-            yield held
-            held, size = [], 0
+    for b in batches:
+        length, spaces = (pc.fill_null(n, 0).to_numpy(zero_copy_only=False).astype(np.int64) for n in (pc.binary_length(b.column(1)), pc.count_substring(b.column(1), " ")))
+        ends = np.cumsum(ROW + BYTE * length + WORD * spaces)
+        lo = 0
+        while lo < b.num_rows:
+            before = int(ends[lo - 1]) if lo else 0
+            hi = min(int(np.searchsorted(ends, before + TOGETHER - size)) + 1, b.num_rows)
+            held.append(b.slice(lo, hi - lo))
+            size += int(ends[hi - 1]) - before
+            lo = hi
+            if size >= TOGETHER:
+                full, held, size = held, [], 0
+                yield _columns(full)
     if held:
-        yield held
+        yield _columns(held)
+
+
+def _columns(batches: list[pa.RecordBatch]) -> tuple[pa.Array, pa.Array]:
+    own, texts = ([b.column(k) for b in batches] for k in (0, 1))
+    texts = [t.cast(pa.large_string()) for t in texts]
+    return (own[0], texts[0]) if len(batches) == 1 else (pa.concat_arrays(own), pa.concat_arrays(texts))
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -217,19 +232,15 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer_file: str | No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(tokenizer_file or default_tokenizer())
-        try:
-            for b in batches:
-                at, rows = [], []
-                texts = _in_turn(x.as_py() or "" for x in b.column(1))
-                for i, found in enumerate(chain.from_iterable(map(encode.many, texts))):
-                    ids = found + end
-                    for k, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
-                        at.append(i)
-                        rows.append((k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))
-                cols = list(zip(*rows)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(cols[0], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["_id", "piece", "start", "length", "ids_crc32"])
-        finally:
-            encode.forget()
+        for own, texts in _in_turn(batches):
+            at, rows = [], []
+            for i, found in enumerate(encode.many(texts)):
+                ids = found + end
+                for k, (s, n) in enumerate(cut(len(ids) // 4, capacity)):
+                    at.append(i)
+                    rows.append((k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])))
+            cols = list(zip(*rows)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([own.take(pa.array(at, pa.int64())), pa.array(cols[0], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["_id", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, f"_id {kind}, piece int, start long, length long, ids_crc32 long")

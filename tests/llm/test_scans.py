@@ -9,8 +9,10 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from unittest.mock import MagicMock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -287,6 +289,32 @@ def test_all_documents_encode_like_the_tokenizer(spark):
         assert encode(r.text or "") == np.array(tok.encode(r.text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_packing_gives_the_tokenizer_a_distinct_word_once(spark, monkeypatch):
+    docs, given, ids = MagicMock(), [], packing.Encoder.ids
+    packing.pieces(docs, "doc_id", "text", None)
+    run = docs.select.return_value.mapInArrow.call_args[0][0]
+    monkeypatch.setattr(packing.Encoder, "ids", lambda self, text: given.append(len(text)) or ids(self, text))
+    words = ["".join(chr(97 + i * 2654435761 // 26**k % 26) for k in range(8)) for i in range(500_000)]
+    texts = [" ".join(words[k : k + 1000]) for k in range(0, len(words), 1000)]
+    batch = pa.record_batch({"_id": [*range(len(texts))], "_text": texts})
+    first = {}
+    for out in run(iter([batch, batch])):
+        for r in out.to_pylist():
+            assert first.setdefault((r["_id"], r["start"]), r["ids_crc32"]) == r["ids_crc32"]
+    assert sum(given) < 1.1 * sum(map(len, texts))
+
+
+def test_packing_encodes_texts_together_like_one_by_one():
+    from tokenizers import Tokenizer
+
+    tok, encode = Tokenizer.from_file(packing.default_tokenizer()), packing.Encoder(packing.default_tokenizer())
+    rng = random.Random(4)
+    for n in (0, 1, 3, 2000):
+        texts = ["".join(rng.choices(["a", "Bc", "'s", "12", "é", " ", " ", "  ", "\n", "\x85", "\xa0", "\u2003", "\u3000", "日", "<|endoftext|>"], k=rng.randint(0, 8))) for _ in range(n)]
+        texts = [None if k % 50 == 7 else t for k, t in enumerate(texts)]
+        assert [*encode.many(texts)] == [np.array(tok.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
 def test_the_cover_is_within_the_gap_of_a_proved_bound():
     rng = np.random.default_rng(5)
     for lo, hi in ((1, 1025), (300, 700), (513, 1025)):
